@@ -10,8 +10,6 @@ from flowgauge.operators.checkpoints import checkpointed
 from flowgauge.schemas import KEY
 from flowgauge.sources.logs import ProcessLogs
 
-MAX_ROUNDS = 20
-
 
 def call_links(logs: ProcessLogs) -> DataFrame:
     """(caller, called): the instance owning a call activity and the instance it started."""
@@ -38,22 +36,29 @@ def call_closure(logs: ProcessLogs) -> DataFrame:
     links = checkpointed(call_links(logs).select(
         F.col("caller").alias("root_key"), F.col("called").alias(KEY), F.lit(1).alias("depth")
     ))
-    found, farthest, reach = links, links, 1
-    for _ in range(MAX_ROUNDS):
-        # farthest: pairs exactly `reach` calls apart, unique on the called side.
-        step = farthest.select(F.col(KEY).alias("via"), F.col("root_key").alias("far_root"))
-        further = checkpointed(
-            found.join(step, found["root_key"] == step["via"])
+    found, latest, reach = links, links, 1
+    while _has_rows(latest):
+        # Pairs exactly `reach` calls apart: unique on the called side.
+        step = latest.filter(F.col("depth") == reach).select(
+            F.col(KEY).alias("root_key"), F.col("root_key").alias("far_root")
+        )
+        latest = checkpointed(
+            found.join(step, "root_key")
             .select(F.col("far_root").alias("root_key"), KEY, (F.col("depth") + reach).alias("depth"))
         )
-        if further.isEmpty():
-            break
-        found = found.unionByName(further)
+        found = found.unionByName(latest)
         reach *= 2
-        farthest = further.filter(F.col("depth") == reach)
-    else:
-        raise bad_input("the call links between instances form a cycle")
     itself = logs.process_instances.select(
         F.col(KEY).alias("root_key"), F.col(KEY), F.lit(0).alias("depth")
     )
     return itself.unionByName(found)
+
+
+def _has_rows(pairs: DataFrame) -> bool:
+    """Whether a round found anything; an instance that calls itself would never end."""
+    row = pairs.agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or(F.col("root_key") == F.col(KEY)).alias("circular")
+    ).first()
+    if row["circular"]:
+        raise bad_input("the call links between instances form a cycle")
+    return row["n"] > 0

@@ -18,21 +18,39 @@ flows of one instance, at most as many as its process model has.
 from __future__ import annotations
 
 import heapq
+import sys
 from collections.abc import Iterable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from flowgauge.schemas import KEY
 
+# The UDF travels with its code, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Stands for "no such element in the group"; nulls would turn Arrow longs into floats.
 NONE = -(2**63)
 
-PLACES = (
-    "elements array<bigint>, flows array<string>, stuck array<boolean>, "
-    "lead_elements array<bigint>, lead_flows array<string>, steps array<int>"
-)
+PLACES = StructType([
+    StructField("elements", ArrayType(LongType())),
+    StructField("flows", ArrayType(StringType())),
+    StructField("stuck", ArrayType(BooleanType())),
+    StructField("lead_elements", ArrayType(LongType())),
+    StructField("lead_flows", ArrayType(StringType())),
+    StructField("steps", ArrayType(IntegerType())),
+])
 
 
 def sorted_piece(
@@ -48,9 +66,9 @@ def sorted_piece(
     for flow_id, source, target in zip(flow_ids, sources, targets):
         flow = (1, NONE, flow_id)
         waiting.setdefault(flow, 0)
-        for before, then in (((0, source, ""), flow), (flow, (0, target, ""))):
-            if NONE in (before[1] if before[0] == 0 else 0, then[1] if then[0] == 0 else 0):
-                continue
+        edges = [((0, source, ""), flow)] if source != NONE else []
+        edges += [(flow, (0, target, ""))] if target != NONE else []
+        for before, then in edges:
             waiting.setdefault(before, 0)
             waiting.setdefault(then, 0)
             if then not in after.setdefault(before, set()):
@@ -78,12 +96,11 @@ def sorted_piece(
 
 @F.pandas_udf(PLACES)
 def _places(flow_ids: pd.Series, sources: pd.Series, targets: pd.Series) -> pd.DataFrame:
-    columns = ["elements", "flows", "stuck", "lead_elements", "lead_flows", "steps"]
     rows = [
         [list(column) for column in zip(*sorted_piece(*piece))]
         for piece in zip(flow_ids, (s.tolist() for s in sources), (t.tolist() for t in targets))
     ]
-    return pd.DataFrame(rows, columns=columns)
+    return pd.DataFrame(rows, columns=PLACES.fieldNames())
 
 
 def tie_places(occurrences: DataFrame, types: list[str]) -> DataFrame:

@@ -43,17 +43,15 @@ def _spine_column(name: str) -> str:
     return f"_spine_{name}"
 
 
-def fused_aggregates(
-    measures: Mapping[str, Measure], open_table, group_by: list[Any],
-) -> list[DataFrame]:
+def fused_aggregates(logs: ProcessLogs, measures: Mapping[str, Measure], key: str) -> list[DataFrame]:
     """One aggregate per table (and one more for its distinct measures)."""
     groups: dict[tuple[str, bool], dict[str, Measure]] = defaultdict(dict)
     for name, measure in measures.items():
         groups[measure.table, measure.distinct][name] = measure
     frames = []
     for (table, _), fused in groups.items():
-        rows = keep_rows(open_table(table), any_of([measure.keep for measure in fused.values()]))
-        frames.append(rows.groupBy(*group_by).agg(
+        rows = keep_rows(logs.table(table), any_of([measure.keep for measure in fused.values()]))
+        frames.append(rows.groupBy(key).agg(
             *(measure.aggregate.alias(name) for name, measure in fused.items())
         ))
     return frames
@@ -90,7 +88,7 @@ def kpi_record(logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE", key: s
             column = f"_measure_{position}_{part}"
             measures[column] = measure
             places[name, part] = F.col(column)
-    for frame in fused_aggregates(measures, logs.table, [key]):
+    for frame in fused_aggregates(logs, measures, key):
         df = df.join(frame, key, "left")
 
     for position, (name, kpi) in enumerate(kpis.items()):

@@ -78,6 +78,10 @@ class ProcessLogs:
     def flow_topology(self) -> DataFrame:
         return self._open_table("flow_topology")
 
+    @cached_property
+    def definitions(self) -> DataFrame:
+        return self._open_table("definitions")
+
 
 def read_logs(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> ProcessLogs:
     """Logs stored as one folder per table under ``path`` (parquet, orc, json or csv).

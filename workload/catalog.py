@@ -10,6 +10,8 @@ from flowgauge.operators.counts import execution_count, retry_count
 from flowgauge.operators.timing import duration
 from flowgauge.plans.record import kpi_record, single_kpi
 from flowgauge.sources.event_log import logs_from_events
+from flowgauge.sources.logs import ProcessLogs
+from workload import history_queries, table_queries
 from workload.kpi_queries import KPIS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +32,19 @@ def _kpi_query(name: str) -> Query:
     )
 
 
+def _log_query(query: Callable[[ProcessLogs], DataFrame]) -> Query:
+    return lambda spark, folder: query(logs_from_events(spark, folder))
+
+
 def queries() -> dict[str, Query]:
-    return {name: _kpi_query(name) for name in KPIS}
+    on_logs = table_queries.QUERIES | history_queries.QUERIES
+    return (
+        {name: _log_query(query) for name, (query, _) in on_logs.items()}
+        | {name: _kpi_query(name) for name in KPIS}
+        | {name: query for name, (query, _) in table_queries.STREAMS.items()}
+    )
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in KPIS.items()}
+    pairs = table_queries.QUERIES | history_queries.QUERIES | KPIS | table_queries.STREAMS
+    return {name: sql for name, (_, sql) in pairs.items()}
