@@ -43,23 +43,28 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Stands for "no such element in the group"; nulls would turn Arrow longs into floats.
 NONE = -(2**63)
 
+# Places of the flows in the order they were given, then of the elements among them.
 PLACES = StructType([
-    StructField("elements", ArrayType(LongType())),
-    StructField("flows", ArrayType(StringType())),
+    StructField("flow_stuck", ArrayType(BooleanType())),
+    StructField("flow_lead_element", ArrayType(LongType())),
+    StructField("flow_lead_flow", ArrayType(StringType())),
+    StructField("flow_step", ArrayType(IntegerType())),
+    StructField("element", ArrayType(LongType())),
     StructField("stuck", ArrayType(BooleanType())),
-    StructField("lead_elements", ArrayType(LongType())),
-    StructField("lead_flows", ArrayType(StringType())),
-    StructField("steps", ArrayType(IntegerType())),
+    StructField("lead_element", ArrayType(LongType())),
+    StructField("lead_flow", ArrayType(StringType())),
+    StructField("step", ArrayType(IntegerType())),
 ])
 
 
 def sorted_piece(
     flow_ids: Iterable[str], sources: Iterable[int], targets: Iterable[int],
-) -> list[tuple[int, str, bool, int, str, int]]:
+) -> dict[tuple[int, int, str], tuple[bool, int, str, int]]:
     """Sort one instance's part of a tie group.
 
-    Returns (element, flow, stuck, lead element, lead flow, step) per entry; elements
-    have an empty flow and flows the element ``NONE``.
+    Entries are (0, element key, "") or (1, NONE, flow id). Each is given
+    (stuck, lead element, lead flow, step): whether it is on or behind a cycle, the
+    greatest entry up to it, and its place in the piece.
     """
     after: dict[tuple, set[tuple]] = {}
     waiting: dict[tuple, int] = {}
@@ -77,69 +82,90 @@ def sorted_piece(
 
     free = [entry for entry, count in waiting.items() if not count]
     heapq.heapify(free)
-    placed, lead = [], (0, NONE, "")
+    places: dict[tuple, tuple] = {}
+    lead = (0, NONE, "")
     while free:
         entry = heapq.heappop(free)
         lead = max(lead, entry)
-        placed.append((entry[1], entry[2], False, lead[1], lead[2], len(placed)))
+        places[entry] = (False, lead[1], lead[2], len(places))
         for then in after.get(entry, ()):
             waiting[then] -= 1
             if not waiting[then]:
                 heapq.heappush(free, then)
-    done = {(element, flow) for element, flow, *_ in placed}
-    placed += [
-        (element, flow, True, element, flow, 0)
-        for _, element, flow in sorted(waiting) if (element, flow) not in done
-    ]
-    return placed
+    for entry in waiting.keys() - places.keys():
+        places[entry] = (True, entry[1], entry[2], 0)
+    return places
 
 
 @F.pandas_udf(PLACES)
 def _places(flow_ids: pd.Series, sources: pd.Series, targets: pd.Series) -> pd.DataFrame:
-    rows = [
-        [list(column) for column in zip(*sorted_piece(*piece))]
-        for piece in zip(flow_ids, (s.tolist() for s in sources), (t.tolist() for t in targets))
-    ]
+    rows = []
+    for ids, source, target in zip(flow_ids, sources, targets):
+        places = sorted_piece(ids, source.tolist(), target.tolist())
+        flows = [places[1, NONE, flow_id] for flow_id in ids]
+        elements = [(entry[1], *place) for entry, place in places.items() if entry[0] == 0]
+        rows.append([*map(list, zip(*flows)), *(map(list, zip(*elements)) if elements else [[]] * 5)])
     return pd.DataFrame(rows, columns=PLACES.fieldNames())
 
 
-def tie_places(occurrences: DataFrame, types: list[str]) -> DataFrame:
-    """Places of the flows, and of the elements tied to them, within equal starts.
+# What a flow brings along into the history.
+CARRIED = ("source_ref", "target_ref", "process_definition_id", "tenant_id")
+
+
+def placed_entries(occurrences: DataFrame, types: list[str]) -> DataFrame:
+    """The flows with their place within equal starts, and the places of elements tied to them.
 
     ``occurrences`` comes from :func:`flowgauge.operators.flows.flow_occurrences`;
-    ``types`` are the element types that take part in the history. Result, one row per
-    entry: (process_instance_key, element_instance_key or null, flow_id or null, stuck,
-    lead_kind, lead_element, lead_flow, step). Elements not listed stand for
-    themselves.
+    ``types`` are the element types that take part in the history. One row per entry:
+    flows have ``flow_id`` and their columns, elements only their
+    ``element_instance_key``. Elements not listed stand for themselves.
     """
+    starts = F.col("target.start_date")
+
     def tied(end: str):
-        end_type, key = F.col(f"{end}.type"), F.col(f"{end}.element_instance_key")
-        same = F.col(f"{end}.start_date") == F.col("target.start_date")
-        return F.when(end_type.isin(types) & same, key).otherwise(F.lit(NONE))
+        same = F.col(f"{end}.type").isin(types) & (F.col(f"{end}.start_date") == starts)
+        return F.when(same, F.col(f"{end}.element_instance_key")).otherwise(F.lit(NONE))
 
+    flow = F.struct(
+        "flow_id", tied("source").alias("source_key"), tied("target").alias("target_key"),
+        F.col("source.element_id").alias("source_ref"), F.col("target.element_id").alias("target_ref"),
+        "process_definition_id", "tenant_id",
+    )
     # A flow listed twice stands next to itself in any order, so one copy is ranked.
     pieces = (
-        occurrences.groupBy(KEY, "flow_id", F.col("target.start_date").alias("start_date"))
-        .agg(F.min(tied("source")).alias("source_key"), F.min(tied("target")).alias("target_key"))
-        .groupBy(KEY, "start_date")
-        .agg(F.array_sort(F.collect_list(F.struct("flow_id", "source_key", "target_key"))).alias("piece"))
+        occurrences.groupBy(KEY, "flow_id").agg(
+            F.min(F.struct(starts.alias("start_date"), flow.alias("flow"))).alias("taken"),
+            F.count(F.lit(1)).alias("copies"),
+        )
+        .groupBy(KEY, F.col("taken.start_date").alias("start_date"))
+        .agg(F.array_sort(F.collect_list(F.struct("taken.flow.*", "copies"))).alias("piece"))
+    )
+    placed = pieces.withColumn(
+        "p", _places(F.col("piece.flow_id"), F.col("piece.source_key"), F.col("piece.target_key"))
+    )
+    flows = F.transform(
+        F.arrays_zip("piece", "p.flow_stuck", "p.flow_lead_element", "p.flow_lead_flow", "p.flow_step"),
+        lambda e: F.struct(
+            F.lit(None).cast("bigint").alias("element_instance_key"), e["piece"]["flow_id"].alias("flow_id"),
+            *(e["piece"][name].alias(name) for name in CARRIED), e["piece"]["copies"].alias("copies"),
+            e["flow_stuck"].alias("stuck"), e["flow_lead_element"].alias("lead_element"),
+            e["flow_lead_flow"].alias("lead_flow"), e["flow_step"].alias("step"),
+        ),
     )
-    placed = pieces.select(
-        KEY, _places(F.col("piece.flow_id"), F.col("piece.source_key"), F.col("piece.target_key")).alias("p")
+    elements = F.transform(
+        F.arrays_zip("p.element", "p.stuck", "p.lead_element", "p.lead_flow", "p.step"),
+        lambda e: F.struct(
+            e["element"].alias("element_instance_key"), F.lit(None).cast("string").alias("flow_id"),
+            *(F.lit(None).cast("string").alias(name) for name in CARRIED), F.lit(1).cast("bigint").alias("copies"),
+            e["stuck"].alias("stuck"), e["lead_element"].alias("lead_element"),
+            e["lead_flow"].alias("lead_flow"), e["step"].alias("step"),
+        ),
     )
-    rows = placed.select(KEY, F.explode(F.arrays_zip(
-        "p.elements", "p.flows", "p.stuck", "p.lead_elements", "p.lead_flows", "p.steps"
-    )).alias("e"))
-    is_flow = F.col("e.flows") != ""
-    lead_is_flow = F.col("e.lead_flows") != ""
-    return rows.select(
-        KEY,
-        F.when(~is_flow, F.col("e.elements")).alias("element_instance_key"),
-        F.when(is_flow, F.col("e.flows")).alias("flow_id"),
-        F.col("e.stuck").alias("stuck"),
-        lead_is_flow.alias("lead_is_flow"),
-        F.when(~lead_is_flow, F.col("e.lead_elements")).alias("lead_element"),
-        F.when(lead_is_flow, F.col(KEY)).alias("lead_instance"),
-        F.col("e.lead_flows").alias("lead_flow"),
-        F.col("e.steps").alias("step"),
+    entries = placed.select(KEY, "start_date", F.inline(F.concat(flows, elements)))
+    led_by_flow = F.col("lead_flow") != ""
+    return entries.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(
+        KEY, "element_instance_key", "flow_id", "start_date", *CARRIED, "stuck",
+        led_by_flow.alias("lead_is_flow"),
+        F.when(~led_by_flow, F.col("lead_element")).alias("lead_element"),
+        F.when(led_by_flow, F.col(KEY)).alias("lead_instance"), "lead_flow", "step",
     )

@@ -13,7 +13,7 @@ from flowgauge.operators.closure import call_closure
 from flowgauge.operators.filters import families, split_names
 from flowgauge.operators.flows import flow_occurrences
 from flowgauge.operators.kpi import Kpi
-from flowgauge.operators.ranking import tie_places
+from flowgauge.operators.ranking import CARRIED, placed_entries
 from flowgauge.schemas import KEY
 from flowgauge.sources.logs import ProcessLogs
 
@@ -69,18 +69,6 @@ def element_entries(logs: ProcessLogs, types: list[str]) -> DataFrame:
     ).withColumns(own_place)
 
 
-def flow_entries(occurrences: DataFrame) -> DataFrame:
-    """Sequence flows taken, dated by the start of their target."""
-    return occurrences.select(
-        KEY, "process_definition_id", "tenant_id",
-        F.col("flow_id").alias("element_id"),
-        F.col("source.element_id").alias("source_ref"),
-        F.col("target.element_id").alias("target_ref"),
-        F.lit("SEQUENCE_FLOW").alias("type"),
-        F.col("target.start_date").alias("start_date"),
-    )
-
-
 def history_entries(logs: ProcessLogs, activity_filter: str | Iterable[str] = "ALL") -> DataFrame:
     """Elements and flows of each single instance, with the columns of :data:`ORDER`."""
     types, with_flows = families(activity_filter)
@@ -88,21 +76,34 @@ def history_entries(logs: ProcessLogs, activity_filter: str | Iterable[str] = "A
     if not with_flows:
         return elements
     occurrences = flow_occurrences(logs.sequence_flows, logs.flow_topology, logs.element_instances)
-    places = tie_places(occurrences, types)
+    return with_flows_placed(elements, placed_entries(occurrences, types))
 
-    flows = flow_entries(occurrences).join(
-        places.filter(F.col("flow_id").isNotNull()).drop("element_instance_key")
-        .withColumnRenamed("flow_id", "element_id"),
-        [KEY, "element_id"],
-    )
-    tied = places.filter(F.col("element_instance_key").isNotNull()).select(
-        "element_instance_key", F.struct(*_PLACE).alias("tied")
+
+def with_flows_placed(elements: DataFrame, placed: DataFrame) -> DataFrame:
+    """Give tied elements their places and add the flows, in one full outer join.
+
+    The join key is the element's own key, or a hash of the flow, so rows spread
+    evenly whatever the instances hold; ``is_flow`` keeps the two apart.
+    """
+    is_flow = F.col("flow_id").isNotNull()
+    places = placed.select(
+        is_flow.alias("is_flow"),
+        F.when(is_flow, F.xxhash64(KEY, "flow_id")).otherwise(F.col("element_instance_key")).alias("entry"),
+        F.struct(
+            F.col(KEY), F.col("flow_id").alias("element_id"), *CARRIED,
+            F.lit("SEQUENCE_FLOW").alias("type"), "start_date",
+        ).alias("flow"),
+        F.struct(*_PLACE).alias("place"),
     )
-    # Joined on the element's own key, which spreads evenly whatever the instances hold.
-    placed = elements.join(tied, "element_instance_key", "left").withColumns({
-        name: F.when(F.col("tied").isNotNull(), F.col(f"tied.{name}")).otherwise(F.col(name)) for name in _PLACE
-    }).drop("tied")
-    return placed.unionByName(flows, allowMissingColumns=True)
+    own = elements.withColumns({"is_flow": F.lit(False), "entry": F.col("element_instance_key")})
+    of_flow = {name: F.col(f"flow.{name}") for name in (KEY, "element_id", "process_definition_id", "tenant_id",
+                                                        "type", "start_date")}
+    placed_at = {name: F.col(f"place.{name}") for name in _PLACE}
+    return own.join(places, ["is_flow", "entry"], "full").withColumns(
+        {name: F.when(F.col("is_flow"), value).otherwise(F.col(name)) for name, value in of_flow.items()}
+        | {name: F.when(F.col("place").isNotNull(), value).otherwise(F.col(name)) for name, value in placed_at.items()}
+        | {name: F.when(F.col("is_flow"), F.col(f"flow.{name}")) for name in ("source_ref", "target_ref")}
+    ).drop("is_flow", "entry", "flow", "place")
 
 
 def earliest(rows: DataFrame, group: str, size: int, position: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 _NOT_MARKUP = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _FLOW_TAG = r"""<(?:[\w.\-]+:)?sequenceFlow(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>"""
 _PREFIX = r"^<(?:[\w.\-]+:)?sequenceFlow"
+_ATTRIBUTES_BEFORE = r"""^<[^\s/>]+(?:\s+[\w:.\-]+\s*=\s*(?:"[^"]*"|'[^']*'))*?\s+"""
 
 
 def flow_topology(definitions: DataFrame) -> DataFrame:
@@ -31,14 +32,20 @@ def flow_topology(definitions: DataFrame) -> DataFrame:
         "process_definition_key", F.posexplode(F.regexp_extract_all(text, F.lit(_FLOW_TAG), F.lit(0)))
         .alias("place", "tag")
     )
-    # Each tag becomes a document of its own, so that Spark's XPath decodes its attributes.
-    opened = F.regexp_replace(F.regexp_replace("tag", r"/?>$", "/>"), _PREFIX, "<sequenceFlow")
+    flow_tag = F.col("tag")
+    # A tag with an entity in it becomes a document of its own, for Spark's XPath to decode.
+    opened = F.regexp_replace(F.regexp_replace(flow_tag, r"/?>$", "/>"), _PREFIX, "<sequenceFlow")
 
     def attribute(name: str):
-        value = F.xpath_string(F.col("tag"), F.lit(f"/*/@{name}"))
+        plain = _ATTRIBUTES_BEFORE + name + r"""\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+        value = F.when(
+            F.contains(flow_tag, F.lit("&")), F.xpath_string(opened, F.lit(f"/*/@{name}"))
+        ).otherwise(F.translate(
+            F.concat(F.regexp_extract(flow_tag, plain, 1), F.regexp_extract(flow_tag, plain, 2)), "\t\r\n", "   "
+        ))
         return F.when(value != "", value)
 
-    flows = tags.select("process_definition_key", "place", opened.alias("tag")).select(
+    flows = tags.select(
         "process_definition_key", "place", attribute("id").alias("flow_id"),
         F.struct(attribute("sourceRef").alias("source_ref"), attribute("targetRef").alias("target_ref")).alias("ends"),
     )

@@ -172,7 +172,9 @@ def _ranks(logs: ProcessLogs) -> DataFrame:
 
 
 def _flows(logs: ProcessLogs) -> DataFrame:
-    return plan.flow_entries(_occurrences(logs))
+    return plan.history_entries(logs, "SEQUENCE").select(
+        KEY, "process_definition_id", "tenant_id", "element_id", "source_ref", "target_ref", "type", "start_date"
+    )
 
 
 def _elements(logs: ProcessLogs) -> DataFrame:
