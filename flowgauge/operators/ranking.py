@@ -13,6 +13,10 @@ greatest entry that precedes it in its piece: its place in the merged order is
 (greatest original position up to here, place in the piece). This place is known from
 the piece alone, and any window or top-k over it is plain Spark. A piece holds the
 flows of one instance, at most as many as its process model has.
+
+In most pieces no flow leaves an element of the same instant. Then every flow is free
+from the start and a target follows the last flow into it, which is a plain array
+expression; only pieces with chains inside one instant are sorted in Python.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from collections.abc import Iterable
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -101,6 +105,9 @@ def sorted_piece(
 def _places(flow_ids: pd.Series, sources: pd.Series, targets: pd.Series) -> pd.DataFrame:
     rows = []
     for ids, source, target in zip(flow_ids, sources, targets):
+        if not len(ids):
+            rows.append([[]] * len(PLACES))
+            continue
         places = sorted_piece(ids, source.tolist(), target.tolist())
         flows = [places[1, NONE, flow_id] for flow_id in ids]
         elements = [(entry[1], *place) for entry, place in places.items() if entry[0] == 0]
@@ -112,6 +119,26 @@ def _places(flow_ids: pd.Series, sources: pd.Series, targets: pd.Series) -> pd.D
 CARRIED = ("source_ref", "target_ref", "process_definition_id", "tenant_id")
 
 
+def _one() -> Column:
+    return F.lit(1).cast("bigint")
+
+
+def _entry(
+    copies: Column, stuck: Column, lead_element: Column, lead_flow: Column, step: Column,
+    flow: Column | None = None, element: Column | None = None,
+) -> Column:
+    """A flow or an element with its place, as one struct type."""
+    key = F.lit(None).cast("bigint") if element is None else element
+    carried = {
+        name: F.lit(None).cast("string") if flow is None else flow[name] for name in ("flow_id", *CARRIED)
+    }
+    return F.struct(
+        key.alias("element_instance_key"), *(value.alias(name) for name, value in carried.items()),
+        copies.alias("copies"), stuck.alias("stuck"), lead_element.alias("lead_element"),
+        lead_flow.alias("lead_flow"), step.alias("step"),
+    )
+
+
 def placed_entries(occurrences: DataFrame, types: list[str]) -> DataFrame:
     """The flows with their place within equal starts, and the places of elements tied to them.
 
@@ -140,30 +167,46 @@ def placed_entries(occurrences: DataFrame, types: list[str]) -> DataFrame:
         .groupBy(KEY, F.col("taken.start_date").alias("start_date"))
         .agg(F.array_sort(F.collect_list(F.struct("taken.flow.*", "copies"))).alias("piece"))
     )
-    placed = pieces.withColumn(
-        "p", _places(F.col("piece.flow_id"), F.col("piece.source_key"), F.col("piece.target_key"))
-    )
+    chained = F.exists("piece", lambda flow: flow["source_key"] != NONE)
+
+    def if_chained(name: str, kind: str):
+        return F.when(chained, F.col(f"piece.{name}")).otherwise(F.array().cast(kind))
+
+    placed = pieces.withColumns({
+        "p": _places(
+            if_chained("flow_id", "array<string>"), if_chained("source_key", "array<bigint>"),
+            if_chained("target_key", "array<bigint>"),
+        ),
+        "targets": F.col("piece.target_key"),
+    })
     flows = F.transform(
         F.arrays_zip("piece", "p.flow_stuck", "p.flow_lead_element", "p.flow_lead_flow", "p.flow_step"),
-        lambda e: F.struct(
-            F.lit(None).cast("bigint").alias("element_instance_key"), e["piece"]["flow_id"].alias("flow_id"),
-            *(e["piece"][name].alias(name) for name in CARRIED), e["piece"]["copies"].alias("copies"),
-            e["flow_stuck"].alias("stuck"), e["flow_lead_element"].alias("lead_element"),
-            e["flow_lead_flow"].alias("lead_flow"), e["flow_step"].alias("step"),
+        lambda e: _entry(
+            e["piece"]["copies"], F.coalesce(e["flow_stuck"], F.lit(False)),
+            F.coalesce(e["flow_lead_element"], F.lit(NONE)),
+            F.coalesce(e["flow_lead_flow"], e["piece"]["flow_id"]), F.coalesce(e["flow_step"], F.lit(0)),
+            flow=e["piece"],
         ),
     )
-    elements = F.transform(
+    sorted_elements = F.transform(
         F.arrays_zip("p.element", "p.stuck", "p.lead_element", "p.lead_flow", "p.step"),
-        lambda e: F.struct(
-            e["element"].alias("element_instance_key"), F.lit(None).cast("string").alias("flow_id"),
-            *(F.lit(None).cast("string").alias(name) for name in CARRIED), F.lit(1).cast("bigint").alias("copies"),
-            e["stuck"].alias("stuck"), e["lead_element"].alias("lead_element"),
-            e["lead_flow"].alias("lead_flow"), e["step"].alias("step"),
+        lambda e: _entry(_one(), e["stuck"], e["lead_element"], e["lead_flow"], e["step"], element=e["element"]),
+    )
+    last_into_target = F.filter(
+        "piece",
+        lambda flow, i: (flow["target_key"] != NONE)
+        & ~F.array_contains(F.slice("targets", i + 2, F.size("targets")), flow["target_key"]),
+    )
+    following_elements = F.transform(
+        last_into_target,
+        lambda flow: _entry(
+            _one(), F.lit(False), F.lit(NONE), flow["flow_id"], F.lit(1), element=flow["target_key"]
         ),
     )
+    elements = F.when(chained, sorted_elements).otherwise(following_elements)
     entries = placed.select(KEY, "start_date", F.inline(F.concat(flows, elements)))
     led_by_flow = F.col("lead_flow") != ""
-    return entries.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(
+    return entries.withColumn("copy", F.explode(F.sequence(_one(), F.col("copies")))).select(
         KEY, "element_instance_key", "flow_id", "start_date", *CARRIED, "stuck",
         led_by_flow.alias("lead_is_flow"),
         F.when(~led_by_flow, F.col("lead_element")).alias("lead_element"),
