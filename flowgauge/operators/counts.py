@@ -2,33 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowgauge.errors import bad_input, incomplete, is_blank, required
-from flowgauge.operators.filters import element_is, has_text, job_is
+from flowgauge.operators.filters import element_is, has_text, job_is, job_keep
 from flowgauge.operators.kpi import Kpi, Measure, all_of, any_of, measured
 
 
-def count_of(table: str, condition: Column | None) -> Measure:
+def count_of(table: str, condition: Column | None, **keep: Sequence[str]) -> Measure:
     counted = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-    return Measure(table, counted, condition)
+    return Measure(table, counted, keep)
 
 
-def ever(table: str, condition: Column) -> Measure:
-    return Measure(table, F.bool_or(condition), condition)
+def ever(table: str, *ids: str) -> Measure:
+    """Does any row name one of the elements?"""
+    return Measure(table, F.bool_or(F.col("element_id").isin(list(ids))), {"element_id": ids})
 
 
 def execution_count(element_id: str, match: str = "id") -> Kpi:
     """How often an element ran."""
     wanted = required(element_id, "executionCount() element id")
-    return measured(n=count_of("element_instances", element_is(wanted, match=match)))
+    keep = {"element_id": (wanted,)} if match == "id" else {}
+    return measured(n=count_of("element_instances", element_is(wanted, match=match), **keep))
 
 
 def retry_count(element_id: str | None = None) -> Kpi:
     """Executions beyond the first, of one element or summed over all elements."""
     if not is_blank(element_id):
-        runs = count_of("element_instances", element_is(element_id))
+        runs = count_of("element_instances", element_is(element_id), element_id=(element_id,))
         return measured(lambda inputs: F.greatest(inputs.count() - 1, F.lit(0).cast("bigint")), n=runs)
     runs = F.count("element_id")
     batch = Measure("element_instances", runs - F.count_distinct("element_id"), distinct=True)
@@ -46,36 +50,35 @@ def incident_count(element_id: str | None = None) -> Kpi:
     """
     if is_blank(element_id):
         return measured(n=count_of("incidents", None))
-    condition = element_is(element_id)
     return measured(
         lambda inputs: F.when(inputs["executed"], inputs.count()).otherwise(F.lit(0).cast("bigint")),
-        n=count_of("incidents", condition),
-        executed=ever("element_instances", condition),
+        n=count_of("incidents", element_is(element_id), element_id=(element_id,)),
+        executed=ever("element_instances", element_id),
     )
 
 
 def message_count(name: str | None = None) -> Kpi:
     """Correlated messages, optionally of one name."""
-    return measured(
-        n=count_of("message_subscriptions", None if is_blank(name) else F.col("message_name") == name)
-    )
+    if is_blank(name):
+        return measured(n=count_of("message_subscriptions", None))
+    return measured(n=count_of("message_subscriptions", F.col("message_name") == name, message_name=(name,)))
 
 
 def variable_changed_count(name: str) -> Kpi:
     """In how many scopes the variable is held."""
     wanted = required(name, "variableChangedCount() variable name")
-    return measured(n=count_of("variables", F.col("name") == wanted))
+    return measured(n=count_of("variables", F.col("name") == wanted, name=(wanted,)))
 
 
 def bpmn_error_count(error_code: str | None = None) -> Kpi:
     """Jobs that ended with a BPMN error code."""
-    return measured(n=count_of("jobs", all_of(has_text(F.col("error_code")), job_is(error_code))))
+    return bpm_error_count(error_code)
 
 
 def bpm_error_count(error_code: str | None = None, element_id: str | None = None) -> Kpi:
     """Jobs that ended with a BPMN error, filtered by code and element."""
     condition = all_of(has_text(F.col("error_code")), job_is(error_code, element_id))
-    return measured(n=count_of("jobs", condition))
+    return measured(n=count_of("jobs", condition, **job_keep(error_code, element_id)))
 
 
 def boundary_error_count(error_code: str | None = None, element_id: str | None = None) -> Kpi:
@@ -83,7 +86,8 @@ def boundary_error_count(error_code: str | None = None, element_id: str | None =
     named = [
         element_is(value, match="name_or_id") for value in (error_code, element_id) if not is_blank(value)
     ]
-    return measured(n=count_of("element_instances", all_of(F.col("type") == "BOUNDARY_EVENT", *named)))
+    condition = all_of(F.col("type") == "BOUNDARY_EVENT", *named)
+    return measured(n=count_of("element_instances", condition, type=("BOUNDARY_EVENT",)))
 
 
 def path(mode: str, *ids: str, include_flows: bool = False) -> Kpi:
@@ -101,11 +105,11 @@ def path(mode: str, *ids: str, include_flows: bool = False) -> Kpi:
 
     if how == "ALL":
         measures = {
-            f"{table}_{position}": ever(table, F.col("element_id") == value)
+            f"{table}_{position}": ever(table, value)
             for table in tables for position, value in enumerate(wanted)
         }
     else:
-        measures = {f"{table}_0": ever(table, F.col("element_id").isin(wanted)) for table in tables}
+        measures = {f"{table}_0": ever(table, *wanted) for table in tables}
 
     def finish(inputs):
         def seen(position: int) -> Column:

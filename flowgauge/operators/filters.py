@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.errors import bad_input, incomplete, is_blank
-from flowgauge.operators.kpi import all_of
+from flowgauge.operators.kpi import PRESENT, all_of
 
 # Element types and the families an activity filter may name.
 EVENT_TYPES = (
@@ -80,6 +80,12 @@ def job_is(error_code: str | None = None, element_id: str | None = None) -> Colu
     return all_of(by_code, element_is(element_id))
 
 
+def job_keep(error_code: str | None = None, element_id: str | None = None) -> dict[str, Sequence[str]]:
+    """The jobs with an error code that :func:`job_is` can select, for the scan."""
+    keep = {"error_code": PRESENT if is_blank(error_code) else (error_code,)}
+    return keep if is_blank(element_id) else keep | {"element_id": (element_id,)}
+
+
 def has_text(column: Column) -> Column:
     """Not null and not blank."""
     return column.rlike(r"\S")

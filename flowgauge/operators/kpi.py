@@ -16,19 +16,23 @@ from pyspark.sql import functions as F
 from flowgauge.sources.logs import ProcessLogs
 
 
+# Any value but null.
+PRESENT: Sequence[str] = ()
+
+
 @dataclass(frozen=True)
 class Measure:
     """One aggregate over the rows of one log table, per instance.
 
-    ``keep`` is the condition on rows the aggregate can use. When every measure of a
-    table has one, their disjunction is pushed into the scan.
+    ``keep`` says which rows the aggregate can use at all: column -> wanted values, or
+    :data:`PRESENT`. What all measures of a table restrict is pushed into the scan.
     ``distinct`` marks aggregates that need a second exchange; they are planned
     apart, on their few columns, so that the wide fused aggregate keeps a single one.
     """
 
     table: str
     aggregate: Column
-    keep: Column | None = None
+    keep: Mapping[str, Sequence[str]] = field(default_factory=dict)
     distinct: bool = False
 
 
@@ -83,10 +87,24 @@ def measured(finish: Callable[[Inputs], Column] | None = None, **measures: Measu
     return Kpi(finish or (lambda inputs: inputs.count()), measures)
 
 
-def any_of(conditions: Sequence[Column | None]) -> Column | None:
-    """Disjunction, or None when one of the conditions is absent (all rows needed)."""
-    if not conditions or any(condition is None for condition in conditions):
-        return None
+def shared_filter(measures: Sequence[Measure]) -> Column | None:
+    """What every measure restricts: per column the union of the wanted values.
+
+    Plain ``IN`` and ``IS NOT NULL`` on stored columns, so scans of any source take it.
+    """
+    first, *others = measures
+    conditions = []
+    for column in first.keep:
+        if all(column in measure.keep for measure in others):
+            wanted = [tuple(measure.keep[column]) for measure in measures]
+            values = sorted({value for part in wanted for value in part})
+            conditions.append(
+                F.col(column).isNotNull() if PRESENT in wanted else F.col(column).isin(values)
+            )
+    return all_of(*conditions)
+
+
+def any_of(conditions: Sequence[Column]) -> Column:
     combined = conditions[0]
     for condition in conditions[1:]:
         combined = combined | condition

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowgauge.errors import required
-from flowgauge.operators.filters import has_text, job_is
+from flowgauge.operators.filters import has_text, job_is, job_keep
 from flowgauge.operators.kpi import Kpi, Measure, all_of, measured
 
 
@@ -19,26 +21,31 @@ def newest_order(moment: Column, key: Column) -> Column:
     return F.struct(moment.isNull().alias("undated"), moment.alias("moment"), (-key).alias("key"))
 
 
-def latest(table: str, value: str, moment: str, key: str, keep: Column | None) -> Measure:
+def latest(
+    table: str, value: str, moment: str, key: str, condition: Column, keep: Mapping[str, Sequence[str]],
+) -> Measure:
     order = newest_order(F.col(moment), F.col(key))
-    return Measure(
-        table, F.max_by(F.col(value), order if keep is None else F.when(keep, order)), keep
-    )
+    return Measure(table, F.max_by(F.col(value), F.when(condition, order)), keep)
 
 
 def bpmn_error(element_id: str | None = None) -> Kpi:
     """Code of the most recent BPMN error, of one element or of the instance."""
-    keep = all_of(has_text(F.col("error_code")), job_is(element_id=element_id))
+    condition = all_of(has_text(F.col("error_code")), job_is(element_id=element_id))
+    keep = job_keep(element_id=element_id)
     return measured(
-        lambda inputs: inputs["last"], last=latest("jobs", "error_code", "last_update_time", "job_key", keep)
+        lambda inputs: inputs["last"],
+        last=latest("jobs", "error_code", "last_update_time", "job_key", condition, keep),
     )
 
 
 def decision_result(decision_id: str) -> Kpi:
     """JSON result of the most recent evaluation of a decision."""
     wanted = required(decision_id, "decisionResult() decision id")
-    keep = F.col("decision_definition_id") == wanted
+    condition = F.col("decision_definition_id") == wanted
     return measured(
         lambda inputs: inputs["last"],
-        last=latest("decision_instances", "result", "evaluation_date", "decision_instance_key", keep),
+        last=latest(
+            "decision_instances", "result", "evaluation_date", "decision_instance_key", condition,
+            {"decision_definition_id": (wanted,)},
+        ),
     )

@@ -23,8 +23,9 @@ def _moment(reference: str, match: str) -> Measure:
     """First known start or end of ``id``, ``id:START`` or ``id:END``."""
     element_id, _, edge = reference.partition(":")
     moment = F.col("start_date" if edge.strip().upper() == "START" else "end_date")
-    keep = all_of(element_is(required(element_id, "duration() element id"), match=match), moment.isNotNull())
-    return Measure("element_instances", F.min_by(moment, F.when(keep, start_order())), keep)
+    known = all_of(element_is(required(element_id, "duration() element id"), match=match), moment.isNotNull())
+    keep = {"element_id": (element_id,)} if match == "id" else {}
+    return Measure("element_instances", F.min_by(moment, F.when(known, start_order())), keep)
 
 
 def duration(from_element: str, to_element: str, unit: str = "MS", match: str = "id") -> Kpi:

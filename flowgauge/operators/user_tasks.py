@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.errors import incomplete
+from flowgauge.errors import incomplete, is_blank
 from flowgauge.functions.clock import hour_slot, in_unit, micros_between, one_of, parse_iso_duration
-from flowgauge.operators.filters import element_is, keep_rows
-from flowgauge.operators.kpi import Kpi, Measure, all_of, measured
+from flowgauge.operators.filters import element_is
+from flowgauge.operators.kpi import PRESENT, Kpi, Measure, all_of, measured
 from flowgauge.sources.logs import ProcessLogs
 
 # Units of the SLA description and the suffix each is shown with.
@@ -23,6 +23,10 @@ def completed_user_task(element_id: str | None) -> Column:
     )
 
 
+def named(element_id: str | None) -> dict[str, tuple[str, ...]]:
+    return {} if is_blank(element_id) else {"element_id": (element_id,)}
+
+
 def within(limit: str) -> Column:
     if limit is None:
         raise incomplete("a user-task SLA requires a limit, an ISO-8601 duration")
@@ -31,8 +35,8 @@ def within(limit: str) -> Column:
 
 def user_task_sla(element_id: str | None, limit: str) -> Kpi:
     """True when every completed user task took at most ``limit``; open tasks are ignored."""
-    keep = completed_user_task(element_id)
-    met = Measure("element_instances", F.bool_and(F.when(keep, within(limit))), keep)
+    keep = {"type": ("USER_TASK",)} | named(element_id)
+    met = Measure("element_instances", F.bool_and(F.when(completed_user_task(element_id), within(limit))), keep)
     return measured(lambda inputs: F.coalesce(inputs["met"], F.lit(True)), met=met)
 
 
@@ -74,10 +78,10 @@ def user_task_sla_description(element_id: str | None, limit: str, unit: str = "h
 def user_task_assignee(element_id: str | None = None, mode: str = "FIRST") -> Kpi:
     """First, last or all (comma-joined) assignees by creation date, undated tasks last."""
     how = one_of(mode, ASSIGNEE_MODES, "userTaskAssignee() mode")
-    keep = all_of(F.col("assignee").isNotNull(), element_is(element_id))
+    assigned = all_of(F.col("assignee").isNotNull(), element_is(element_id))
     if how == "ALL":
         def build(logs: ProcessLogs, key: str) -> DataFrame:
-            rows = keep_rows(logs.user_tasks, keep).select(
+            rows = logs.user_tasks.filter(assigned).select(
                 key, F.col("creation_date").alias("moment"), F.col("user_task_key").alias("order_key"),
                 F.col("assignee").alias("text"),
             )
@@ -86,7 +90,7 @@ def user_task_assignee(element_id: str | None = None, mode: str = "FIRST") -> Kp
         return Kpi(lambda inputs: F.coalesce(inputs.frame, F.lit("")), frame=build)
 
     created = F.col("creation_date")
-    order = F.when(keep, F.struct(created.isNull().alias("undated"), created, F.col("user_task_key")))
+    order = F.when(assigned, F.struct(created.isNull().alias("undated"), created, F.col("user_task_key")))
     pick = F.min_by if how == "FIRST" else F.max_by
-    chosen = Measure("user_tasks", pick(F.col("assignee"), order), keep)
+    chosen = Measure("user_tasks", pick(F.col("assignee"), order), {"assignee": PRESENT} | named(element_id))
     return measured(lambda inputs: F.coalesce(inputs["chosen"], F.lit("")), chosen=chosen)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.errors import bad_input, incomplete
 from flowgauge.operators.filters import keep_rows
-from flowgauge.operators.kpi import Inputs, Kpi, Measure, Problem, any_of
+from flowgauge.operators.kpi import Inputs, Kpi, Measure, Problem, any_of, shared_filter
 from flowgauge.operators.projections import constant
 from flowgauge.operators.variables import current_variables
 from flowgauge.schemas import KEY
@@ -50,7 +50,7 @@ def fused_aggregates(logs: ProcessLogs, measures: Mapping[str, Measure], key: st
         groups[measure.table, measure.distinct][name] = measure
     frames = []
     for (table, _), fused in groups.items():
-        rows = keep_rows(logs.table(table), any_of([measure.keep for measure in fused.values()]))
+        rows = keep_rows(logs.table(table), shared_filter(list(fused.values())))
         frames.append(rows.groupBy(key).agg(
             *(measure.aggregate.alias(name) for name, measure in fused.items())
         ))

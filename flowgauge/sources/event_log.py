@@ -21,21 +21,19 @@ EVENT_RANGE = 1_000_000
 def prepared_events(events: DataFrame) -> DataFrame:
     """Events with instance key, week and hour."""
     week = F.floor((F.day("ts") - 1) / 7).cast("bigint")
-    seconds = F.minute("ts") * 60 + F.extract(F.lit("SECOND"), F.col("ts"))
-    past_hour = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    hour = F.col("ts").cast("date").cast("timestamp_ntz") + F.expr("INTERVAL '1' HOUR") * F.hour("ts")
     return events.select(
         "event_id", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         week.alias("w"),
         (F.col("user_id") * 100 + week).alias("pik"),
-        (F.col("ts") - past_hour).alias("sd"),
+        hour.alias("sd"),
     )
 
 
 def _end() -> F.Column:
     """Start plus ``value`` minutes, to the millisecond."""
-    seconds = (F.round(F.col("value") * 60000) / 1000).cast("decimal(18,6)")
-    return F.col("sd") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.col("sd") + F.expr("INTERVAL '0.001' SECOND") * F.round(F.col("value") * 60000).cast("bigint")
 
 
 def _null_when(condition, otherwise):

@@ -5,7 +5,7 @@ from flowgauge.errors import KpiError
 from flowgauge.operators import counts, projections
 from flowgauge.plans.record import kpi_record
 from flowgauge.sinks.matched import append_matched, matched_columns, name_candidates
-from flowgauge.sources.logs import jdbc_options, read_logs
+from flowgauge.sources.logs import ProcessLogs, jdbc_options, read_logs
 
 
 def test_columns_match_ignoring_case():
@@ -54,11 +54,20 @@ def test_scans_get_filters_and_only_the_needed_columns(spark, demo, tmp_path):
         demo.table(name).write.parquet(str(tmp_path / name))
     stored = read_logs(spark, str(tmp_path))
     plan = kpi_record(stored, {"runs": counts.execution_count("start")})._jdf.queryExecution().toString()
-    assert "PushedFilters: [IsNotNull(element_id), EqualTo(element_id,start)" in plan
+    assert "EqualTo(element_id,start)" in plan
     assert "ReadSchema: struct<process_instance_key:bigint,element_id:string>" in plan
+    several = {"runs": counts.execution_count("start"), "path": counts.path("ALL", "a", "b"), "n": counts.incident_count("c")}
+    plan = kpi_record(logs_with(stored, demo), several)._jdf.queryExecution().toString()
+    assert "In(element_id, [a,b,c,start])" in plan
     assert "ReadSchema: struct<process_instance_key:bigint>" in plan
 
 
+def logs_with(stored, demo):
+    return ProcessLogs.of(
+        element_instances=stored.element_instances, process_instances=stored.process_instances, incidents=demo.incidents
+    )
+
+
 def test_jdbc_scans_are_split_by_instance_key():
     options = jdbc_options("jdbc:x", "jobs", (1, 100), 8, user="u")
     assert options["partitionColumn"] == "process_instance_key"
