@@ -1,7 +1,13 @@
-"""Sequence flows taken: their ends in the process model and the occurrences they join."""
+"""Sequence flows taken: their ends in the process model and the occurrences they join.
+
+``instance`` names the columns that tell instances apart: the instance key, or a
+trigger and the instance key where logs are seen as of several moments.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,16 +31,16 @@ def occurrence() -> Column:
     return F.struct("element_instance_key", "element_id", "type", "start_date")
 
 
-def with_target(resolved: DataFrame, elements: DataFrame) -> DataFrame:
+def with_target(resolved: DataFrame, elements: DataFrame, instance: Sequence[str] = (KEY,)) -> DataFrame:
     """Flows with the earliest occurrence of their target; flows not arrived yet are dropped."""
     order = F.struct("start_date", "element_instance_key")
     first = elements.filter(F.col("start_date").isNotNull()).groupBy(
-        KEY, F.col("element_id").alias("target_ref")
+        *instance, F.col("element_id").alias("target_ref")
     ).agg(F.min_by(occurrence(), order).alias("target"))
-    return resolved.join(first, [KEY, "target_ref"])
+    return resolved.join(first, [*instance, "target_ref"])
 
 
-def with_source(dated: DataFrame, elements: DataFrame) -> DataFrame:
+def with_source(dated: DataFrame, elements: DataFrame, instance: Sequence[str] = (KEY,)) -> DataFrame:
     """Flows with the latest occurrence of their source no later than the target's start.
 
     An as-of join, backward and inclusive. Flows whose source never ran keep a null
@@ -43,18 +49,21 @@ def with_source(dated: DataFrame, elements: DataFrame) -> DataFrame:
     combined on the map side.
     """
     probe = dated.filter(F.col("source_ref").isNotNull()).select(
-        KEY, "flow_id", F.col("source_ref").alias("element_id"), F.col("target.start_date").alias("arrived")
+        *instance, "flow_id", F.col("source_ref").alias("element_id"), F.col("target.start_date").alias("arrived")
     ).distinct()
     order = F.struct(F.col("start_date"), (-F.col("element_instance_key")).alias("key"))
     sources = (
-        elements.select(KEY, "element_instance_key", "element_id", "type", "start_date")
-        .join(probe, [KEY, "element_id"])
+        elements.select(*instance, "element_instance_key", "element_id", "type", "start_date")
+        .join(probe, [*instance, "element_id"])
         .filter(F.col("start_date") <= F.col("arrived"))
-        .groupBy(KEY, "flow_id").agg(F.max_by(occurrence(), order).alias("source"))
+        .groupBy(*instance, "flow_id").agg(F.max_by(occurrence(), order).alias("source"))
     )
-    return dated.join(sources, [KEY, "flow_id"], "left")
+    return dated.join(sources, [*instance, "flow_id"], "left")
 
 
-def flow_occurrences(flows: DataFrame, topology: DataFrame, elements: DataFrame) -> DataFrame:
+def flow_occurrences(
+    flows: DataFrame, topology: DataFrame, elements: DataFrame, instance: Sequence[str] = (KEY,),
+) -> DataFrame:
     """Flows taken with ``source`` and ``target`` occurrences, both structs."""
-    return with_source(with_target(resolved_flows(flows, topology), elements), elements)
+    dated = with_target(resolved_flows(flows, topology), elements, instance)
+    return with_source(dated, elements, instance)

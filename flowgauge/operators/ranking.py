@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import heapq
 import sys
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -139,7 +139,7 @@ def _entry(
     )
 
 
-def placed_entries(occurrences: DataFrame, types: list[str]) -> DataFrame:
+def placed_entries(occurrences: DataFrame, types: list[str], instance: Sequence[str] = (KEY,)) -> DataFrame:
     """The flows with their place within equal starts, and the places of elements tied to them.
 
     ``occurrences`` comes from :func:`flowgauge.operators.flows.flow_occurrences`;
@@ -149,22 +149,23 @@ def placed_entries(occurrences: DataFrame, types: list[str]) -> DataFrame:
     """
     starts = F.col("target.start_date")
 
-    def tied(end: str):
-        same = F.col(f"{end}.type").isin(types) & (F.col(f"{end}.start_date") == starts)
-        return F.when(same, F.col(f"{end}.element_instance_key")).otherwise(F.lit(NONE))
+    def key_if(condition: Column, end: str) -> Column:
+        shown = F.col(f"{end}.type").isin(types)
+        return F.when(shown & condition, F.col(f"{end}.element_instance_key")).otherwise(F.lit(NONE))
 
     flow = F.struct(
-        "flow_id", tied("source").alias("source_key"), tied("target").alias("target_key"),
+        "flow_id", key_if(F.col("source.start_date") == starts, "source").alias("source_key"),
+        key_if(F.lit(True), "target").alias("target_key"),
         F.col("source.element_id").alias("source_ref"), F.col("target.element_id").alias("target_ref"),
         "process_definition_id", "tenant_id",
     )
     # A flow listed twice stands next to itself in any order, so one copy is ranked.
     pieces = (
-        occurrences.groupBy(KEY, "flow_id").agg(
+        occurrences.groupBy(*instance, "flow_id").agg(
             F.min(F.struct(starts.alias("start_date"), flow.alias("flow"))).alias("taken"),
             F.count(F.lit(1)).alias("copies"),
         )
-        .groupBy(KEY, F.col("taken.start_date").alias("start_date"))
+        .groupBy(*instance, F.col("taken.start_date").alias("start_date"))
         .agg(F.array_sort(F.collect_list(F.struct("taken.flow.*", "copies"))).alias("piece"))
     )
     chained = F.exists("piece", lambda flow: flow["source_key"] != NONE)
@@ -204,10 +205,10 @@ def placed_entries(occurrences: DataFrame, types: list[str]) -> DataFrame:
         ),
     )
     elements = F.when(chained, sorted_elements).otherwise(following_elements)
-    entries = placed.select(KEY, "start_date", F.inline(F.concat(flows, elements)))
+    entries = placed.select(*instance, "start_date", F.inline(F.concat(flows, elements)))
     led_by_flow = F.col("lead_flow") != ""
     return entries.withColumn("copy", F.explode(F.sequence(_one(), F.col("copies")))).select(
-        KEY, "element_instance_key", "flow_id", "start_date", *CARRIED, "stuck",
+        *instance, "element_instance_key", "flow_id", "start_date", *CARRIED, "stuck",
         led_by_flow.alias("lead_is_flow"),
         F.when(~led_by_flow, F.col("lead_element")).alias("lead_element"),
         F.when(led_by_flow, F.col(KEY)).alias("lead_instance"), "lead_flow", "step",

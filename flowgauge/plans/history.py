@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,25 +69,28 @@ def element_entries(logs: ProcessLogs, types: list[str]) -> DataFrame:
     ).withColumns(own_place)
 
 
-def history_entries(logs: ProcessLogs, activity_filter: str | Iterable[str] = "ALL") -> DataFrame:
+def history_entries(
+    logs: ProcessLogs, activity_filter: str | Iterable[str] = "ALL", instance: Sequence[str] = (KEY,),
+) -> DataFrame:
     """Elements and flows of each single instance, with the columns of :data:`ORDER`."""
     types, with_flows = families(activity_filter)
     elements = element_entries(logs, types)
     if not with_flows:
         return elements
-    occurrences = flow_occurrences(logs.sequence_flows, logs.flow_topology, logs.element_instances)
-    return with_flows_placed(elements, placed_entries(occurrences, types))
+    occurrences = flow_occurrences(logs.sequence_flows, logs.flow_topology, logs.element_instances, instance)
+    return with_flows_placed(elements, placed_entries(occurrences, types, instance), instance)
 
 
-def with_flows_placed(elements: DataFrame, placed: DataFrame) -> DataFrame:
+def with_flows_placed(elements: DataFrame, placed: DataFrame, instance: Sequence[str] = (KEY,)) -> DataFrame:
     """Give tied elements their places and add the flows, in one full outer join.
 
     The join key is the element's own key, or a hash of the flow, so rows spread
     evenly whatever the instances hold; ``is_flow`` keeps the two apart.
     """
     is_flow = F.col("flow_id").isNotNull()
+    scope = [name for name in instance if name != KEY]
     places = placed.select(
-        is_flow.alias("is_flow"),
+        *scope, is_flow.alias("is_flow"),
         F.when(is_flow, F.xxhash64(KEY, "flow_id")).otherwise(F.col("element_instance_key")).alias("entry"),
         F.struct(
             F.col(KEY), F.col("flow_id").alias("element_id"), *CARRIED,
@@ -99,35 +102,38 @@ def with_flows_placed(elements: DataFrame, placed: DataFrame) -> DataFrame:
     of_flow = {name: F.col(f"flow.{name}") for name in (KEY, "element_id", "process_definition_id", "tenant_id",
                                                         "type", "start_date")}
     placed_at = {name: F.col(f"place.{name}") for name in _PLACE}
-    return own.join(places, ["is_flow", "entry"], "full").withColumns(
+    return own.join(places, [*scope, "is_flow", "entry"], "full").withColumns(
         {name: F.when(F.col("is_flow"), value).otherwise(F.col(name)) for name, value in of_flow.items()}
         | {name: F.when(F.col("place").isNotNull(), value).otherwise(F.col(name)) for name, value in placed_at.items()}
         | {name: F.when(F.col("is_flow"), F.col(f"flow.{name}")) for name in ("source_ref", "target_ref")}
     ).drop("is_flow", "entry", "flow", "place")
 
 
-def earliest(rows: DataFrame, group: str, size: int, position: str) -> DataFrame:
+def earliest(rows: DataFrame, group: Sequence[str], size: int, position: str) -> DataFrame:
     """The first ``size`` rows of each group; up to the limit of Spark's window group
     limit the rows beyond are dropped before the shuffle."""
-    in_order = Window.partitionBy(group).orderBy(*ORDER)
+    in_order = Window.partitionBy(*group).orderBy(*ORDER)
     return rows.withColumn(position, F.row_number().over(in_order)).filter(F.col(position) <= size)
 
 
-def with_assignee(entries: DataFrame, user_tasks: DataFrame) -> DataFrame:
+def with_assignee(entries: DataFrame, user_tasks: DataFrame, instance: Sequence[str] = (KEY,)) -> DataFrame:
     """Add the assignee of user tasks; of several tasks of one element the last one's."""
+    element = [*(name for name in instance if name != KEY), "element_instance_key"]
     created = F.col("creation_date")
     last = F.struct(created.isNull().alias("undated"), created, F.col("user_task_key"))
     assignees = (
         user_tasks.filter(F.col("assignee").isNotNull() & F.col("element_instance_key").isNotNull())
-        .groupBy("element_instance_key").agg(F.max_by("assignee", last).alias("assignee"))
+        .groupBy(*element).agg(F.max_by("assignee", last).alias("assignee"))
     )
-    return entries.join(assignees, "element_instance_key", "left")
+    return entries.join(assignees, element, "left")
 
 
-def with_definition(entries: DataFrame, process_instances: DataFrame) -> DataFrame:
+def with_definition(
+    entries: DataFrame, process_instances: DataFrame, instance: Sequence[str] = (KEY,),
+) -> DataFrame:
     """Add name and version of the process definition."""
-    named = process_instances.select(KEY, "process_definition_name", "process_definition_version")
-    return entries.join(named, KEY, "left")
+    named = process_instances.select(*instance, "process_definition_name", "process_definition_version")
+    return entries.join(named, [*instance], "left")
 
 
 def _topic_columns(columns: set[str]) -> dict[str, Column]:
@@ -151,10 +157,13 @@ def _topic_columns(columns: set[str]) -> dict[str, Column]:
 
 def history_rows(
     logs: ProcessLogs, topics: str | Iterable[str] = "ALL", activity_filter: str | Iterable[str] = "ALL",
-    size: int = DEFAULT_SIZE,
+    size: int = DEFAULT_SIZE, root: str | None = None,
 ) -> DataFrame:
     """One row per history entry: (root_key, position, one column per topic).
 
+    Every instance is a root; its entries are found through the call closure. With
+    ``root`` the logs already hold the rows of each root, named by that column.
+
     Of each root the ``size`` earliest entries are kept. The same limit is applied per
     instance first: what an instance cannot place among its own first ``size`` entries
     it cannot place among its root's. So no instance brings more than ``size`` rows to
@@ -162,14 +171,18 @@ def history_rows(
     """
     chosen = chosen_topics(topics)
     limit = positive_size(size)
-    entries = earliest(history_entries(logs, activity_filter), KEY, limit, "own_position")
+    instance = (KEY,) if root is None else (root, KEY)
+    entries = earliest(history_entries(logs, activity_filter, instance), instance, limit, "own_position")
     if "assignee" in chosen.values():
-        entries = with_assignee(entries, logs.user_tasks)
+        entries = with_assignee(entries, logs.user_tasks, instance)
     if {"processDefinitionName", "processDefinitionVersion"} & set(chosen.values()):
-        entries = with_definition(entries, logs.process_instances)
-    nested = entries.join(call_closure(logs).select("root_key", KEY), KEY)
+        entries = with_definition(entries, logs.process_instances, instance)
+    if root is None:
+        nested = entries.join(call_closure(logs).select("root_key", KEY), KEY)
+    else:
+        nested = entries.withColumnRenamed(root, "root_key")
     shown = _topic_columns(set(nested.columns))
-    return earliest(nested, "root_key", limit, "position").select(
+    return earliest(nested, ["root_key"], limit, "position").select(
         "root_key", "position", *(shown[topic].alias(spelling) for spelling, topic in chosen.items())
     )
 
@@ -186,7 +199,7 @@ def as_text(spellings: Iterable[str]) -> Column:
 
 def history_values(
     logs: ProcessLogs, result_type: str = "JSON", topics: str | Iterable[str] = "ALL",
-    activity_filter: str | Iterable[str] = "ALL", size: int = DEFAULT_SIZE,
+    activity_filter: str | Iterable[str] = "ALL", size: int = DEFAULT_SIZE, root: str | None = None,
 ) -> DataFrame:
     """(root_key, value): the history of each root rendered as JSON or text.
 
@@ -195,7 +208,7 @@ def history_values(
     shown = one_of(result_type, RESULT_TYPES, "history() resultType")
     spellings = chosen_topics(topics)
     entry = as_json(spellings) if shown == "JSON" else as_text(spellings)
-    rows = history_rows(logs, topics, activity_filter, size).select("root_key", "position", entry.alias("entry"))
+    rows = history_rows(logs, topics, activity_filter, size, root).select("root_key", "position", entry.alias("entry"))
     joined = F.expr("listagg(entry, ',') WITHIN GROUP (ORDER BY position)")
     value = F.concat(F.lit("["), joined, F.lit("]")) if shown == "JSON" else joined
     return rows.groupBy("root_key").agg(value.alias("value"))
@@ -212,9 +225,11 @@ def history(
     positive_size(size)
 
     def build(logs: ProcessLogs, key: str) -> DataFrame:
-        if key != KEY:
-            raise bad_input("history() follows call activities and is not available as of a trigger")
-        return history_values(logs, shown, topics, activity_filter, size).withColumnRenamed("root_key", key)
+        if key == KEY:
+            values = history_values(logs, shown, topics, activity_filter, size)
+        else:
+            values = history_values(logs.nested, shown, topics, activity_filter, size, root=key)
+        return values.withColumnRenamed("root_key", key)
 
     empty = F.lit("[]" if shown == "JSON" else "")
     return Kpi(lambda inputs: F.coalesce(inputs.frame, empty), frame=build, nested=True)

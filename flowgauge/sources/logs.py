@@ -14,8 +14,10 @@ from flowgauge.schemas import SCHEMAS
 class ProcessLogs:
     """The log tables of one process engine, each opened on first use."""
 
-    def __init__(self, open_table: Callable[[str], DataFrame]):
+    def __init__(self, open_table: Callable[[str], DataFrame], nested: ProcessLogs | None = None):
         self._open_table = open_table
+        # Where logs are keyed by trigger: the same with the instances called below it.
+        self.nested = nested
 
     @classmethod
     def of(cls, **tables: DataFrame) -> ProcessLogs:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from flowgauge.errors import bad_input
+from flowgauge.operators.closure import calls_below
 from flowgauge.plans.record import Pilot, checked_pilot, kpi_record
 from flowgauge.schemas import CLOCKS, KEY
 from flowgauge.sources.logs import ProcessLogs
@@ -15,20 +15,16 @@ TRIGGER = "trigger_key"
 MOMENT = "trigger_time"
 
 
-def record_at_triggers(triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE") -> DataFrame:
-    """``triggers(trigger_key, process_instance_key, trigger_time)`` -> one record per trigger.
+def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
+    """The logs of each trigger's instances, cut at the trigger's time.
 
-    Each log is joined to the triggers of its instance and cut at the trigger's time:
-    rows that came later are left out, and an element that ended later counts as open.
-    Rows without a time stay. From there on the trigger takes the place of the
-    instance, so the record is the ordinary fused plan keyed by trigger.
+    Rows that came later are left out and an element that ended later counts as open;
+    rows without a time stay. Every row carries its trigger.
     """
-    if any(kpi.nested for kpi in checked_pilot(pilot, TRIGGER).values()):
-        raise bad_input("history() follows call activities and is not available as of a trigger")
-    wanted = triggers.select(TRIGGER, KEY, MOMENT)
-
     def seen(name: str, table: DataFrame) -> DataFrame:
-        rows = table.join(wanted, KEY)
+        if KEY not in table.columns:
+            return table
+        rows = table.join(triggers, KEY)
         clock = CLOCKS.get(name)
         if clock:
             rows = rows.filter(F.col(clock).isNull() | (F.col(clock) <= F.col(MOMENT)))
@@ -36,18 +32,31 @@ def record_at_triggers(triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, mod
             rows = rows.withColumn("end_date", F.when(F.col("end_date") <= F.col(MOMENT), F.col("end_date")))
         return rows.drop(MOMENT)
 
-    record = kpi_record(logs.mapped(seen), pilot, mode, key=TRIGGER)
-    return wanted.join(record, TRIGGER)
+    return logs.mapped(seen)
 
 
-def _near(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
-    """The logs restricted to the range of instance keys in a batch of triggers.
+def record_at_triggers(
+    triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE",
+    key_range: tuple[int, int] | None = None,
+) -> DataFrame:
+    """``triggers(trigger_key, process_instance_key, trigger_time)`` -> one record per trigger.
+
+    Each log is cut at the trigger's time; from there on the trigger takes the place of
+    the instance, so the record is the ordinary fused plan keyed by trigger.
 
-    Two longs reach the driver. Instance keys grow with time, so the range lets the
-    scans skip the files of instances that are long over.
+    ``key_range`` bounds the instance keys of the triggers, for the scans to skip files.
+    Only ``history`` looks beyond it, at the instances called below.
     """
-    low, high = triggers.agg(F.min(KEY), F.max(KEY)).first()
-    return logs.mapped(lambda name, table: table.filter(F.col(KEY).between(low, high)))
+    wanted = triggers.select(TRIGGER, KEY, MOMENT)
+    near = logs
+    if key_range:
+        near = logs.mapped(
+            lambda name, table: table.filter(F.col(KEY).between(*key_range)) if KEY in table.columns else table
+        )
+    direct = as_seen(near, wanted)
+    if any(kpi.nested for kpi in checked_pilot(pilot, TRIGGER).values()):
+        direct.nested = as_seen(logs, calls_below(logs, wanted, MOMENT))
+    return wanted.join(kpi_record(direct, pilot, mode, key=TRIGGER), TRIGGER)
 
 
 def kpi_on_trigger(
@@ -65,7 +74,9 @@ def kpi_on_trigger(
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                record = record_at_triggers(batch, _near(logs, batch), pilot, mode)
+                # Two longs: keys grow with time, so old files need not be opened.
+                key_range = tuple(batch.agg(F.min(KEY), F.max(KEY)).first())
+                record = record_at_triggers(batch, logs, pilot, mode, key_range)
                 record.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             batch.unpersist()

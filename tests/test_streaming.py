@@ -30,10 +30,39 @@ def test_record_as_of_a_moment(spark, demo):
     assert (found[3]["text"], found[4]["text"]) == ("", '"review"-2h-OVER')
 
 
-def test_trigger_refuses_history(spark, demo):
-    triggers = spark.createDataFrame([], TRIGGERS)
-    with pytest.raises(KpiError):
-        record_at_triggers(triggers, demo, {"h": history()})
+def test_history_as_of_a_moment(spark, demo):
+    triggers = spark.createDataFrame([
+        (1, 4, moment("2024-05-02T10:00:00")), (2, 4, moment("2024-05-02T10:01:00")), (3, 4, moment("2024-05-02T10:04:00")),
+        (4, 7, moment("2024-05-02T10:00:04")), (5, 5, moment("2024-05-02T10:00:04")),
+    ], TRIGGERS)
+    pilot = {"h": history("STRING", "elementId|processInstanceKey|endDate", "ALL|CALL_ACTIVITY")}
+    found = {row["trigger_key"]: row["h"] for row in record_at_triggers(triggers, demo, pilot).collect()}
+    start = "elementId:start|processInstanceKey:4|endDate:2024-05-02T10:00:00Z"
+    assert found[1] == f"{start},elementId:call|processInstanceKey:4"
+    assert [entry.split("|")[0][10:] for entry in found[2].split(",")] == ["start", "call", "start"]
+    # Instance 7 is called at 10:02 but ran before that in this log.
+    assert [entry.split("|")[0][10:] for entry in found[3].split(",")] == [
+        "start", "call", "F_b_a", "a", "F_a_b", "b", "a", "b", "start", "call",
+    ]
+    assert found[3].endswith("elementId:call|processInstanceKey:6")
+    assert found[4].endswith("elementId:a|processInstanceKey:7|endDate:2024-05-02T10:00:04Z")
+    assert "10:00:06" not in found[4]
+    assert found[5] == ""
+
+
+def test_history_at_the_end_of_time_is_the_whole_history(spark):
+    from flowgauge.plans.record import kpi_record
+    from flowgauge.sources.event_log import logs_from_events
+    from tests.conftest import DATA
+
+    logs = logs_from_events(spark, DATA)
+    pilot = {"h": history(size=20), "n": counts.execution_count("view")}
+    triggers = logs.process_instances.selectExpr(
+        "process_instance_key + 7 AS trigger_key", "process_instance_key", "timestamp_ntz'2999-01-01' AS trigger_time"
+    )
+    seen = {(row["process_instance_key"], row["h"], row["n"]) for row in record_at_triggers(triggers, logs, pilot).collect()}
+    whole = {(row["process_instance_key"], row["h"], row["n"]) for row in kpi_record(logs, pilot).collect()}
+    assert seen == whole
 
 
 def run(writer, state):
