@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 INCOMPLETE_PARAMETERS = "INCOMPLETE_PARAMETERS"
 BAD_INPUTPARAMETER = "BAD_INPUTPARAMETER"
 DATE_PARSING_ERROR = "DATE_PARSING_ERROR"
@@ -34,3 +36,15 @@ def required(value: str | None, what: str) -> str:
     if is_blank(value):
         raise incomplete(f"{what} is required")
     return value
+
+
+def no_choice(what: str, value: object, allowed: Iterable[str]) -> KpiError:
+    return bad_input(f"choose the {what} among {', '.join(allowed)}; {value!r} is none of them")
+
+
+def one_of(value: str, allowed: Iterable[str], what: str) -> str:
+    """The upper-case name of an option, whatever its spelling."""
+    name = value.strip().upper()
+    if name not in allowed:
+        raise no_choice(what, value, allowed)
+    return name

@@ -14,7 +14,7 @@ from zoneinfo import ZoneInfo, available_timezones
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flowgauge.errors import DATE_PARSING_ERROR, KpiError, bad_input
+from flowgauge.errors import DATE_PARSING_ERROR, KpiError, bad_input, one_of
 
 # Unit names of duration(), roundings and result types of date().
 DURATION_UNITS = ("MS", "SECOND", "MINUTE", "HOUR", "DAY", "WEEK")
@@ -104,7 +104,7 @@ def parse_iso_duration(text: str) -> timedelta:
     found = re.fullmatch(pattern, text or "", re.IGNORECASE)
     parts = found.groupdict() if found else {}
     if not found or not any(parts[name] for name in "dhms") or (parts["t"] or "").upper() == "T":
-        raise KpiError(DATE_PARSING_ERROR, f"[{text}] is not an ISO-8601 duration")
+        raise KpiError(DATE_PARSING_ERROR, f"expected an ISO-8601 duration such as PT2H, got {text!r}")
     seconds = (parts["s"] or "0").replace(",", ".")
     whole = timedelta(
         days=int(parts["d"] or 0), hours=int(parts["h"] or 0), minutes=int(parts["m"] or 0),
@@ -163,7 +163,7 @@ def parse_moment_literal(text: str) -> datetime:
             raise ValueError(offset)
         return local + shift if parts[1] == "-" else local - shift
     except ValueError as error:
-        raise KpiError(DATE_PARSING_ERROR, f"[{text}] is not an ISO-8601 date or date-time") from error
+        raise KpiError(DATE_PARSING_ERROR, f"expected an ISO-8601 date or date-time, got {text!r}") from error
 
 
 def check_zone(zone: str) -> str:
@@ -179,14 +179,7 @@ def check_zone(zone: str) -> str:
     elif name in available_timezones():
         ZoneInfo(name)
         return name
-    raise bad_input(f"date() zone [{zone}] is unknown, expected UTC, local, an offset or a region id")
-
-
-def one_of(value: str, allowed: tuple[str, ...], what: str) -> str:
-    name = value.strip().upper()
-    if name not in allowed:
-        raise bad_input(f"{what} [{value}] is unknown, expected one of {', '.join(allowed)}")
-    return name
+    raise bad_input(f"no time zone {zone!r}: give UTC, local, an offset or a region")
 
 
 def rounded_date(
@@ -197,8 +190,8 @@ def rounded_date(
 
     ``as_of`` is a zone-less UTC column, a datetime, or None for the query's clock.
     """
-    cut = one_of(rounding, ROUNDINGS, "date() rounding")
-    shown = one_of(kind, DATE_TYPES, "date() type")
+    cut = one_of(rounding, ROUNDINGS, "rounding of a date")
+    shown = one_of(kind, DATE_TYPES, "type of a date")
     place = F.current_timezone() if zone.strip().lower() == "local" else F.lit(check_zone(zone))
     if as_of is None:
         utc = as_utc(F.current_timestamp())

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flowgauge.errors import bad_input, incomplete
+from flowgauge.errors import bad_input, incomplete, no_choice
 from flowgauge.functions.clock import parse_moment, parse_moment_literal
 
 NUMERIC_OPERATORS = ("=", ">", "<", ">=", "<=")
@@ -28,7 +28,7 @@ def number_literal(value: float | str, what: str) -> float:
     try:
         return float(str(value).strip())
     except ValueError as error:
-        raise bad_input(f"{what} is not numeric: [{value}]") from error
+        raise bad_input(f"the {what} has to be a number, got {value!r}") from error
 
 
 def is_date_operator(operator: str) -> bool:
@@ -37,10 +37,7 @@ def is_date_operator(operator: str) -> bool:
         return True
     if name in NUMERIC_OPERATORS:
         return False
-    raise bad_input(
-        f"threshold() operator [{operator}] is unknown, "
-        f"expected one of {', '.join(NUMERIC_OPERATORS + DATE_OPERATORS)}"
-    )
+    raise no_choice("operator of a threshold", operator, NUMERIC_OPERATORS + DATE_OPERATORS)
 
 
 def compare_number(value: Column, operator: str, limit: float | str) -> Column:
@@ -71,12 +68,12 @@ def bucket_label(value: Column, steps: Sequence[tuple[float | str, str]]) -> Col
     Steps may come in any order; of two equal ones the later wins.
     """
     if not steps:
-        raise incomplete("bucket() requires at least one (threshold, label) pair")
+        raise incomplete("a bucket needs at least one (threshold, label) pair")
     labels: dict[float, str] = {}
     for step in steps:
         if len(step) != 2:
-            raise bad_input(f"bucket() entry {step!r} is not (threshold, label)")
-        labels[number_literal(step[0], "bucket() threshold")] = str(step[1]).strip()
+            raise bad_input(f"a bucket step is a (threshold, label) pair, got {step!r}")
+        labels[number_literal(step[0], "threshold of a bucket")] = str(step[1]).strip()
     chosen = F.when(F.isnan(value), F.lit(None).cast("string"))
     for bound in sorted(labels, reverse=True):
         chosen = chosen.when(value >= bound, F.lit(labels[bound]))

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flowgauge.errors import bad_input, incomplete, is_blank, required
+from flowgauge.errors import incomplete, is_blank, one_of, required
 from flowgauge.operators.filters import element_is, has_text, job_is, job_keep
 from flowgauge.operators.kpi import Kpi, Measure, all_of, any_of, measured
 
 
+PATH_MODES = ("ALL", "ANY", "NOTHING")
+
+
 def count_of(table: str, condition: Column | None, **keep: Sequence[str]) -> Measure:
     counted = F.count(F.lit(1)) if condition is None else F.count_if(condition)
     return Measure(table, counted, keep)
@@ -24,7 +27,7 @@ def ever(table: str, *ids: str) -> Measure:
 
 def execution_count(element_id: str, match: str = "id") -> Kpi:
     """How often an element ran."""
-    wanted = required(element_id, "executionCount() element id")
+    wanted = required(element_id, "the element id")
     keep = {"element_id": (wanted,)} if match == "id" else {}
     return measured(n=count_of("element_instances", element_is(wanted, match=match), **keep))
 
@@ -66,7 +69,7 @@ def message_count(name: str | None = None) -> Kpi:
 
 def variable_changed_count(name: str) -> Kpi:
     """In how many scopes the variable is held."""
-    wanted = required(name, "variableChangedCount() variable name")
+    wanted = required(name, "the variable name")
     return measured(n=count_of("variables", F.col("name") == wanted, name=(wanted,)))
 
 
@@ -96,11 +99,9 @@ def path(mode: str, *ids: str, include_flows: bool = False) -> Kpi:
     ``include_flows`` also looks the ids up among the sequence flows taken.
     """
     if is_blank(mode) or not ids:
-        raise incomplete("path() requires a mode and at least one element id")
+        raise incomplete("a path needs a mode and one element id or more")
     wanted = list(dict.fromkeys(ids))
-    how = mode.strip().upper()
-    if how not in ("ALL", "ANY", "NOTHING"):
-        raise bad_input(f"path() mode [{how}] is unknown, expected ALL, ANY or NOTHING")
+    how = one_of(mode, PATH_MODES, "mode of a path")
     tables = ("element_instances", "sequence_flows") if include_flows else ("element_instances",)
 
     if how == "ALL":

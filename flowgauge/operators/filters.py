@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.errors import bad_input, incomplete, is_blank
+from flowgauge.errors import incomplete, is_blank, no_choice
 from flowgauge.operators.kpi import PRESENT, all_of
 
 # Element types and the families an activity filter may name.
@@ -54,9 +54,9 @@ def families(activity_filter: str | Iterable[str]) -> tuple[list[str], bool]:
         elif name in ELEMENT_TYPES:
             types[name] = None
         else:
-            raise bad_input(f"activity filter [{name}] is unknown")
+            raise no_choice("activity filter", name, (*FAMILIES, *ELEMENT_TYPES))
     if not types and not with_flows:
-        raise incomplete("at least one activity filter value is required")
+        raise incomplete("name at least one element type or family")
     return list(types), with_flows
 
 
@@ -67,7 +67,7 @@ def element_is(*ids: str | None, match: str = "id") -> Column | None:
     """
     wanted = [value for value in ids if not is_blank(value)]
     if match not in ("id", "name_or_id"):
-        raise bad_input(f"match [{match}] is unknown, expected id or name_or_id")
+        raise no_choice("match", match, ("id", "name_or_id"))
     if not wanted:
         return None
     by_id = F.col("element_id").isin(wanted)

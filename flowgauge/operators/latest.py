@@ -40,7 +40,7 @@ def bpmn_error(element_id: str | None = None) -> Kpi:
 
 def decision_result(decision_id: str) -> Kpi:
     """JSON result of the most recent evaluation of a decision."""
-    wanted = required(decision_id, "decisionResult() decision id")
+    wanted = required(decision_id, "the decision id")
     condition = F.col("decision_definition_id") == wanted
     return measured(
         lambda inputs: inputs["last"],

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from flowgauge.errors import bad_input, required
+from flowgauge.errors import no_choice, required
 from flowgauge.functions.clock import rounded_date
 from flowgauge.operators.kpi import Kpi
 from flowgauge.schemas import KEY
@@ -30,7 +30,7 @@ def constant(value: Any) -> Kpi:
 
 
 def tag(name: str) -> Kpi:
-    label = required(name, "tag() name")
+    label = required(name, "the tag")
     return Kpi(lambda inputs: F.lit(label))
 
 
@@ -43,9 +43,9 @@ def business_key() -> Kpi:
 
 
 def process_property(name: str) -> Kpi:
-    wanted = required(name, "processProperty() name").strip()
+    wanted = required(name, "the process property").strip()
     if wanted not in PROPERTIES:
-        raise bad_input(f"processProperty() [{wanted}] is unknown, expected one of {', '.join(PROPERTIES)}")
+        raise no_choice("process property", wanted, PROPERTIES)
     return Kpi(lambda inputs: inputs.spine(PROPERTIES[wanted]))
 
 

@@ -23,7 +23,7 @@ def _moment(reference: str, match: str) -> Measure:
     """First known start or end of ``id``, ``id:START`` or ``id:END``."""
     element_id, _, edge = reference.partition(":")
     moment = F.col("start_date" if edge.strip().upper() == "START" else "end_date")
-    known = all_of(element_is(required(element_id, "duration() element id"), match=match), moment.isNotNull())
+    known = all_of(element_is(required(element_id, "the element id"), match=match), moment.isNotNull())
     keep = {"element_id": (element_id,)} if match == "id" else {}
     return Measure("element_instances", F.min_by(moment, F.when(known, start_order())), keep)
 
@@ -32,8 +32,8 @@ def duration(from_element: str, to_element: str, unit: str = "MS", match: str =
     """Time from one element to another; each end is the first non-null one. May be negative."""
     return measured(
         lambda inputs: in_unit(micros_between(inputs["begin"], inputs["until"]), unit),
-        begin=_moment(required(from_element, "duration() from element"), match),
-        until=_moment(required(to_element, "duration() to element"), match),
+        begin=_moment(required(from_element, "the first element"), match),
+        until=_moment(required(to_element, "the second element"), match),
     )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.errors import incomplete, is_blank
-from flowgauge.functions.clock import hour_slot, in_unit, micros_between, one_of, parse_iso_duration
+from flowgauge.errors import incomplete, is_blank, one_of
+from flowgauge.functions.clock import hour_slot, in_unit, micros_between, parse_iso_duration
 from flowgauge.operators.filters import element_is
 from flowgauge.operators.kpi import PRESENT, Kpi, Measure, all_of, measured
 from flowgauge.sources.logs import ProcessLogs
@@ -29,7 +29,7 @@ def named(element_id: str | None) -> dict[str, tuple[str, ...]]:
 
 def within(limit: str) -> Column:
     if limit is None:
-        raise incomplete("a user-task SLA requires a limit, an ISO-8601 duration")
+        raise incomplete("give the limit of the user tasks as an ISO-8601 duration")
     return F.col("end_date") - F.col("start_date") <= F.lit(parse_iso_duration(limit))
 
 
@@ -57,7 +57,7 @@ def joined_text(rows: DataFrame, key: str, separator: str) -> DataFrame:
 
 def user_task_sla_description(element_id: str | None, limit: str, unit: str = "hour") -> Kpi:
     """``"task"-14h-OK, "task"-19h-OVER`` over the completed user tasks, by start."""
-    shown = one_of(unit, tuple(SLA_UNITS), "userTaskSLADescription() unit")
+    shown = one_of(unit, tuple(SLA_UNITS), "unit of the description")
     in_time = within(limit)
 
     def build(logs: ProcessLogs, key: str) -> DataFrame:
@@ -77,7 +77,7 @@ def user_task_sla_description(element_id: str | None, limit: str, unit: str = "h
 
 def user_task_assignee(element_id: str | None = None, mode: str = "FIRST") -> Kpi:
     """First, last or all (comma-joined) assignees by creation date, undated tasks last."""
-    how = one_of(mode, ASSIGNEE_MODES, "userTaskAssignee() mode")
+    how = one_of(mode, ASSIGNEE_MODES, "mode of the assignee")
     assigned = all_of(F.col("assignee").isNotNull(), element_is(element_id))
     if how == "ALL":
         def build(logs: ProcessLogs, key: str) -> DataFrame:

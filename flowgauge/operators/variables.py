@@ -46,7 +46,7 @@ def variable(name: str, as_type: str = "string") -> Kpi:
 
     A column has one type, so the caller names it; a value of another type gives null.
     """
-    wanted = required(name, "variable() name")
+    wanted = required(name, "the variable name")
     return Kpi(lambda inputs: json_value(inputs.variable(wanted), as_type), variables=(wanted,))
 
 
@@ -55,22 +55,22 @@ def expr(sql: str, variables: Mapping[str, str]) -> Kpi:
 
     Null for an instance that holds none of them.
     """
-    text = required(sql, "expr() expression")
+    text = required(sql, "the expression")
     if not variables:
-        raise incomplete("expr() requires the variables it reads")
+        raise incomplete("name the variables of the expression")
     return Kpi(
         lambda inputs: inputs.frame, variables=tuple(variables), expression=(text, dict(variables))
     )
 
 
-def _not_usable(function: str, name: str, expected: str, text: Column) -> Column:
-    return F.concat(F.lit(f"{function}() variable [{name}] is not {expected}: ["), text, F.lit("]"))
+def _not_usable(name: str, expected: str, text: Column) -> Column:
+    return F.concat(F.lit(f"variable {name} should hold {expected}, not '"), text, F.lit("'"))
 
 
 def threshold(name: str, operator: str, limit: float | str) -> Kpi:
     """Compare a variable with a number (``= > < >= <=``) or a date (``before after``)."""
     if is_blank(name) or is_blank(operator) or limit is None:
-        raise incomplete("threshold() requires the variable name, the operator and the threshold")
+        raise incomplete("a threshold needs a variable, an operator and a limit")
     by_date = is_date_operator(operator)
     if by_date:
         compare_moment(F.lit(None).cast("timestamp_ntz"), operator, str(limit))
@@ -88,17 +88,17 @@ def threshold(name: str, operator: str, limit: float | str) -> Kpi:
     def problems(inputs: Inputs) -> list[Problem]:
         value = text(inputs)
         if by_date:
-            bad, code, expected = moment_of(value).isNull(), DATE_PARSING_ERROR, "an ISO-8601 date or date-time"
+            bad, code, expected = moment_of(value).isNull(), DATE_PARSING_ERROR, "an ISO-8601 date"
         else:
-            bad, code, expected = as_number(value).isNull(), BAD_INPUTPARAMETER, "numeric"
-        return [Problem(value.isNotNull() & bad, code, _not_usable("threshold", name, expected, value))]
+            bad, code, expected = as_number(value).isNull(), BAD_INPUTPARAMETER, "a number"
+        return [Problem(value.isNotNull() & bad, code, _not_usable(name, expected, value))]
 
     return Kpi(finish, variables=(name,), problems=problems)
 
 
 def bucket(name: str, steps: Sequence[tuple[float | str, str]]) -> Kpi:
     """Label of the highest step at or below the variable's value."""
-    wanted = required(name, "bucket() variable name")
+    wanted = required(name, "the variable name")
     bucket_label(F.lit(None).cast("double"), steps)
 
     def finish(inputs: Inputs) -> Column:
@@ -107,6 +107,6 @@ def bucket(name: str, steps: Sequence[tuple[float | str, str]]) -> Kpi:
     def problems(inputs: Inputs) -> list[Problem]:
         value = json_value(inputs.variable(wanted))
         bad = value.isNotNull() & as_number(value).isNull()
-        return [Problem(bad, BAD_INPUTPARAMETER, _not_usable("bucket", wanted, "numeric", value))]
+        return [Problem(bad, BAD_INPUTPARAMETER, _not_usable(wanted, "a number", value))]
 
     return Kpi(finish, variables=(wanted,), problems=problems)

@@ -7,8 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowgauge.errors import bad_input, incomplete
-from flowgauge.functions.clock import iso_text, one_of
+from flowgauge.errors import bad_input, incomplete, no_choice, one_of
+from flowgauge.functions.clock import hour_slot, iso_text
 from flowgauge.operators.closure import call_closure
 from flowgauge.operators.filters import families, split_names
 from flowgauge.operators.flows import flow_occurrences
@@ -26,6 +26,9 @@ TOPICS = (
 RESULT_TYPES = ("JSON", "STRING")
 DEFAULT_SIZE = 100
 
+# Largest size for which Spark cuts groups ahead of the shuffle.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 _BY_NAME = {topic.lower(): topic for topic in TOPICS}
 # Place of an entry among entries of equal start, see flowgauge.operators.ranking.
 _PLACE = ("stuck", "lead_is_flow", "lead_element", "lead_instance", "lead_flow", "step")
@@ -36,13 +39,13 @@ def chosen_topics(topics: str | Iterable[str]) -> dict[str, str]:
     """Caller's spelling -> topic, first spelling kept; ``ALL`` stands for every topic."""
     names = split_names(topics)
     if not names:
-        raise incomplete("history() requires at least one topic")
+        raise incomplete("name at least one history topic")
     chosen: dict[str, str] = {}
     for name in names:
         for spelling in TOPICS if name.upper() == "ALL" else (name,):
             topic = _BY_NAME.get(spelling.lower())
             if topic is None:
-                raise bad_input(f"history() topic [{name}] is unknown, expected ALL or one of {', '.join(TOPICS)}")
+                raise no_choice("history topics", name, ("ALL", *TOPICS))
             if topic not in chosen.values():
                 chosen[spelling] = topic
     return chosen
@@ -54,7 +57,7 @@ def positive_size(size: int | str) -> int:
     except ValueError:
         value = 0
     if value <= 0:
-        raise bad_input(f"history() size [{size}] is not a positive integer")
+        raise bad_input(f"the history size has to be a whole number above zero, got {size!r}")
     return value
 
 
@@ -110,8 +113,15 @@ def with_flows_placed(elements: DataFrame, placed: DataFrame, instance: Sequence
 
 
 def earliest(rows: DataFrame, group: Sequence[str], size: int, position: str) -> DataFrame:
-    """The first ``size`` rows of each group; up to the limit of Spark's window group
-    limit the rows beyond are dropped before the shuffle."""
+    """The first ``size`` rows of each group.
+
+    Up to Spark's window group limit, rows beyond are dropped before the shuffle. For
+    larger sizes each hour of the group is cut first, so that no task sorts a long
+    instance whole.
+    """
+    if size > int(rows.sparkSession.conf.get(GROUP_LIMIT, "1000")):
+        in_hour = Window.partitionBy(*group, hour_slot(F.col("start_date"))).orderBy(*ORDER)
+        rows = rows.withColumn(position, F.row_number().over(in_hour)).filter(F.col(position) <= size)
     in_order = Window.partitionBy(*group).orderBy(*ORDER)
     return rows.withColumn(position, F.row_number().over(in_order)).filter(F.col(position) <= size)
 
@@ -205,7 +215,7 @@ def history_values(
 
     At most ``size`` entries meet per root. Roots without any entry have no row.
     """
-    shown = one_of(result_type, RESULT_TYPES, "history() resultType")
+    shown = one_of(result_type, RESULT_TYPES, "result type of a history")
     spellings = chosen_topics(topics)
     entry = as_json(spellings) if shown == "JSON" else as_text(spellings)
     rows = history_rows(logs, topics, activity_filter, size, root).select("root_key", "position", entry.alias("entry"))
@@ -219,7 +229,7 @@ def history(
     activity_filter: str | Iterable[str] = "ALL", size: int = DEFAULT_SIZE,
 ) -> Kpi:
     """The history as a KPI; ``[]`` or ``""`` for an instance without entries."""
-    shown = one_of(result_type, RESULT_TYPES, "history() resultType")
+    shown = one_of(result_type, RESULT_TYPES, "result type of a history")
     chosen_topics(topics)
     families(activity_filter)
     positive_size(size)

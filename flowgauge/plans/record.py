@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.errors import bad_input, incomplete
+from flowgauge.errors import bad_input, incomplete, one_of
 from flowgauge.operators.filters import keep_rows
 from flowgauge.operators.kpi import Inputs, Kpi, Measure, Problem, any_of, shared_filter
 from flowgauge.operators.projections import constant
@@ -34,7 +34,7 @@ def checked_pilot(pilot: Pilot, key: str = KEY) -> dict[str, Kpi]:
     seen = {key.lower(), ERRORS}
     for name in pilot:
         if name.lower() in seen:
-            raise bad_input(f"the KPI name [{name}] is reserved or repeated, ignoring case")
+            raise bad_input(f"a record cannot hold the column {name!r} twice, ignoring case")
         seen.add(name.lower())
     return {name: value if isinstance(value, Kpi) else constant(value) for name, value in pilot.items()}
 
@@ -64,9 +64,7 @@ def kpi_record(logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE", key: s
     in ``_kpi_errors``; with ``mode="FAILFAST"`` it fails the query instead. The error
     column is present when the pilot holds a KPI that can meet such a value.
     """
-    how = mode.strip().upper()
-    if how not in MODES:
-        raise bad_input(f"mode [{mode}] is unknown, expected one of {', '.join(MODES)}")
+    how = one_of(mode, MODES, "mode of a record")
     kpis = checked_pilot(pilot, key)
 
     # Variables come first: only here can an expression see them as plain columns.

@@ -21,7 +21,7 @@ def delay_interval(delay: int | str) -> str:
     """``wait`` in milliseconds, or an interval such as ``10 minutes``; never negative."""
     found = re.fullmatch(_DELAY, str(delay).strip().lower())
     if not found:
-        raise bad_input(f"the delay [{delay}] is not a non-negative number of milliseconds or interval")
+        raise bad_input(f"a delay is a number of milliseconds or an interval, zero or more; got {delay!r}")
     unit = found[2] or "milliseconds"
     return f"{found[1]} {'milliseconds' if unit == 'ms' else unit}"
 

@@ -162,13 +162,13 @@ def _errors(logs: ProcessLogs) -> DataFrame:
 
 
 _ERRORS_SQL = with_tables("""
-SELECT v.process_instance_key, k.kpi, k.code, k.f || '() variable [' || v.name || '] is not ' || k.e || ': ['
-       || json_extract_string(v.value, '$') || ']' AS message
+SELECT v.process_instance_key, k.kpi, k.code,
+       'variable ' || v.name || ' should hold ' || k.e || ', not ''' || json_extract_string(v.value, '$') || '''' AS message
 FROM variables v JOIN (VALUES
-  ('number', 'dueDate', 'BAD_INPUTPARAMETER', 'threshold', 'numeric'),
-  ('label', 'dueDate', 'BAD_INPUTPARAMETER', 'bucket', 'numeric'),
-  ('moment', 'amount', 'DATE_PARSING_ERROR', 'threshold', 'an ISO-8601 date or date-time')
-) k(kpi, name, code, f, e) ON k.name = v.name
+  ('number', 'dueDate', 'BAD_INPUTPARAMETER', 'a number'),
+  ('label', 'dueDate', 'BAD_INPUTPARAMETER', 'a number'),
+  ('moment', 'amount', 'DATE_PARSING_ERROR', 'an ISO-8601 date')
+) k(kpi, name, code, e) ON k.name = v.name
 WHERE v.scope_key = v.process_instance_key""", "variables")
 
 
