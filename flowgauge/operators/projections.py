@@ -23,7 +23,9 @@ PROPERTIES = {
 
 
 def constant(value: Any) -> Kpi:
-    """The value as it is; lists and maps become JSON text."""
+    """The value as it is; lists and maps become JSON text, and None a null text."""
+    if value is None:
+        return Kpi(lambda inputs: F.lit(None).cast("string"))
     literal = json.dumps(value) if isinstance(value, (dict, list, tuple)) else value
     column = literal if isinstance(literal, Column) else F.lit(literal)
     return Kpi(lambda inputs: column)

@@ -21,8 +21,8 @@ def start_order() -> Column:
 
 def _moment(reference: str, match: str) -> Measure:
     """First known start or end of ``id``, ``id:START`` or ``id:END``."""
-    element_id, _, edge = reference.partition(":")
-    moment = F.col("start_date" if edge.strip().upper() == "START" else "end_date")
+    element_id, _, edge = (part.strip() for part in reference.partition(":"))
+    moment = F.col("start_date" if edge.upper() == "START" else "end_date")
     known = all_of(element_is(required(element_id, "the element id"), match=match), moment.isNotNull())
     keep = {"element_id": (element_id,)} if match == "id" else {}
     return Measure("element_instances", F.min_by(moment, F.when(known, start_order())), keep)

@@ -127,8 +127,12 @@ def earliest(rows: DataFrame, group: Sequence[str], size: int, position: str) ->
 
 
 def with_assignee(entries: DataFrame, user_tasks: DataFrame, instance: Sequence[str] = (KEY,)) -> DataFrame:
-    """Add the assignee of user tasks; of several tasks of one element the last one's."""
-    element = [*(name for name in instance if name != KEY), "element_instance_key"]
+    """Add the assignee of user tasks; of several tasks of one element the last one's.
+
+    The instance is part of the join key: sequence flows have no element key, and would
+    otherwise all meet in one partition.
+    """
+    element = [*instance, "element_instance_key"]
     created = F.col("creation_date")
     last = F.struct(created.isNull().alias("undated"), created, F.col("user_task_key"))
     assignees = (
@@ -183,14 +187,14 @@ def history_rows(
     limit = positive_size(size)
     instance = (KEY,) if root is None else (root, KEY)
     entries = earliest(history_entries(logs, activity_filter, instance), instance, limit, "own_position")
-    if "assignee" in chosen.values():
-        entries = with_assignee(entries, logs.user_tasks, instance)
     if {"processDefinitionName", "processDefinitionVersion"} & set(chosen.values()):
         entries = with_definition(entries, logs.process_instances, instance)
     if root is None:
         nested = entries.join(call_closure(logs).select("root_key", KEY), KEY)
     else:
-        nested = entries.withColumnRenamed(root, "root_key")
+        nested = entries.withColumn("root_key", F.col(root))
+    if "assignee" in chosen.values():
+        nested = with_assignee(nested, logs.user_tasks, instance)
     shown = _topic_columns(set(nested.columns))
     return earliest(nested, ["root_key"], limit, "position").select(
         "root_key", "position", *(shown[topic].alias(spelling) for spelling, topic in chosen.items())

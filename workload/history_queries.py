@@ -207,7 +207,7 @@ def _rows(size: int) -> LogQuery:
 
 
 _ROWS_SQL = """
-SELECT root_key, position, element_id AS elementId, ekey AS elementInstanceKey, type,
+SELECT root_key, CAST(position AS INTEGER) AS position, element_id AS elementId, ekey AS elementInstanceKey, type,
        process_instance_key AS processInstanceKey, {iso} AS startDate
 FROM ranked WHERE position <= {size}"""
 
@@ -249,7 +249,7 @@ WHERE g.target_ref IS NOT NULL""", "sequence_flows", "flow_topology"),
         _ranks,
         ranked_sql("""
 SELECT process_instance_key, start_date, element_id, ekey AS element_instance_key,
-       row_number() OVER (PARTITION BY process_instance_key, start_date ORDER BY position) AS place
+       CAST(row_number() OVER (PARTITION BY process_instance_key, start_date ORDER BY position) AS INTEGER) AS place
 FROM ranked""", nested=False),
     ),
     "history_entries": (
