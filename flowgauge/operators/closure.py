@@ -58,11 +58,13 @@ def calls_below(logs: ProcessLogs, roots: DataFrame, until: str) -> DataFrame:
     """``roots``, which hold an instance key and other columns, and a row for every
     instance called below them with the same other columns.
 
-    Calls started after the root's ``until`` column are left out. Goes down call by call, so that only what hangs below the given roots is touched.
+    Calls started after the root's ``until`` column are left out. Goes down call by call,
+    so that only what hangs below the given roots is touched.
     """
     carried = [name for name in roots.columns if name != KEY]
     calls = logs.element_instances.filter(F.col("type") == "CALL_ACTIVITY").select(
-        KEY, F.col("element_instance_key").alias("parent_element_instance_key"), F.col("start_date").alias("called_at")
+        KEY, F.col("element_instance_key").alias("parent_element_instance_key"),
+        F.col("start_date").alias("called_at"),
     )
     called = logs.process_instances.select("parent_element_instance_key", F.col(KEY).alias("called"))
     def down(level: DataFrame) -> DataFrame:
