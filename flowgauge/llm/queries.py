@@ -7,16 +7,72 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import simhash
+from flowgauge.llm import mixing, packing, quality_rules, resampling, sharding, simhash, substrings
 from flowgauge.llm.common import table
 
 
+def trusted(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of the documents labelled as good."""
+    return table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+
+
+def op1_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    scored = resampling.resample(table(spark, folder, "documents"), trusted(spark, folder))
+    return scored.select("doc_id", "log_weight", "gumbel_key", "kept")
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate"
+    )
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, folder, "documents"), trusted(spark, folder))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr"
+    )
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), _tokenizer())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    dealt = sharding.histogram_sort(table(spark, folder, "documents"))
+    return dealt.select(
+        "doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    done = substrings.remove_repeated(table(spark, folder, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_resampling": op1_resampling,
+    "op3_packing": op3_packing,
+    "op4_mixing": op4_mixing,
+    "op5_sharding": op5_sharding,
+    "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
+    "op8_substrings": op8_substrings,
 }
 
 ORACLES: dict[str, str] = {}

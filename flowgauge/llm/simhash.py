@@ -51,8 +51,10 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
 
     kind = docs.schema[id].dataType.simpleString()
     k1, k2 = row_key(docs[id], docs[text])
-    rows = docs.select(docs[id].alias("id"), docs[text].alias("text"), k1.alias("k1"), k2.alias("k2"))
-    return rows.mapInPandas(of, f"id {kind}, k1 bigint, k2 int, fp bigint")
+    # Ids travel as text: pandas would turn whole numbers with nulls into floating-point ones.
+    rows = docs.select(docs[id].cast("string").alias("id"), docs[text].alias("text"), k1.alias("k1"), k2.alias("k2"))
+    made = rows.mapInPandas(of, "id string, k1 bigint, k2 int, fp bigint")
+    return made.withColumn("id", F.col("id").cast(kind))
 
 
 def tile_edges(a: np.ndarray, b: np.ndarray, radius: int, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +186,8 @@ def _grouped(docs: DataFrame, id: str, text: str, shingle: int, radius: int, til
     linked = labels.join(distinct.select(F.col("fp").alias("node"), "first"), "node")
     roots = linked.groupBy("label").agg(F.min("first").alias("root"))
     known = linked.join(roots, "label").select(F.col("node"), "root")
-    of_fp = distinct.join(known, distinct["fp"] == known["node"], "left").select(
+    # Written first, so that the join below only exchanges rows and a fingerprint of very many copies can be split.
+    of_fp = stored(distinct.join(known, distinct["fp"] == known["node"], "left").select(
         distinct["fp"].alias("of"), F.coalesce("root", "first").alias("first")
-    )
+    ))
     return kept.join(of_fp, F.col("fp") == F.col("of"), "left").drop("of")
