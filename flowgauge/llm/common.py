@@ -14,11 +14,23 @@ from flowgauge.operators.checkpoints import shared_folder
 SPACE = r"[\x20\x09-\x0D]"
 
 
+# Shuffle files of a query are deleted at its end, not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends at files that every executor sees."""
+    """Write ``df`` to the shared folder and read it back: lineage ends at files that every executor sees.
+
+    The shuffle files behind ``df`` are not needed after that and are deleted.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/flowgauge-llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import let, words
+from flowgauge.llm.common import let, stored, words
 
 
 def _word(word: Column, buckets: int) -> Column:
@@ -45,13 +45,14 @@ def features(ws: Column) -> Column:
 
 def fit(
     docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "text", buckets: int = 1 << 14,
-    smoothing: float = 1.0,
+    smoothing: float = 20.0,
 ) -> RatioModel:
     """Count the n-grams of all of ``docs``, and of those whose id is in ``target`` (one column named ``id``).
 
-    Both multinomials are over ``buckets`` hashed words and word pairs, with ``smoothing`` added to each bucket. Counts
-    are summed before the shuffle; the model, ``buckets`` numbers, is what reaches the driver. Without a target all
-    weights are 0.
+    Both multinomials are over ``buckets`` hashed words and word pairs. The raw counts are scaled to the size of the
+    target, then ``smoothing`` is added to each bucket of either, so a bucket that is rare in the target by chance weighs
+    little. Counts are summed before the shuffle; the model, ``buckets`` numbers, is what reaches the driver. Without a
+    target all weights are 0.
     """
     trusted = target.select(F.col(id).alias("_id")).distinct()
     marked = docs.select(docs[id].alias("_doc"), words(docs[text]).alias("ws"))
@@ -61,19 +62,13 @@ def fit(
     each = each.toDF("trusted", "w", "v").select("trusted", F.explode(F.array(
         _word(F.col("w"), buckets), F.when(F.col("v").isNotNull(), _pair(F.col("w"), F.col("v"), buckets))
     )).alias("bucket"))
-    counted = each.filter("bucket IS NOT NULL").groupBy("bucket").agg(
+    counted = stored(each.filter("bucket IS NOT NULL").groupBy("bucket").agg(
         F.count("*").alias("raw"), F.count_if("trusted").alias("target")
-    )
-    total = counted.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
-    spread = smoothing * buckets
-    sums = total.first()
+    ))
+    sums = counted.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets")).first()
     if not sums["targets"]:
         return RatioModel((0.0,) * buckets)
-    ratio = F.log((F.col("target") + smoothing) / (sums["targets"] + spread)) - F.log(
-        (F.col("raw") + smoothing) / (sums["raws"] + spread)
-    )
-    found = dict(counted.select("bucket", F.round(ratio, 6)).collect())
-    from math import log
-
-    unseen = round(log((sums["raws"] + spread) / (sums["targets"] + spread)), 6)
-    return RatioModel(tuple(found.get(k, unseen) for k in range(buckets)))
+    expected = F.col("raw") * (sums["targets"] / sums["raws"])
+    weight = F.log(F.col("target") + smoothing) - F.log(expected + smoothing)
+    found = dict(counted.select("bucket", F.round(weight, 6)).collect())
+    return RatioModel(tuple(found.get(k, 0.0) for k in range(buckets)))

@@ -15,15 +15,18 @@ from pyspark.sql import functions as F
 from flowgauge.llm.common import stored
 from flowgauge.llm.cutting_stock import assign
 
-_ODD = re.compile(r"\s | \s")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: White space other than single blanks and line feeds.
+_OTHER = [chr(c) for c in range(1 << 16) if chr(c).isspace() and chr(c) not in " \n"]
+_OTHER_ASCII = [c for c in _OTHER if c.isascii()]
 
 
 class Encoder:
     """Token ids of texts as bytes, ids of recurring words looked up.
 
-    A text may be cut before a single space between two other characters: no token of a byte-level vocabulary reaches
-    across it. So each word, with the space before it, is encoded once per worker as long as ``room`` words are enough.
+    A text may be cut before a single blank or line feed between two other characters: no token of a byte-level
+    vocabulary reaches across it. So each word, with the blank or line feed before it, is encoded once per worker as long
+    as there is room for so many words. A point or comma after a letter is a token of its own.
     """
 
     def __init__(self, path: str, room: int = 800_000):
@@ -34,23 +37,40 @@ class Encoder:
         self.room = room
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.ends = dict(zip(",.", self._fresh([",", "."])))
 
     def _fresh(self, chunks: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in encoded]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [_SAFE.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
+        parts = [_parts(t) for t in texts]
         firsts = self._fresh([p[0] for p in parts])
-        wanted = {w for p in parts for w in p[1:]}
+        wanted: set[str] = set()
+        for p in parts:
+            wanted.update(p)
         new = [w for w in wanted if w not in self.known]
-        if len(self.known) + len(new) > self.room:
+        if len(self.known) + 2 * len(new) > self.room:
             self.known, new = {}, list(wanted)
-        self.known.update(zip(new, self._fresh([" " + w for w in new])))
         known = self.known
+        plain = {w[:-1] if w[-1:] in self.ends and w[-2:-1].isalpha() else w for w in new}
+        plain = [w for w in plain if w not in known]
+        known.update(zip(plain, self._fresh([w if w[:1] == "\n" else " " + w for w in plain])))
+        for w in new:
+            if w not in known:
+                known[w] = known[w[:-1]] + self.ends[w[-1]]
         return [first + b"".join([known[w] for w in p[1:]]) for first, p in zip(firsts, parts)]
 
 
+def _parts(text: str) -> list[str]:
+    """The text up to its first cut, then its words: after a blank without it, after a line feed with it."""
+    if not any(c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER)):
+        parts = text.replace("\n", " \n").split(" ")
+        if "" not in parts and "\n" not in parts:
+            return parts
+    return _SAFE.split(text)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)

@@ -53,7 +53,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def judge(
     docs: DataFrame, target: DataFrame, id: str = "doc_id", text: str = "text", buckets: int = 1 << 14,
-    threshold: float = -0.2, least_words: int = 50,
+    threshold: float = -0.05, least_words: int = 50,
 ) -> DataFrame:
     """``docs`` with the columns of ``measures``, ``base_failed``, ``llr`` and ``kept``.
 

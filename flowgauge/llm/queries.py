@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import mixing, packing, quality_rules, resampling, sharding, simhash, substrings
-from flowgauge.llm.common import table
+from flowgauge.llm import (
+    mixing, nearest, packing, quality_rules, resampling, sharding, simhash, substrings, toxicity, url_filters,
+)
+from flowgauge.llm.common import stored, table
 
 
 def trusted(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,14 +37,26 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _tokenizer() -> str:
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("good"))
+    judged = url_filters.judge(table(spark, folder, "pages"), labels, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+def tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = packing.pack(table(spark, folder, "documents"), _tokenizer())
+    pieces = packing.pack(table(spark, folder, "documents"), tokenizer())
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
@@ -65,14 +79,35 @@ def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return nearest.search(stored(nearest.build_index(vectors)), vectors.filter("vec_id % 20 = 0"))
+
+
+def held_out(id: str = "doc_id") -> Column:
+    return F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = toxicity.score(documents, toxicity.fit(documents, labels.filter(~held_out())))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.transform("sentences", lambda x: F.struct(x["start"], x["end"])).alias("offending"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_resampling": op1_resampling,
+    "op2_url_filters": op2_url_filters,
     "op3_packing": op3_packing,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
     "op8_substrings": op8_substrings,
+    "op9_nearest": op9_nearest,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -44,11 +44,12 @@ class Words:
     def __len__(self) -> int:
         return len(self.parts)
 
-    def digests(self, at: np.ndarray, width: int) -> np.ndarray:
-        """128-bit hashes of ``width`` words from each position, as pairs of longs."""
-        digest, whole = xxhash.xxh3_128_digest, self.whole
+    def digests(self, at: np.ndarray, width: int, digest: Callable[[memoryview], bytes]) -> np.ndarray:
+        """Hashes of ``width`` words from each position, one column per long."""
+        whole = self.whole
         spans = zip(self.starts[at].tolist(), self.ends[at + width - 1].tolist())
-        return np.frombuffer(b"".join([digest(whole[a:b]) for a, b in spans]), dtype="<i8").reshape(-1, 2)
+        longs = len(digest(b"")) // 8
+        return np.frombuffer(b"".join([digest(whole[a:b]) for a, b in spans]), dtype="<i8").reshape(-1, longs)
 
 
 def _located(batch: pd.DataFrame, at: list[np.ndarray], hashes: list[np.ndarray]) -> pd.DataFrame:
@@ -61,7 +62,8 @@ def _located(batch: pd.DataFrame, at: list[np.ndarray], hashes: list[np.ndarray]
     h = np.concatenate(hashes) if hashes else np.zeros((0, 2), dtype=np.int64)
     pos = np.concatenate(at).astype(np.int32) if at else np.zeros(0, dtype=np.int32)
     k1, k2 = np.repeat(batch["k1"].to_numpy(), counts), np.repeat(batch["k2"].to_numpy(), counts)
-    lo, hi = h[:, 0].copy(), h[:, 1].copy()
+    lo = h[:, 0].copy()
+    hi = h[:, 1].copy() if h.shape[1] > 1 else np.zeros_like(lo)
     order = np.lexsort((hi, lo))
     same = (lo[order][1:] == lo[order][:-1]) & (hi[order][1:] == hi[order][:-1])
     later = np.zeros(len(lo), dtype=bool)
@@ -69,7 +71,7 @@ def _located(batch: pd.DataFrame, at: list[np.ndarray], hashes: list[np.ndarray]
     known = later.copy()
     known[order[:-1]] |= same
     lo[later] = k1[later] ^ (pos[later].astype(np.int64) * np.int64(0x9E3779B97F4A7C1))
-    hi[later] = k2[later]
+    hi[later] = k2[later] if h.shape[1] > 1 else 0
     return pd.DataFrame({"lo": lo, "hi": hi, "known": known, "k1": k1, "k2": k2, "pos": pos})
 
 
@@ -102,7 +104,7 @@ def repeated_windows(docs: DataFrame, id: str, text: str, window: int, period: i
                 places = np.arange(len(words) - anchor + 1 if len(words) >= window else 0)
                 places = places[cover[places % period]]
                 at.append(places)
-                hashes.append(words.digests(places, anchor))
+                hashes.append(words.digests(places, anchor, xxhash.xxh64_digest))
             yield _located(batch, at, hashes)
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,12 +119,12 @@ def repeated_windows(docs: DataFrame, id: str, text: str, window: int, period: i
                 np.add.at(marks, np.minimum(found, last) + 1, -1)
                 places = np.flatnonzero(np.cumsum(marks)[: last + 1] > 0)
                 at.append(places)
-                hashes.append(words.digests(places, window))
+                hashes.append(words.digests(places, window, xxhash.xxh3_128_digest))
             yield _located(batch, at, hashes)
 
     k1, k2 = row_key(docs[id], docs[text])
     rows = docs.select(k1.alias("k1"), k2.alias("k2"), docs[text].alias("text"))
-    places = _repeated(rows.mapInPandas(anchors, _LOCATED))
+    places = stored(_repeated(rows.mapInPandas(anchors, _LOCATED)))
     candidates = rows.join(places, ["k1", "k2"]).select("k1", "k2", "text", "at")
     return _repeated(candidates.mapInPandas(windows, _LOCATED))
 
