@@ -55,8 +55,11 @@ def fit(
     target all weights are 0.
     """
     trusted = target.select(F.col(id).alias("_id")).distinct()
-    marked = docs.select(docs[id].alias("_doc"), words(docs[text]).alias("ws"))
-    marked = marked.join(trusted, F.col("_doc") == F.col("_id"), "left").withColumn("trusted", F.col("_id").isNotNull())
+    # Texts are exchanged as they are; arrays of their words would take up twice the room.
+    joined = docs.select(docs[id].alias("_doc"), docs[text].alias("_text")).join(
+        trusted, F.col("_doc") == F.col("_id"), "left"
+    )
+    marked = joined.select(F.col("_id").isNotNull().alias("trusted"), words(F.col("_text")).alias("ws"))
     following = F.slice("ws", F.lit(2), F.size("ws"))
     each = marked.select("trusted", F.inline(F.arrays_zip(F.col("ws").alias("w"), following.alias("v"))))
     each = each.toDF("trusted", "w", "v").select("trusted", F.explode(F.array(

@@ -55,8 +55,10 @@ def templates(
 
     Level by level, the children of a node are compared with all of the node's pages. A child with fewer than
     ``least_rows`` pages is a variable segment; one whose share of good labels lies within ``distance`` standard errors of
-    the node's is similar. Both are merged into the wildcard ``*``, the others keep a branch of their own. An only child
-    keeps its name. What lies deeper than ``depth`` becomes one ``**``.
+    the node's is similar. Both are merged into the wildcard ``*``. Of the others, those above the node's share are compared
+    with each other's pages in the same way and merged into ``*+`` where they are similar, those below into ``*-``; who is
+    similar to none keeps a branch of its own. An only child keeps its name. What lies deeper than ``depth`` becomes one
+    ``**``.
     """
     longest = shapes.agg(F.max(F.size("parts"))).first()[0] or 0
     tree = shapes.withColumn("template", F.lit(""))
@@ -64,15 +66,15 @@ def templates(
         tree = stored(tree.withColumn("child", F.get("parts", F.lit(level))))
         counts = [F.sum(c).alias(c) for c in ("rows", "labelled", "good")]
         children = tree.filter("child IS NOT NULL").groupBy("host", "template", "child").agg(*counts)
-        nodes = children.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.sum("labelled").alias("l"), F.sum("good").alias("g")
-        )
-        # One added page of either kind keeps shares away from 0 and 1.
-        share, own = (F.col("g") + 1) / (F.col("l") + 2), (F.col("good") + 1) / (F.col("labelled") + 2)
-        error = F.sqrt(share * (1 - share) / (F.col("labelled") + 2))
-        alone = (F.col("children") == 1) | ((F.col("rows") >= least_rows) & (F.abs(own - share) > distance * error))
-        chosen = children.join(nodes, ["host", "template"]).select(
-            "host", "template", "child", F.when(alone, F.col("child")).otherwise("*").alias("branch")
+        nodes = children.groupBy("host", "template").agg(*_pool("node"))
+        placed = children.join(nodes, ["host", "template"])
+        apart = (F.col("rows") >= least_rows) & _differs("node", distance)
+        side = F.when(~apart, "*").when(_share("good", "labelled") > _share("node_good", "node_labelled"), "*+").otherwise("*-")
+        placed = placed.withColumn("side", F.when(F.col("node_children") > 1, side).otherwise(F.col("child")))
+        sides = placed.groupBy("host", "template", "side").agg(*_pool("side"))
+        alone = (F.col("side") != "*") & ((F.col("side_children") == 1) | _differs("side", distance))
+        chosen = placed.join(sides, ["host", "template", "side"]).select(
+            "host", "template", "child", F.when(alone, F.col("child")).otherwise(F.col("side")).alias("branch")
         )
         tree = tree.join(chosen, ["host", "template", "child"], "left").withColumn(
             "template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "branch"), F.lit("")))
@@ -81,6 +83,23 @@ def templates(
     return tree.withColumn("template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
 
 
+def _pool(name: str) -> list[Column]:
+    counts = [F.sum(c).alias(f"{name}_{c}") for c in ("labelled", "good")]
+    return [F.count("*").alias(f"{name}_children"), *counts]
+
+
+def _share(good: str, labelled: str) -> Column:
+    """One added page of either kind keeps shares away from 0 and 1."""
+    return (F.col(good) + 1) / (F.col(labelled) + 2)
+
+
+def _differs(pool: str, distance: float) -> Column:
+    """Whether a child's share lies more than ``distance`` standard errors from the pool's."""
+    share = _share(f"{pool}_good", f"{pool}_labelled")
+    error = F.sqrt(share * (1 - share) / (F.col("labelled") + 2))
+    return F.abs(_share("good", "labelled") - share) > distance * error
+
+
 def judge(
     pages: DataFrame, labels: DataFrame, rules: list[Rule], id: str = "page_id", url: str = "url",
     threshold: float = 0.5, strength: float = 10.0, depth: int = 8, least_rows: int = 20,
