@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tests.compare import assert_same, connect
 from tests.conftest import DATA
+from workload import catalog
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
