@@ -25,10 +25,13 @@ def as_number(text: Column) -> Column:
 
 
 def number_literal(value: float | str, what: str) -> float:
+    text = str(value).strip()
     try:
-        return float(str(value).strip())
-    except ValueError as error:
-        raise bad_input(f"the {what} has to be a number, got {value!r}") from error
+        if "_" not in text:  # Python alone takes 1_000 for a number
+            return float(text)
+    except ValueError:
+        pass
+    raise bad_input(f"the {what} has to be a number, got {value!r}")
 
 
 def is_date_operator(operator: str) -> bool:

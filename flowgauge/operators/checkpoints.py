@@ -6,13 +6,19 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowgauge.errors import bad_input
+
 SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set."""
+    """The shared folder the cluster names. On one machine alone a temporary one stands in where none is set."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
-    return folder or tempfile.mkdtemp(prefix="flowgauge-")
+    if folder:
+        return folder
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise bad_input(f"name a folder that all executors share in {SETTING}")
+    return tempfile.mkdtemp(prefix="flowgauge-")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

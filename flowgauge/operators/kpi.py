@@ -26,14 +26,17 @@ class Measure:
 
     ``keep`` says which rows the aggregate can use at all: column -> wanted values, or
     :data:`PRESENT`. What all measures of a table restrict is pushed into the scan.
-    ``distinct`` marks aggregates that need a second exchange; they are planned
-    apart, on their few columns, so that the wide fused aggregate keeps a single one.
+    ``distinct`` marks aggregates that need a second exchange, ``text`` those that pick
+    a text, whose buffers have no fixed width. Either are planned apart, on their few
+    columns and rows, so that the wide fused aggregate keeps a single exchange and sorts
+    nothing.
     """
 
     table: str
     aggregate: Column
     keep: Mapping[str, Sequence[str]] = field(default_factory=dict)
     distinct: bool = False
+    text: bool = False
 
 
 @dataclass(frozen=True)

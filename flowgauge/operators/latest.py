@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowgauge.errors import required
+from flowgauge.functions.clock import packed_order
 from flowgauge.operators.filters import has_text, job_is, job_keep
 from flowgauge.operators.kpi import Kpi, Measure, all_of, measured
 
@@ -18,14 +19,14 @@ def newest_order(moment: Column, key: Column) -> Column:
     A row without a time counts as the most recent; of equal times the smallest key
     wins, so that the outcome does not depend on the order of the input.
     """
-    return F.struct(moment.isNull().alias("undated"), moment.alias("moment"), (-key).alias("key"))
+    return packed_order(moment, key, descending=True)
 
 
 def latest(
     table: str, value: str, moment: str, key: str, condition: Column, keep: Mapping[str, Sequence[str]],
 ) -> Measure:
     order = newest_order(F.col(moment), F.col(key))
-    return Measure(table, F.max_by(F.col(value), F.when(condition, order)), keep)
+    return Measure(table, F.max_by(F.col(value), F.when(condition, order)), keep, text=True)
 
 
 def bpmn_error(element_id: str | None = None) -> Kpi:

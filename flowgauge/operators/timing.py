@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.errors import is_blank, required
-from flowgauge.functions.clock import hour_slot, in_unit, micros_between, whole_div
+from flowgauge.functions.clock import hour_slot, in_unit, micros_between, packed_order, whole_div
 from flowgauge.operators.filters import element_is
 from flowgauge.operators.kpi import Kpi, Measure, all_of, measured
 from flowgauge.operators.skew import SALT, repeated, salted
@@ -15,8 +15,7 @@ from flowgauge.sources.logs import ProcessLogs
 
 def start_order() -> Column:
     """The order of "first": by start, then by key; elements without a start come last."""
-    start = F.col("start_date")
-    return F.struct(start.isNull().alias("unstarted"), start, F.col("element_instance_key"))
+    return packed_order(F.col("start_date"), F.col("element_instance_key"))
 
 
 def _moment(reference: str, match: str) -> Measure:
@@ -25,6 +24,8 @@ def _moment(reference: str, match: str) -> Measure:
     moment = F.col("start_date" if edge.upper() == "START" else "end_date")
     known = all_of(element_is(required(element_id, "the element id"), match=match), moment.isNotNull())
     keep = {"element_id": (element_id,)} if match == "id" else {}
+    if edge.upper() == "START":
+        return Measure("element_instances", F.min(F.when(known, moment)), keep)
     return Measure("element_instances", F.min_by(moment, F.when(known, start_order())), keep)
 
 

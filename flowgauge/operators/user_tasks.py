@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.errors import incomplete, is_blank, one_of
-from flowgauge.functions.clock import hour_slot, in_unit, micros_between, parse_iso_duration
+from flowgauge.functions.clock import hour_slot, in_unit, micros_between, packed_order, parse_iso_duration
 from flowgauge.operators.filters import element_is
 from flowgauge.operators.kpi import PRESENT, Kpi, Measure, all_of, measured
 from flowgauge.sources.logs import ProcessLogs
@@ -89,8 +89,7 @@ def user_task_assignee(element_id: str | None = None, mode: str = "FIRST") -> Kp
 
         return Kpi(lambda inputs: F.coalesce(inputs.frame, F.lit("")), frame=build)
 
-    created = F.col("creation_date")
-    order = F.when(assigned, F.struct(created.isNull().alias("undated"), created, F.col("user_task_key")))
+    order = F.when(assigned, packed_order(F.col("creation_date"), F.col("user_task_key")))
     pick = F.min_by if how == "FIRST" else F.max_by
-    chosen = Measure("user_tasks", pick(F.col("assignee"), order), {"assignee": PRESENT} | named(element_id))
+    chosen = Measure("user_tasks", pick(F.col("assignee"), order), {"assignee": PRESENT} | named(element_id), text=True)
     return measured(lambda inputs: F.coalesce(inputs["chosen"], F.lit("")), chosen=chosen)

@@ -26,9 +26,6 @@ TOPICS = (
 RESULT_TYPES = ("JSON", "STRING")
 DEFAULT_SIZE = 100
 
-# Largest size for which Spark cuts groups ahead of the shuffle.
-GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-
 _BY_NAME = {topic.lower(): topic for topic in TOPICS}
 # Place of an entry among entries of equal start, see flowgauge.operators.ranking.
 _PLACE = ("stuck", "lead_is_flow", "lead_element", "lead_instance", "lead_flow", "step")
@@ -72,12 +69,33 @@ def element_entries(logs: ProcessLogs, types: list[str]) -> DataFrame:
     ).withColumns(own_place)
 
 
+def earliest_starts(elements: DataFrame, instance: Sequence[str], size: int) -> DataFrame:
+    """The elements that start no later than the ``size``-th of their instance, all ties included.
+
+    Needs no places, so nothing is joined yet. First each hour of an instance is cut, then
+    what is left of the instance: no task sorts a long instance whole, and for small sizes
+    Spark drops the rest before it is exchanged.
+    """
+    for group in ([*instance, "_hour"], instance):
+        by_start = Window.partitionBy(*group).orderBy("start_date")
+        elements = elements.withColumn("_hour", hour_slot(F.col("start_date")))
+        elements = elements.withColumn("_rank", F.rank().over(by_start)).filter(F.col("_rank") <= size)
+    return elements.drop("_hour", "_rank")
+
+
 def history_entries(
     logs: ProcessLogs, activity_filter: str | Iterable[str] = "ALL", instance: Sequence[str] = (KEY,),
+    size: int | None = None,
 ) -> DataFrame:
-    """Elements and flows of each single instance, with the columns of :data:`ORDER`."""
+    """Elements and flows of each single instance, with the columns of :data:`ORDER`.
+
+    With ``size``, elements that cannot be among the first ``size`` entries of their
+    instance are left out at once.
+    """
     types, with_flows = families(activity_filter)
     elements = element_entries(logs, types)
+    if size is not None:
+        elements = earliest_starts(elements, instance, size)
     if not with_flows:
         return elements
     occurrences = flow_occurrences(logs.sequence_flows, logs.flow_topology, logs.element_instances, instance)
@@ -101,27 +119,21 @@ def with_flows_placed(elements: DataFrame, placed: DataFrame, instance: Sequence
         ).alias("flow"),
         F.struct(*_PLACE).alias("place"),
     )
-    own = elements.withColumns({"is_flow": F.lit(False), "entry": F.col("element_instance_key")})
+    own = elements.withColumns({"is_flow": F.lit(False), "entry": F.col("element_instance_key"), "own": F.lit(True)})
     of_flow = {name: F.col(f"flow.{name}") for name in (KEY, "element_id", "process_definition_id", "tenant_id",
                                                         "type", "start_date")}
     placed_at = {name: F.col(f"place.{name}") for name in _PLACE}
-    return own.join(places, [*scope, "is_flow", "entry"], "full").withColumns(
+    # A place without its element belongs to one that was cut.
+    both = own.join(places, [*scope, "is_flow", "entry"], "full").filter(F.col("is_flow") | F.col("own"))
+    return both.withColumns(
         {name: F.when(F.col("is_flow"), value).otherwise(F.col(name)) for name, value in of_flow.items()}
         | {name: F.when(F.col("place").isNotNull(), value).otherwise(F.col(name)) for name, value in placed_at.items()}
         | {name: F.when(F.col("is_flow"), F.col(f"flow.{name}")) for name in ("source_ref", "target_ref")}
-    ).drop("is_flow", "entry", "flow", "place")
+    ).drop("is_flow", "entry", "own", "flow", "place")
 
 
 def earliest(rows: DataFrame, group: Sequence[str], size: int, position: str) -> DataFrame:
-    """The first ``size`` rows of each group.
-
-    Up to Spark's window group limit, rows beyond are dropped before the shuffle. For
-    larger sizes each hour of the group is cut first, so that no task sorts a long
-    instance whole.
-    """
-    if size > int(rows.sparkSession.conf.get(GROUP_LIMIT, "1000")):
-        in_hour = Window.partitionBy(*group, hour_slot(F.col("start_date"))).orderBy(*ORDER)
-        rows = rows.withColumn(position, F.row_number().over(in_hour)).filter(F.col(position) <= size)
+    """The first ``size`` rows of each group."""
     in_order = Window.partitionBy(*group).orderBy(*ORDER)
     return rows.withColumn(position, F.row_number().over(in_order)).filter(F.col(position) <= size)
 
@@ -186,7 +198,7 @@ def history_rows(
     chosen = chosen_topics(topics)
     limit = positive_size(size)
     instance = (KEY,) if root is None else (root, KEY)
-    entries = earliest(history_entries(logs, activity_filter, instance), instance, limit, "own_position")
+    entries = earliest(history_entries(logs, activity_filter, instance, limit), instance, limit, "own_position")
     if {"processDefinitionName", "processDefinitionVersion"} & set(chosen.values()):
         entries = with_definition(entries, logs.process_instances, instance)
     if root is None:

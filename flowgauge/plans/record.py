@@ -44,12 +44,12 @@ def _spine_column(name: str) -> str:
 
 
 def fused_aggregates(logs: ProcessLogs, measures: Mapping[str, Measure], key: str) -> list[DataFrame]:
-    """One aggregate per table (and one more for its distinct measures)."""
-    groups: dict[tuple[str, bool], dict[str, Measure]] = defaultdict(dict)
+    """One aggregate per table (and one more for its distinct measures, and for its texts)."""
+    groups: dict[tuple[str, bool, bool], dict[str, Measure]] = defaultdict(dict)
     for name, measure in measures.items():
-        groups[measure.table, measure.distinct][name] = measure
+        groups[measure.table, measure.distinct, measure.text][name] = measure
     frames = []
-    for (table, _), fused in groups.items():
+    for (table, *_), fused in groups.items():
         rows = keep_rows(logs.table(table), shared_filter(list(fused.values())))
         frames.append(rows.groupBy(key).agg(
             *(measure.aggregate.alias(name) for name, measure in fused.items())
@@ -115,17 +115,14 @@ def kpi_record(logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE", key: s
 def _with_expression(
     df: DataFrame, target: str, columns: Mapping[str, str], sql: str, types: Mapping[str, str],
 ) -> DataFrame:
-    kept = df.columns
+    """Beside the expression's variables stands nothing but the row as one struct, so no name of theirs is ambiguous."""
     typed = [
         F.try_variant_get(F.try_parse_json(F.col(columns[name])), "$", kind).alias(name)
         for name, kind in types.items()
     ]
     has_any = any_of([F.col(columns[name]).isNotNull() for name in types])
-    return (
-        df.select("*", *typed)
-        .withColumn(target, F.when(has_any, F.expr(sql)))
-        .select(*kept, target)
-    )
+    only = df.select(F.struct(*df.columns).alias("_row"), has_any.alias("_any"), *typed)
+    return only.select("_row", F.when(F.col("_any"), F.expr(sql)).alias(target)).select("_row.*", target)
 
 
 def _checked(value: Column, problems: list[Problem], mode: str) -> Column:

@@ -45,6 +45,15 @@ def resolve_table(spark: SparkSession, table: str) -> str:
     return next(found, table)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quoted_table(name: str) -> str:
+    """A table name for SQL text, its parts quoted where they are not quoted already."""
+    return name if "`" in name else ".".join(quoted(part.strip()) for part in name.split("."))
+
+
 def append_matched(record: DataFrame, table: str) -> None:
     """Insert the record into a Spark table."""
     spark = record.sparkSession
@@ -55,8 +64,8 @@ def append_matched(record: DataFrame, table: str) -> None:
         flat(source, record.schema[source].dataType).cast(target[column].dataType).alias(column)
         for column, source in matched.items()
     ))
-    columns = ", ".join("`" + column.replace("`", "``") + "`" for column in matched)
-    spark.sql(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {{rows}}", rows=rows)
+    columns = ", ".join(quoted(column) for column in matched)
+    spark.sql(f"INSERT INTO {quoted_table(name)} ({columns}) SELECT {columns} FROM {{rows}}", rows=rows)
 
 
 def append_matched_jdbc(record: DataFrame, url: str, table: str, **options: str) -> None:
@@ -76,12 +85,16 @@ def append_matched_jdbc(record: DataFrame, url: str, table: str, **options: str)
         except PySparkException as error:
             return error
 
-    tried = {name: columns_of(name) for name in name_candidates(table)}
-    known = [name for name, columns in tried.items() if isinstance(columns, list) and columns]
-    if not known:
-        raise tried[table]
-    matched = matched_columns(record.columns, tried[known[0]])
+    failed = None
+    for name in name_candidates(table):
+        columns = columns_of(name)
+        if isinstance(columns, list) and columns:
+            break
+        failed = failed or columns
+    else:
+        raise failed or bad_input(f"the table {table!r} has no columns")
+    matched = matched_columns(record.columns, columns)
     rows = record.select(*(
         flat(source, record.schema[source].dataType).alias(column) for column, source in matched.items()
     ))
-    rows.write.format("jdbc").options(**options).option("url", url).option("dbtable", known[0]).mode("append").save()
+    rows.write.format("jdbc").options(**options).option("url", url).option("dbtable", name).mode("append").save()

@@ -26,12 +26,17 @@ def delay_interval(delay: int | str) -> str:
     return f"{found[1]} {'milliseconds' if unit == 'ms' else unit}"
 
 
-def kpi_on_close(elements: DataFrame, pilot: Pilot, gap: str, delay: int | str = 0) -> DataFrame:
+def kpi_on_close(elements: DataFrame, pilot: Pilot, gap: str, delay: int | str) -> DataFrame:
     """A stream (or table) of elements -> one row per instance and session.
 
     A session ends after ``gap`` without a new element. ``delay`` is how long to wait
     for rows that are exported late; later ones are dropped. On a stream a session is
-    emitted once the watermark has passed its end, so the last ones stay open.
+    emitted once the watermark has passed its end, so the last ones stay open. A table
+    gives all sessions, whatever the delay.
+
+    Rows of an instance that share no start are combined before the shuffle only where
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is set; set it
+    for instances with very many elements.
 
     Every KPI made of aggregates over the element log may be used.
     """

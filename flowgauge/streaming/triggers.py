@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from flowgauge.operators.closure import calls_below
+from flowgauge.operators.flows import resolved_flows
 from flowgauge.plans.record import Pilot, checked_pilot, kpi_record
 from flowgauge.schemas import CLOCKS, KEY
 from flowgauge.sources.logs import ProcessLogs
@@ -19,11 +22,19 @@ def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
     """The logs of each trigger's instances, cut at the trigger's time.
 
     Rows that came later are left out and an element that ended later counts as open;
-    rows without a time stay. Every row carries its trigger.
+    rows without a time stay. A sequence flow has the time at which its target first
+    started. Variables have no time: they are the current values. Every row carries its
+    trigger, and every trigger has a row among the instances, exported yet or not.
     """
     def seen(name: str, table: DataFrame) -> DataFrame:
         if KEY not in table.columns:
             return table
+        if name == "process_instances":
+            return triggers.drop(MOMENT).join(table, KEY, "left")
+        if name == "sequence_flows":
+            arrived = F.col("_arrived")
+            rows = with_arrival(table, logs).join(triggers, KEY)
+            return rows.filter(arrived.isNull() | (arrived <= F.col(MOMENT))).drop("_arrived", MOMENT)
         rows = table.join(triggers, KEY)
         clock = CLOCKS.get(name)
         if clock:
@@ -35,6 +46,19 @@ def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
     return logs.mapped(seen)
 
 
+def with_arrival(flows: DataFrame, logs: ProcessLogs) -> DataFrame:
+    """Flows with ``_arrived``, the first start of their target in the instance; null where that is not known."""
+    ends = resolved_flows(flows, logs.flow_topology).select(
+        KEY, F.col("flow_id").alias("element_id"), F.col("target_ref").alias("_target")
+    )
+    first = logs.element_instances.groupBy(KEY, F.col("element_id").alias("_target")).agg(
+        F.min("start_date").alias("_arrived")
+    )
+    # A flow may be there more than once; its arrival is one.
+    known = ends.join(first, [KEY, "_target"]).groupBy(KEY, "element_id").agg(F.min("_arrived").alias("_arrived"))
+    return flows.join(known, [KEY, "element_id"], "left")
+
+
 def record_at_triggers(
     triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE",
     key_range: tuple[int, int] | None = None,
@@ -60,10 +84,14 @@ def record_at_triggers(
 
 
 def kpi_on_trigger(
-    triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, path: str, mode: str = "PERMISSIVE",
+    triggers: DataFrame, open_logs: Callable[[], ProcessLogs], pilot: Pilot, path: str, mode: str = "PERMISSIVE",
 ) -> DataStreamWriter:
     """Writer of a stream of triggers; start it with a checkpoint location of your choice.
 
+    ``open_logs`` opens the logs, ``lambda: read_logs(spark, folder)`` for instance. It is
+    called for each micro-batch, so a record sees all that was exported before its batch
+    began; a table that is opened once keeps the files it had then.
+
     Every trigger adds a row, none is updated. A micro-batch replaces the folder
     ``batch_id=<n>`` under ``path``, so a batch that is replayed after a failure leaves
     no duplicates.
@@ -76,7 +104,7 @@ def kpi_on_trigger(
             if not batch.isEmpty():
                 # Two longs: keys grow with time, so old files need not be opened.
                 key_range = tuple(batch.agg(F.min(KEY), F.max(KEY)).first())
-                record = record_at_triggers(batch, logs, pilot, mode, key_range)
+                record = record_at_triggers(batch, open_logs(), pilot, mode, key_range)
                 record.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             batch.unpersist()

@@ -7,10 +7,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from flowgauge.errors import KpiError
+from flowgauge.functions.clock import packed_order
 from flowgauge.operators import counts, filters, latest, projections, timing, user_tasks, variables
 from flowgauge.plans.history import history
 from flowgauge.plans.record import ERRORS, kpi_record, single_kpi
-from tests.conftest import by_instance
+from flowgauge.schemas import KEY
+from flowgauge.sources.logs import read_logs
+from tests.conftest import by_instance, moment, rows
 
 
 def values(logs, kpi):
@@ -212,3 +215,33 @@ def test_history_nests_called_instances_and_orders_ties(demo):
          "endDate": "2024-05-02T11:30:00Z"},
         {"assignee": "bob", "processDefinitionVersion": 3, "startDate": "2024-05-02T12:00:00Z"},
     ]
+
+
+def test_order_packed_in_one_number(spark):
+    far = 2**63 - 1
+    moments = [None, "1899-12-31T23:59:59.999999", "1970-01-01T00:00:00", "1969-12-31T23:59:59.999999", "2024-05-02T08:00:00", "9999-12-31T00:00:00"]
+    made = [(moment(m), key) for m in moments for key in (0, 1, -5, far, -far)]
+    packed = spark.createDataFrame(made, "t timestamp_ntz, k bigint").select(
+        "t", "k", packed_order(F.col("t"), F.col("k")).alias("up"), packed_order(F.col("t"), F.col("k"), descending=True).alias("down")
+    ).collect()
+    by_time = lambda row: (row["t"] is None, row["t"] or moment("1970-01-01T00:00:00"))
+    assert sorted(packed, key=lambda r: r["up"]) == sorted(packed, key=lambda r: (*by_time(r), r["k"]))
+    assert sorted(packed, key=lambda r: r["down"]) == sorted(packed, key=lambda r: (*by_time(r), -r["k"]))
+
+
+def test_element_aggregates_sort_nothing(spark, demo, tmp_path):
+    rows(spark, "element_instances").write.parquet(str(tmp_path / "element_instances"))
+    rows(spark, "process_instances").write.parquet(str(tmp_path / "process_instances"))
+    plan = kpi_record(read_logs(spark, str(tmp_path)), {
+        "n": counts.execution_count("a"), "took": timing.duration("a", "b"), "began": timing.duration("a:START", "b:START"),
+        "path": counts.path("ANY", "a"),
+    })._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and plan.count("FileScan parquet") == 2
+
+
+def test_variables_of_an_expression_may_be_called_anything(demo):
+    record = kpi_record(demo, {"k": variables.expr("amount * 2", {"amount": "double"}), "city": variables.expr("concat(city, '!')", {"city": "string"})})
+    assert by_instance(record, "k")[1] == 12000 and by_instance(record, "city")[1] == "Rome!"
+    own = demo.variables.withColumn("name", F.when(F.col("name") == "amount", F.lit(KEY)).otherwise(F.col("name")))
+    changed = demo.mapped(lambda name, table: own if name == "variables" else table)
+    assert by_instance(kpi_record(changed, {"k": variables.expr(f"{KEY} + 1", {KEY: "double"})}), "k")[1] == 6001

@@ -3,6 +3,7 @@ import pytest
 from flowgauge.errors import KpiError
 from flowgauge.operators import counts, latest, timing, user_tasks
 from flowgauge.plans.history import history
+from flowgauge.sources.logs import read_logs
 from flowgauge.streaming.closing import delay_interval, kpi_on_close
 from flowgauge.streaming.triggers import kpi_on_trigger, record_at_triggers
 from tests.conftest import element, moment, rows
@@ -77,11 +78,11 @@ def test_replayed_batches_leave_no_duplicates(spark, demo, tmp_path):
     out = str(tmp_path / "out")
     # A second run from an empty state replays batch 0.
     for state in ("s1", "s2"):
-        run(kpi_on_trigger(stream, demo, pilot, out), str(tmp_path / state))
+        run(kpi_on_trigger(stream, lambda: demo, pilot, out), str(tmp_path / state))
     assert [tuple(row) for row in spark.read.parquet(out).select("trigger_key", "a", "batch_id").collect()] == [(1, 2, 0)]
     # A later activation of the same instance adds a row.
     triggers.selectExpr("2L AS trigger_key", "process_instance_key", "trigger_time").write.mode("append").parquet(str(tmp_path / "in"))
-    run(kpi_on_trigger(stream, demo, pilot, out), str(tmp_path / "s2"))
+    run(kpi_on_trigger(stream, lambda: demo, pilot, out), str(tmp_path / "s2"))
     assert spark.read.parquet(out).count() == 2
 
 
@@ -105,7 +106,7 @@ def test_sessions_on_a_stream_equal_the_batch(spark, tmp_path):
     closed = kpi_on_close(stream, pilot, "30 minutes", 60_000)
     run(closed.writeStream.format("parquet").outputMode("append").option("path", str(tmp_path / "out")), str(tmp_path / "state"))
     streamed = {tuple(row) for row in spark.read.parquet(str(tmp_path / "out")).collect()}
-    batch = {tuple(row) for row in kpi_on_close(spark.read.parquet(str(tmp_path / "in")).drop("n"), pilot, "30 minutes").collect()}
+    batch = {tuple(row) for row in kpi_on_close(spark.read.parquet(str(tmp_path / "in")).drop("n"), pilot, "30 minutes", 0).collect()}
     assert len(batch) == 4 and {row for row in batch if row[0] != 3} == streamed
     assert {row[:4] for row in streamed} == {
         (1, moment(day + "08:00:00"), moment(day + "08:50:00"), 1), (1, moment(day + "12:00:00"), moment(day + "12:30:00"), 1),
@@ -129,4 +130,44 @@ def test_bad_delays(delay):
 def test_closing_refuses_other_logs(demo):
     for kpi in (counts.incident_count(), timing.latency(), history()):
         with pytest.raises(KpiError):
-            kpi_on_close(demo.element_instances, {"k": kpi}, "1 hour")
+            kpi_on_close(demo.element_instances, {"k": kpi}, "1 hour", 0)
+
+
+def test_each_batch_sees_the_logs_exported_before_it(spark, demo, tmp_path):
+    """Two micro-batches of one running stream, with a log file arriving between them."""
+    day = "2024-05-02T"
+
+    def export(*elements):
+        rows(spark, "element_instances", *elements).write.mode("append").parquet(str(tmp_path / "logs/element_instances"))
+
+    def trigger(key, at):
+        made = spark.createDataFrame([(key, 1, moment(at)), (key + 100, 99, moment(at))], TRIGGERS)
+        made.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    export(element(1, 1, "a", day + "08:00:00", day + "08:10:00"))
+    rows(spark, "process_instances").write.parquet(str(tmp_path / "logs/process_instances"))
+    trigger(1, day + "08:30:00")
+    stream = spark.readStream.schema(TRIGGERS).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    writer = kpi_on_trigger(stream, lambda: read_logs(spark, str(tmp_path / "logs")), {"a": counts.execution_count("a")}, out)
+    running = writer.option("checkpointLocation", str(tmp_path / "state")).start()
+    try:
+        running.processAllAvailable()
+        export(element(2, 1, "a", day + "09:00:00", None), element(3, 1, "a", day + "10:00:00", None))
+        trigger(2, day + "09:30:00")
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    found = {row["trigger_key"]: (row["process_instance_key"], row["a"]) for row in spark.read.parquet(out).collect()}
+    # Neither instance has been exported yet: each trigger has its record all the same.
+    assert found == {1: (1, 1), 2: (1, 2), 101: (99, 0), 102: (99, 0)}
+
+
+def test_a_flow_taken_after_its_trigger_is_not_seen(spark, demo):
+    triggers = spark.createDataFrame([
+        (1, 7, moment("2000-01-01T00:00:00")), (2, 7, moment("2024-05-02T10:00:01")), (3, 7, moment("2024-05-02T10:00:00")),
+    ], TRIGGERS)
+    pilot = {"ab": counts.path("ANY", "F_a_b", include_flows=True), "ba": counts.path("ANY", "F_b_a", include_flows=True)}
+    found = {row["trigger_key"]: (row["ab"], row["ba"]) for row in record_at_triggers(triggers, demo, pilot).collect()}
+    # b first starts at 10:00:01, a at 10:00:00.
+    assert found == {1: (False, False), 2: (True, True), 3: (False, True)}

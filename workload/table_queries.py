@@ -17,9 +17,9 @@ from flowgauge.schemas import KEY, SCHEMAS
 from flowgauge.sinks.matched import append_matched
 from flowgauge.sources import event_log
 from flowgauge.sources.event_log import logs_from_events
-from flowgauge.sources.logs import ProcessLogs
+from flowgauge.sources.logs import ProcessLogs, read_logs
 from flowgauge.streaming.closing import kpi_on_close
-from flowgauge.streaming.triggers import kpi_on_trigger
+from flowgauge.streaming.triggers import kpi_on_trigger, record_at_triggers
 from workload.kpi_queries import KPIS, as_of
 from workload.tables import with_tables
 
@@ -35,9 +35,17 @@ _TABLES = {
 
 
 def _table(name: str) -> tuple[LogQuery, str]:
+    """The table as the reader finds it, once it is stored."""
     columns = SCHEMAS[name].fieldNames()
+
+    def read(logs: ProcessLogs) -> DataFrame:
+        table = logs.table(name).select(*columns)
+        place = scratch(table.sparkSession)
+        table.write.parquet(f"{place}/{name}")
+        return read_logs(table.sparkSession, place).table(name).select(*columns)
+
     return (
-        lambda logs: logs.table(name).select(*columns),
+        read,
         with_tables(f"SELECT {', '.join(columns)} FROM {name}", name),
     )
 
@@ -206,6 +214,16 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return event_log.prepared_events(stream)
 
 
+def purchases_in(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("trigger_key"), F.col("pik").alias(KEY), F.col("sd").alias("trigger_time")
+    )
+
+
+def purchases_of(spark: SparkSession, folder: str) -> DataFrame:
+    return purchases_in(event_log.prepared_events(spark.read.parquet(f"{folder}/events.parquet")))
+
+
 def trigger_pilot() -> dict:
     return {
         "purchases": counts.execution_count("purchase"), "retries": counts.retry_count(),
@@ -216,11 +234,12 @@ def trigger_pilot() -> dict:
 
 def stream_trigger(spark: SparkSession, folder: str) -> DataFrame:
     """Every purchase triggers a record of its instance as of that hour."""
-    purchases = _event_stream(spark, folder).filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("trigger_key"), F.col("pik").alias(KEY), F.col("sd").alias("trigger_time")
-    )
+    purchases = purchases_in(_event_stream(spark, folder))
     place = scratch(spark)
-    writer = kpi_on_trigger(purchases, logs_from_events(spark, folder), trigger_pilot(), f"{place}/records")
+    # Without any trigger there is no record, so a folder without rows gives the schema.
+    none = record_at_triggers(purchases_of(spark, folder), logs_from_events(spark, folder), trigger_pilot())
+    spark.createDataFrame([], none.schema).write.parquet(f"{place}/records/batch_id=-1")
+    writer = kpi_on_trigger(purchases, lambda: logs_from_events(spark, folder), trigger_pilot(), f"{place}/records")
     writer.option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{place}/records").drop("batch_id")
 
@@ -294,6 +313,16 @@ FROM (SELECT *, CASE WHEN start_date <= lag(start_date) OVER (PARTITION BY proce
       ORDER BY start_date, element_instance_key) + INTERVAL 18 HOUR THEN 0 ELSE 1 END AS opens
       FROM element_instances) x""")
 
+
+
+def close_sessions(logs: ProcessLogs) -> DataFrame:
+    """The same over the whole table: every session, the last ones included."""
+    return kpi_on_close(logs.element_instances, close_pilot(), "18 hours", 0)
+
+
+_LAST_WHERE = "WHERE s.session_end <="
+_ALL_SESSIONS_SQL = _CLOSE_SQL[: _CLOSE_SQL.index(_LAST_WHERE)]
+
 _TASKS = ", ".join(f"'{name}'" for name in filters.TASK_TYPES + filters.GATEWAY_TYPES)
 
 # Name -> (query over the logs, DuckDB SQL)
@@ -331,6 +360,7 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
     "kpi_record_fused": (_fused, _fused_sql()),
     "kpi_record_errors": (_errors, _ERRORS_SQL),
     "append_matched": (_sink, _SINK_SQL),
+    "close_sessions": (close_sessions, _ALL_SESSIONS_SQL),
 }
 
 STREAMS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
