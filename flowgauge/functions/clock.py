@@ -184,6 +184,15 @@ def parse_moment_literal(text: str) -> datetime:
         raise KpiError(DATE_PARSING_ERROR, f"expected an ISO-8601 date or date-time, got {text!r}") from error
 
 
+def offset_text(micros: Column) -> Column:
+    """An offset from UTC as ``+01:00``, with seconds where it has some; ``Z`` for none."""
+    seconds = whole_div(F.abs(micros), 1_000_000)
+    sign = F.when(micros < 0, F.lit("-")).otherwise(F.lit("+"))
+    hours, minutes, rest = whole_div(seconds, 3600), F.pmod(whole_div(seconds, 60), F.lit(60)), F.pmod(seconds, F.lit(60))
+    text = F.concat(sign, F.format_string("%02d:%02d", hours, minutes), F.when(rest > 0, F.format_string(":%02d", rest)).otherwise(""))
+    return F.when(seconds == 0, F.lit("Z")).otherwise(text)
+
+
 def check_zone(zone: str) -> str:
     """A zone name Spark accepts: ``UTC``, an offset such as ``+07:00``, or a region."""
     name = zone.strip()
@@ -246,5 +255,7 @@ def rounded_date(
             return local
         case "STRING":
             return iso_text(local, "")
+        case "OFFSETDATETIME":
+            return F.struct(as_instant(utc).alias("instant"), offset_text(micros_between(utc, local)).alias("offset"))
         case _:
             return as_instant(utc)

@@ -41,11 +41,16 @@ class Measure:
 
 @dataclass(frozen=True)
 class Problem:
-    """A value that cannot be used: reported, or raised in FAILFAST mode."""
+    """A value that cannot be used: reported, or raised in FAILFAST mode.
+
+    ``is_null``: the KPI is null for such a value by itself. Then nothing guards it, and
+    Spark parses a variable once for the value and for the problem.
+    """
 
     when: Column
     code: str
     message: Column
+    is_null: bool = False
 
 
 class Inputs:

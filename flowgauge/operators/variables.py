@@ -91,7 +91,7 @@ def threshold(name: str, operator: str, limit: float | str) -> Kpi:
             bad, code, expected = moment_of(value).isNull(), DATE_PARSING_ERROR, "an ISO-8601 date"
         else:
             bad, code, expected = as_number(value).isNull(), BAD_INPUTPARAMETER, "a number"
-        return [Problem(value.isNotNull() & bad, code, _not_usable(name, expected, value))]
+        return [Problem(value.isNotNull() & bad, code, _not_usable(name, expected, value), is_null=True)]
 
     return Kpi(finish, variables=(name,), problems=problems)
 
@@ -107,6 +107,6 @@ def bucket(name: str, steps: Sequence[tuple[float | str, str]]) -> Kpi:
     def problems(inputs: Inputs) -> list[Problem]:
         value = json_value(inputs.variable(wanted))
         bad = value.isNotNull() & as_number(value).isNull()
-        return [Problem(bad, BAD_INPUTPARAMETER, _not_usable(wanted, "a number", value))]
+        return [Problem(bad, BAD_INPUTPARAMETER, _not_usable(wanted, "a number", value), is_null=True)]
 
     return Kpi(finish, variables=(wanted,), problems=problems)

@@ -129,7 +129,8 @@ def _checked(value: Column, problems: list[Problem], mode: str) -> Column:
     if not problems:
         return value
     if mode == "PERMISSIVE":
-        return F.when(any_of([problem.when for problem in problems]), None).otherwise(value)
+        guarded = [problem.when for problem in problems if not problem.is_null]
+        return F.when(any_of(guarded), None).otherwise(value) if guarded else value
     checked = value
     for problem in problems:
         failure = F.raise_error(F.concat(F.lit(f"{problem.code}: "), problem.message))

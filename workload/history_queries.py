@@ -285,6 +285,7 @@ SELECT process_instance_key, process_definition_id, tenant_id, flow_id AS elemen
        target_id AS target_ref, 'SEQUENCE_FLOW' AS type, start_date FROM flow_ends""", "flow_ends"),
     ),
     "history": (_rows(100), ranked_sql(_ROWS_SQL.format(iso=_iso("start_date"), size=100))),
+    "history_large": (_rows(2000), ranked_sql(_ROWS_SQL.format(iso=_iso("start_date"), size=2000))),
     "history_topk": (_rows(7), ranked_sql(_ROWS_SQL.format(iso=_iso("start_date"), size=7))),
     "history_json": (_history(), rendered_sql(True, tuple(_COLUMNS), ALL_TYPES, 100, "[]")),
     "history_string": (

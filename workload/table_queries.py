@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.functions.clock import iso_text
+from flowgauge.functions.clock import iso_text, rounded_date
 from flowgauge.operators import counts, filters, latest, projections, timing, user_tasks, variables
 from flowgauge.operators.checkpoints import shared_folder
 from flowgauge.operators.variables import current_variables
@@ -74,11 +74,12 @@ def _date_types(logs: ProcessLogs) -> DataFrame:
 
     record = kpi_record(logs, {
         "local_date": shown("LocalDate"), "local_time": shown("LocalTime"), "local_date_time": shown("LocalDateTime"),
-        "instant": shown("Instant"), "month_start": shown("STRING", "MONTH"), "full_text": shown("STRING", "FULL", "UTC"),
+        "instant": shown("Instant"), "offset": shown("OffsetDateTime"), "month_start": shown("STRING", "MONTH"), "full_text": shown("STRING", "FULL", "UTC"),
     })
     # Instants are compared as seconds, which no session time zone can shift.
     return record.withColumns({
-        "instant": F.unix_seconds("instant"), "local_date": F.col("local_date").cast("string"),
+        "instant": F.unix_seconds("instant"), "offset_instant": F.unix_seconds("offset.instant"),
+        "offset": F.col("offset.offset"), "local_date": F.col("local_date").cast("string"),
     })
 
 
@@ -86,9 +87,38 @@ _DATE_TYPES_SQL = with_tables("""
 SELECT process_instance_key, '2024-03-10' AS local_date, '03:00:00' AS local_time,
        TIMESTAMP '2024-03-10 03:00:00' AS local_date_time,
        CAST(epoch(TIMESTAMP '2024-03-10 07:00:00') AS BIGINT) AS instant,
+       CAST(epoch(TIMESTAMP '2024-03-10 07:00:00') AS BIGINT) AS offset_instant, '-04:00' AS "offset",
        '2024-03-01T00:00:00' AS month_start, '2024-03-10T07:45:30.25' AS full_text
 FROM process_instances""", "process_instances")
 
+
+_ZONES = {"new_york": "America/New_York", "kolkata": "Asia/Kolkata", "utc": "UTC"}
+
+
+def _roundings(logs: ProcessLogs) -> DataFrame:
+    """Start of the day and of the month of every element's start, in several zones."""
+    start = F.col("start_date")
+    return logs.element_instances.select("element_instance_key", *(
+        rounded_date(start, cut, "LocalDateTime", zone).alias(f"{cut.lower()}_{name}")
+        for name, zone in _ZONES.items() for cut in ("HOUR", "DAY", "MONTH")
+    ), *(rounded_date(start, "DAY", "Instant", zone).cast("bigint").alias(f"start_{name}") for name, zone in _ZONES.items()))
+
+
+def _roundings_sql() -> str:
+    def wall(zone: str) -> str:
+        return f"((start_date AT TIME ZONE 'UTC') AT TIME ZONE '{zone}')"
+
+    def day(zone: str) -> str:
+        return f"date_trunc('day', {wall(zone)})"
+
+    columns = ", ".join(
+        [f"CAST(date_trunc('{cut}', {wall(zone)}) AS TIMESTAMP) AS {cut}_{name}"
+         for name, zone in _ZONES.items() for cut in ("hour", "day", "month")]
+        + [f"CAST(epoch({day(zone)} AT TIME ZONE '{zone}') AS BIGINT) AS start_{name}" for name, zone in _ZONES.items()]
+    )
+    return with_tables(f"SELECT element_instance_key, {columns} FROM element_instances", "element_instances")
+
+
 # The record fuses these; names are the output columns.
 RECORD = (
     "kpi_instance_key", "kpi_business_key", "kpi_process_property", "kpi_tag", "kpi_execution_count",
@@ -356,6 +386,7 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
        replace(CAST(end_date AS VARCHAR), ' ', 'T') || 'Z' AS ended FROM element_instances""", "element_instances"),
     ),
     "kpi_date_types": (_date_types, _DATE_TYPES_SQL),
+    "date_roundings": (_roundings, _roundings_sql()),
     "kpi_record": (_record, record_sql(RECORD)),
     "kpi_record_fused": (_fused, _fused_sql()),
     "kpi_record_errors": (_errors, _ERRORS_SQL),
