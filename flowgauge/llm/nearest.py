@@ -27,7 +27,7 @@ def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
 
 def build_index(
     vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int = 20, shard_rows: int = 8192,
-    degree: int = 48, beam: int = 100, alpha: float = 1.2,
+    degree: int = 32, beam: int = 64, alpha: float = 1.2,
 ) -> DataFrame:
     """The index as a table: a row per node with its shard, vector, edges and the smallest ids that have this vector.
 
@@ -63,7 +63,7 @@ def build_index(
 
 
 def search(
-    index: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding", beam: int = 200,
+    index: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding", beam: int = 120,
     block: int = 4096,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` nearest rows found for each query, its own id left out.

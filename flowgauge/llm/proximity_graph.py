@@ -12,7 +12,7 @@ class Graph:
     point to a query (with 0 there) is the one with the largest inner product.
     """
 
-    def __init__(self, vectors: np.ndarray, degree: int = 48, beam: int = 100, alpha: float = 1.2, batch: int = 512):
+    def __init__(self, vectors: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, batch: int = 512):
         x = np.ascontiguousarray(vectors, dtype=np.float32)
         norms = (x.astype(np.float64) ** 2).sum(axis=1)
         extra = np.sqrt(np.maximum(norms.max(initial=0.0) - norms, 0))

@@ -92,7 +92,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     scored = toxicity.score(documents, toxicity.fit(documents, labels.filter(~held_out())))
     return scored.select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
         F.transform("sentences", lambda x: F.struct(x["start"], x["end"])).alias("offending"),
     )
 
