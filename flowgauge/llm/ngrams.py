@@ -56,8 +56,9 @@ def fit(
     """
     trusted = target.select(F.col(id).alias("_id")).distinct()
     # Texts are exchanged as they are; arrays of their words would take up twice the room.
+    # The ids grow with the corpus, so they are merged in, at every size alike, and never broadcast.
     joined = docs.select(docs[id].alias("_doc"), docs[text].alias("_text")).join(
-        trusted, F.col("_doc") == F.col("_id"), "left"
+        trusted.hint("merge"), F.col("_doc") == F.col("_id"), "left"
     )
     marked = joined.select(F.col("_id").isNotNull().alias("trusted"), words(F.col("_text")).alias("ws"))
     following = F.slice("ws", F.lit(2), F.size("ws"))
