@@ -92,6 +92,11 @@ def hour_slot(moment: Column) -> Column:
     return F.unix_date(moment.cast("date")).cast("bigint") * 24 + F.hour(moment)
 
 
+def minute_slot(moment: Column) -> Column:
+    """The same for whole minutes."""
+    return hour_slot(moment) * 60 + F.minute(moment)
+
+
 def iso_text(moment: Column, suffix: str = "Z") -> Column:
     """ISO-8601 text with as many fraction digits as needed."""
     return F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit(suffix))

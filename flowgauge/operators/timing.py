@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgauge.errors import is_blank, required
-from flowgauge.functions.clock import hour_slot, in_unit, micros_between, packed_order, whole_div
+from flowgauge.functions.clock import in_unit, micros_between, minute_slot, packed_order, whole_div
 from flowgauge.operators.filters import element_is
 from flowgauge.operators.kpi import Kpi, Measure, all_of, measured
 from flowgauge.operators.skew import SALT, repeated, salted
@@ -45,28 +45,32 @@ def _millis(start: Column, end: Column) -> Column:
 def _waits(logs: ProcessLogs, key: str) -> DataFrame:
     """Sum of the positive gaps between consecutive elements of an instance.
 
-    ``lead`` runs within one hour of one instance, and then once more over the hours
-    of the instance, each summed up by its first start and the end of its last
-    element. No task ever sorts a whole instance.
+    Elements of one start are summed up first, before any exchange: all but the last of
+    them are followed at that start. ``lead`` then runs over the different starts within
+    one minute of one instance, and once more over the minutes of the instance, each
+    summed up by its first start and the end of its last element. No task ever sorts a
+    whole instance, nor a busy instant.
     """
     def gap(end: Column, following: Column) -> Column:
         return F.greatest(_millis(end, following), F.lit(0).cast("bigint"))
 
-    within = Window.partitionBy(key, "slot").orderBy("start_date", "element_instance_key")
-    rows = (
-        logs.element_instances.filter(F.col("start_date").isNotNull())
-        .select(key, hour_slot(F.col("start_date")).alias("slot"), "start_date", "end_date", "element_instance_key")
-        .withColumn("following", F.lead("start_date").over(within))
+    start, end = F.col("start_date"), F.col("end_date")
+    last_end = F.max_by(end, F.col("element_instance_key"))
+    starts = (
+        logs.element_instances.filter(start.isNotNull()).groupBy(key, start)
+        .agg((F.sum(gap(end, start)) - gap(last_end, start)).alias("tied"), last_end.alias("end_date"))
     )
+    within = Window.partitionBy(key, "slot").orderBy("start_date")
+    rows = starts.withColumn("slot", minute_slot(start)).withColumn("following", F.lead("start_date").over(within))
     is_last = F.col("following").isNull()
-    hours = rows.groupBy(key, "slot").agg(
-        F.sum(gap(F.col("end_date"), F.col("following"))).alias("waited"),
+    slots = rows.groupBy(key, "slot").agg(
+        F.sum(F.col("tied") + gap(end, F.col("following"))).alias("waited"),
         F.min("start_date").alias("first_start"),
-        F.max(F.when(is_last, F.col("end_date"))).alias("last_end"),
+        F.max(F.when(is_last, end)).alias("last_end"),
     )
     across = Window.partitionBy(key).orderBy("slot")
     return (
-        hours.withColumn("following", F.lead("first_start").over(across))
+        slots.withColumn("following", F.lead("first_start").over(across))
         .groupBy(key)
         .agg(
             (F.coalesce(F.sum("waited"), F.lit(0))

@@ -51,5 +51,14 @@ def test_one_instance_holding_a_third_of_the_log(spark, skewed, name):
     assert_same(QUERIES[name](spark, skewed).toPandas(), connection.execute(ORACLES[name]).df())
 
 
+@pytest.mark.parametrize("name", ["kpi_latency_total", "kpi_user_task_sla_desc", "kpi_assignee_all", "history_topk", "stream_trigger"])
+def test_a_third_of_the_log_in_one_hour(spark, skewed, tmp_path, name):
+    folder = str(tmp_path)
+    one_hour = F.when(F.col("user_id") == 1, F.expr("timestamp_ntz'2024-01-15 09:20:00'")).otherwise(F.col("ts"))
+    spark.read.parquet(f"{skewed}/events.parquet").withColumn("ts", one_hour).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    connection = connect(folder)
+    assert_same(QUERIES[name](spark, folder).toPandas(), connection.execute(ORACLES[name]).df())
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).columns == ["process_instance_key", "purchases", "retries", "view_to_purchase_hours"]

@@ -240,7 +240,8 @@ FROM process_instances p LEFT JOIN (SELECT process_instance_key, count(*) AS n F
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    # The pattern fits a single file as well as a folder of files.
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
     return event_log.prepared_events(stream)
 
 
