@@ -104,7 +104,7 @@ LEFT JOIN (SELECT element_instance_key, assignee FROM (SELECT *, row_number() OV
     PARTITION BY element_instance_key ORDER BY creation_date IS NOT NULL, creation_date DESC, user_task_key DESC) AS rn
     FROM user_tasks WHERE assignee IS NOT NULL) x WHERE rn = 1) u ON u.element_instance_key = r.ekey"""
 
-_COLUMNS = {
+TOPIC_COLUMNS = {
     "elementId": ("element_id", True), "elementName": ("element_name", True),
     "elementInstanceKey": ("ekey", False), "sourceRef": ("source_ref", True), "targetRef": ("target_ref", True),
     "processInstanceKey": ("process_instance_key", False),
@@ -121,12 +121,12 @@ def rendered_sql(json: bool, topics, types, size: int, empty: str) -> str:
     if json:
         pairs = [
             f"""'"{name}":' || """ + (f"""'"' || {sql} || '"'""" if quoted else f"CAST({sql} AS VARCHAR)")
-            for name, (sql, quoted) in _COLUMNS.items() if name in topics
+            for name, (sql, quoted) in TOPIC_COLUMNS.items() if name in topics
         ]
         entry = f"'{{' || concat_ws(',', {', '.join(pairs)}) || '}}'"
         value = "'[' || x.v || ']'"
     else:
-        pairs = [f"'{name}:' || CAST({sql} AS VARCHAR)" for name, (sql, _) in _COLUMNS.items() if name in topics]
+        pairs = [f"'{name}:' || CAST({sql} AS VARCHAR)" for name, (sql, _) in TOPIC_COLUMNS.items() if name in topics]
         entry, value = f"concat_ws('|', {', '.join(pairs)})", "x.v"
     query = f"""
 SELECT p.process_instance_key, coalesce({value}, '{empty}') AS value FROM process_instances p LEFT JOIN (
@@ -287,7 +287,7 @@ SELECT process_instance_key, process_definition_id, tenant_id, flow_id AS elemen
     "history": (_rows(100), ranked_sql(_ROWS_SQL.format(iso=_iso("start_date"), size=100))),
     "history_large": (_rows(2000), ranked_sql(_ROWS_SQL.format(iso=_iso("start_date"), size=2000))),
     "history_topk": (_rows(7), ranked_sql(_ROWS_SQL.format(iso=_iso("start_date"), size=7))),
-    "history_json": (_history(), rendered_sql(True, tuple(_COLUMNS), ALL_TYPES, 100, "[]")),
+    "history_json": (_history(), rendered_sql(True, tuple(TOPIC_COLUMNS), ALL_TYPES, 100, "[]")),
     "history_string": (
         _history("string", STRING_TOPICS, "TASK|SEQUENCE", 10),
         rendered_sql(False, STRING_TOPICS.split("|"), FAMILIES["TASK"], 10, ""),

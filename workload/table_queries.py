@@ -12,6 +12,7 @@ from flowgauge.functions.clock import iso_text, rounded_date
 from flowgauge.operators import counts, filters, latest, projections, timing, user_tasks, variables
 from flowgauge.operators.checkpoints import shared_folder
 from flowgauge.operators.variables import current_variables
+from flowgauge.plans.history import history
 from flowgauge.plans.record import ERRORS, kpi_record
 from flowgauge.schemas import KEY, SCHEMAS
 from flowgauge.sinks.matched import append_matched
@@ -20,6 +21,7 @@ from flowgauge.sources.event_log import logs_from_events
 from flowgauge.sources.logs import ProcessLogs, read_logs
 from flowgauge.streaming.closing import kpi_on_close
 from flowgauge.streaming.triggers import kpi_on_trigger, record_at_triggers
+from workload.history_queries import ALL_TYPES, TOPIC_COLUMNS, rendered_sql
 from workload.kpi_queries import KPIS, as_of
 from workload.tables import with_tables
 
@@ -138,8 +140,13 @@ def _record(logs: ProcessLogs) -> DataFrame:
 
 
 def record_sql(names) -> str:
-    values = ", ".join(f"{name}.value AS {name}" for name in names)
-    first, *others = (f"({KPIS[name][1]}) {name}" for name in names)
+    return joined_sql({name: KPIS[name][1] for name in names})
+
+
+def joined_sql(parts: dict[str, str]) -> str:
+    """One row per instance from queries of (process_instance_key, value), each under its name."""
+    values = ", ".join(f"{name}.value AS {name}" for name in parts)
+    first, *others = (f"({sql}) {name}" for name, sql in parts.items())
     joins = "".join(f"\nJOIN {other} USING (process_instance_key)" for other in others)
     return f"SELECT process_instance_key, {values} FROM {first}{joins}"
 
@@ -238,6 +245,27 @@ FROM process_instances p LEFT JOIN (SELECT process_instance_key, count(*) AS n F
   WHERE element_id = 'purchase' GROUP BY 1) x USING (process_instance_key)""", "process_instances", "element_instances")
 
 
+# A whole pilot: values of the instance, aggregates, a date, an expression and a history.
+_DEMO = (*RECORD, "kpi_expr_variable", "kpi_date_text", "kpi_variable_changed", "kpi_boundary_error_count")
+
+
+def demo_pilot(logs: ProcessLogs) -> DataFrame:
+    """The pilot evaluated and appended to a table that spells its columns in another way and has one of its own."""
+    spark = logs.process_instances.sparkSession
+    record = kpi_record(logs, {name: KPIS[name][0]() for name in _DEMO} | {"demo_history": history("JSON", size=500)})
+    table = f"kpi_demo_{uuid.uuid4().hex}"
+    columns = ", ".join(f"{f.name.upper()} {f.dataType.simpleString()}" for f in record.schema if f.name != ERRORS)
+    spark.sql(f"CREATE TABLE {table} ({columns}, created_by STRING DEFAULT 'kpi') USING parquet LOCATION '{scratch(spark)}'")
+    append_matched(record, table)
+    return spark.table(table)
+
+
+def _demo_sql() -> str:
+    parts = {name: KPIS[name][1] for name in _DEMO} | {"demo_history": rendered_sql(True, tuple(TOPIC_COLUMNS), ALL_TYPES, 500, "[]")}
+    names = ", ".join(f"{name} AS {name.upper()}" for name in ("process_instance_key", *parts))
+    return f"SELECT {names}, 'kpi' AS created_by FROM ({joined_sql(parts)}) r"
+
+
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
     # The pattern fits a single file as well as a folder of files.
@@ -392,6 +420,7 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
     "kpi_record_fused": (_fused, _fused_sql()),
     "kpi_record_errors": (_errors, _ERRORS_SQL),
     "append_matched": (_sink, _SINK_SQL),
+    "demo_pilot": (demo_pilot, _demo_sql()),
     "close_sessions": (close_sessions, _ALL_SESSIONS_SQL),
 }
 
