@@ -107,3 +107,18 @@ def test_midnight_that_does_not_exist(spark):
 def test_current_clock(spark):
     now = one(spark, clock.rounded_date())
     assert abs(datetime.now(timezone.utc).replace(tzinfo=None) - now) < timedelta(minutes=5)
+
+
+@pytest.mark.parametrize("zone, text", [
+    ("UTC", "Z"), ("+07:00", "+07:00"), ("America/New_York", "-05:00"), ("Asia/Kolkata", "+05:30"), ("Europe/Amsterdam", "+01:00"),
+])
+def test_offset_date_times_keep_their_offset(spark, zone, text):
+    shown = clock.rounded_date(datetime(2024, 1, 15, 9, 30, 15), "HOUR", "OffsetDateTime", zone)
+    row = spark.range(1).select(shown.alias("d")).select(F.unix_seconds("d.instant").alias("s"), "d.offset").first()
+    half = 1800 if zone == "Asia/Kolkata" else 0
+    assert row["offset"] == text and row["s"] == 1705309200 + half
+
+
+def test_offsets_with_seconds(spark):
+    shown = clock.rounded_date(datetime(1890, 1, 1), "FULL", "OffsetDateTime", "America/New_York")
+    assert spark.range(1).select(shown.alias("d")).first()["d"]["offset"] == "-04:56:02"
