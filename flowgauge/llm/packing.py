@@ -6,6 +6,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -100,15 +101,15 @@ def tokens(
 
 def pack(
     docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 1, id: str = "doc_id", text: str = "text",
-    buckets: int = 16, width: int = 8,
+    bucket_rows: int = 100_000, width: int = 8,
 ) -> DataFrame:
     """Pieces of the tokenised documents, packed into sequences of ``size`` tokens at most.
 
     A document is its text's ids, then ``end``. Whole sequences are cut off its front; what is left over is an item of
     the cutting-stock problem (see ``cutting_stock``). Its histogram has at most ``size`` lengths and is all that the
-    driver sees, with ``buckets`` counts for each. Items are ranked within their length: documents are dealt to
-    ``buckets`` by hash, ranked in each, and the counts of the buckets before are added, so documents that all have one
-    length are ranked by many tasks.
+    driver sees. Items are ranked within their length: documents are dealt to buckets of about ``bucket_rows`` by hash,
+    ranked in each, and the counts of the buckets before are added, so documents that all have one length are ranked by
+    many tasks.
 
     Result, one row per piece: ``id``, ``start`` (ids of the document before it), ``length``, ``ids`` (binary, unsigned
     little-endian 32-bit), ``doc_tokens`` (with ``end``), ``sequence_id``, ``offset`` (in the sequence, without gaps).
@@ -119,26 +120,31 @@ def pack(
     kind = docs.schema[id].dataType.simpleString()
     # The number that orders documents is kept with the ids, so it is the same for all that follows.
     kept = stored(tokens(docs, tokenizer, end, id, text).withColumn("row", F.monotonically_increasing_id()))
+    buckets = max(16, ceil(kept.count() / bucket_rows))
     dealt = kept.withColumns({
         "rest": (F.col("n") % size).cast("int"), "whole": F.floor(F.col("n") / size),
         "bucket": F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int"),
     })
-    cells = dealt.groupBy("rest", "bucket").agg(F.count("*").alias("items"), F.sum("whole").alias("wholes")).collect()
-    cells = sorted((r["rest"], r["bucket"], r["items"], r["wholes"]) for r in cells)
-    counts: dict[int, int] = {}
-    ahead: dict[tuple[int, int], tuple[int, int]] = {}
-    wholes = 0
-    for rest, bucket, items, whole in cells:
-        ahead[rest, bucket] = (counts.get(rest, 0), wholes)
-        counts[rest] = counts.get(rest, 0) + items
-        wholes += whole
-    runs, used = assign({k: v for k, v in counts.items() if k}, size, width)
-
+    cells = stored(dealt.groupBy("rest", "bucket").agg(F.count("*").alias("items"), F.sum("whole").alias("wholes")))
+    lengths = cells.groupBy("rest").agg(F.sum("items").alias("items"), F.sum("wholes").alias("wholes")).collect()
+    runs, used = assign({r["rest"]: r["items"] for r in lengths if r["rest"]}, size, width)
+    # Whole sequences of all documents with a smaller rest.
+    ahead, total = {}, used
+    for r in sorted(lengths, key=lambda r: r["rest"]):
+        ahead[r["rest"]], total = total, total + r["wholes"]
+
+    earlier = Window.partitionBy("rest").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stored(cells.select("rest", "bucket", *(
+        F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("items", "wholes")
+    )))
     within = Window.partitionBy("rest", "bucket").orderBy("row")
     ranked = dealt.withColumns({
         "rank": F.row_number().over(within) - 1,
         "before": F.sum("whole").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("whole"),
-    }).select(F.col("id").cast("string"), "ids", "n", "width", "rest", "whole", "bucket", "rank", "before")
+    }).join(starts, ["rest", "bucket"]).select(
+        F.col("id").cast("string"), "ids", "n", "width", "rest", "whole",
+        (F.col("items_before") + F.col("rank")).alias("rank"), (F.col("wholes_before") + F.col("before")).alias("before"),
+    )
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -149,9 +155,8 @@ def pack(
         made = []
         for one in rows.itertuples(index=False):
             ids = np.frombuffer(one.ids, dtype="<u2" if one.width == 2 else "<u4").astype("<u4")
-            first, whole = ahead[one.rest, one.bucket]
-            cuts = [(size, used + whole + int(one.before) + k, 0) for k in range(int(one.whole))]
-            cuts += runs[one.rest].pieces(first + int(one.rank), one.rest, size) if one.rest else []
+            cuts = [(size, ahead[one.rest] + int(one.before) + k, 0) for k in range(int(one.whole))]
+            cuts += runs[one.rest].pieces(int(one.rank), one.rest, size) if one.rest else []
             start = 0
             for length, sequence, offset in cuts:
                 made.append((one.id, start, length, ids[start : start + length].tobytes(), one.n, sequence, offset))
