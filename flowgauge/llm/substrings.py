@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.llm.common import row_key, stored
 
-_LOCATED = "lo bigint, hi bigint, known boolean, k1 bigint, k2 int, pos int"
+_LOCATED = "lo bigint, hi int, known boolean, k1 bigint, k2 int, pos int"
 
 
 def difference_cover(period: int) -> list[int]:
@@ -63,7 +63,7 @@ def _located(batch: pd.DataFrame, at: list[np.ndarray], hashes: list[np.ndarray]
     pos = np.concatenate(at).astype(np.int32) if at else np.zeros(0, dtype=np.int32)
     k1, k2 = np.repeat(batch["k1"].to_numpy(), counts), np.repeat(batch["k2"].to_numpy(), counts)
     lo = h[:, 0].copy()
-    hi = h[:, 1].copy() if h.shape[1] > 1 else np.zeros_like(lo)
+    hi = h[:, 1].astype(np.int32) if h.shape[1] > 1 else np.zeros(len(lo), dtype=np.int32)
     order = np.lexsort((hi, lo))
     same = (lo[order][1:] == lo[order][:-1]) & (hi[order][1:] == hi[order][:-1])
     later = np.zeros(len(lo), dtype=bool)
@@ -88,7 +88,7 @@ def repeated_windows(docs: DataFrame, id: str, text: str, window: int, period: i
     Any two equal windows share an aligned anchor: there is an offset below ``period`` at which both have a position of
     the difference cover, and the ``window - period + 1`` words from there lie in both windows. So only anchors at cover
     positions are hashed and exchanged, a quarter of all positions for a period of 21. A repeated anchor is extended to
-    the windows around it; these alone are hashed whole (128 bits) and compared.
+    the windows around it; these alone are hashed whole (96 bits) and compared.
     """
     if not 1 <= period <= window:
         raise ValueError("the period has to lie between 1 and the window")
@@ -125,7 +125,8 @@ def repeated_windows(docs: DataFrame, id: str, text: str, window: int, period: i
     k1, k2 = row_key(docs[id], docs[text])
     rows = docs.select(k1.alias("k1"), k2.alias("k2"), docs[text].alias("text"))
     places = stored(_repeated(rows.mapInPandas(anchors, _LOCATED)))
-    candidates = rows.join(places, ["k1", "k2"]).select("k1", "k2", "text", "at")
+    # Written, so that the exchange of all texts is over before the windows are exchanged.
+    candidates = stored(rows.join(places, ["k1", "k2"]).select("k1", "k2", "text", "at"))
     return _repeated(candidates.mapInPandas(windows, _LOCATED))
 
 
