@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ KEYS = ["_text", "_high", "_low"]
 
 
 def histogram_sort(
-    docs: DataFrame, shards: int = 8, parts_per_shard: int = 8, tolerance: float = 1e-3,
+    docs: DataFrame, shards: int = 8, parts_per_shard: int = 8, tolerance: float = 1e-3, cell_bytes: int = 64 << 20,
     id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``docs`` with ``size``, ``shard`` and ``slot``: shards of nearly equal bytes, sorted by text hash and id.
@@ -20,8 +22,10 @@ def histogram_sort(
     The size of a row is the number of UTF-8 bytes of its text, plus 1. Rows are ordered by a hash of their text, then by
     id, so equal texts stand together and only a group that reaches over a shard's end is divided. The boundaries come
     from exact byte counts below candidate keys, refined over narrow rows until they are within ``tolerance`` of a
-    shard's mean. Then whole rows are exchanged once, in ``parts_per_shard`` parts of each shard, and numbered: ``slot``
-    counts from 0 in each shard, in its order.
+    shard's mean, for ``parts_per_shard`` equal parts of each shard. Then whole rows are exchanged once and numbered:
+    ``slot`` counts from 0 in each shard, part by part in their order. A part larger than ``cell_bytes`` is dealt to cells
+    by a hash of its keys, and its rows are in order within each cell: no task gets more than a cell, however large the
+    table or a group of equal texts is.
 
     A null text has size 1 and stands with the other null texts. Ids are whole numbers; a null id comes first. Rows equal
     in both stay together. All columns are passed on; columns named like the results are replaced. An empty table gives
@@ -35,18 +39,20 @@ def histogram_sort(
     targets = [total * k / parts for k in range(1, parts)]
     found = sorted(splitters(narrow, KEYS, "_size", targets, tolerance * total / shards))
     part = part_of(KEYS, found)
-    # Rows before each part in its shard: a count for each part.
-    counted = dict(narrow.groupBy(part.alias("part")).count().collect())
-    ahead = [sum(counted.get(q, 0) for q in range(p - p % parts_per_shard, p)) for p in range(parts)]
-    before = F.get(F.array(*map(F.lit, ahead)), F.col("_part"))
-    order = Window.partitionBy("_part").orderBy(*KEYS)
-    return (
-        keyed.withColumn("_part", part).withColumn("_row", F.row_number().over(order) - 1)
-        .withColumns({
-            "size": F.col("_size"), "shard": F.floor(F.col("_part") / parts_per_shard).cast("int"),
-            "slot": (before + F.col("_row")).cast("bigint"),
-        }).drop(*KEYS, "_size", "_part", "_row")
-    )
+    cell = F.pmod(F.xxhash64(*KEYS), F.lit(max(1, ceil(total / parts / cell_bytes)))).cast("int")
+    counted = stored(narrow.groupBy(part.alias("_p"), cell.alias("_c")).agg(F.count("*").alias("n")))
+    of_part = {r["_p"]: r["n"] for r in counted.groupBy("_p").agg(F.sum("n").alias("n")).collect()}
+    ahead = [sum(of_part.get(q, 0) for q in range(p - p % parts_per_shard, p)) for p in range(parts)]
+    earlier = Window.partitionBy("_p").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stored(counted.select("_p", "_c", (
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)) + F.get(F.array(*map(F.lit, ahead)), F.col("_p"))
+    ).alias("_before")))
+    order = Window.partitionBy("_part", "_cell").orderBy(*KEYS)
+    numbered = keyed.withColumns({"_part": part, "_cell": cell}).withColumn("_row", F.row_number().over(order) - 1)
+    return numbered.join(starts, (F.col("_part") == F.col("_p")) & (F.col("_cell") == F.col("_c")), "left").withColumns({
+        "size": F.col("_size"), "shard": F.floor(F.col("_part") / parts_per_shard).cast("int"),
+        "slot": (F.col("_before") + F.col("_row")).cast("bigint"),
+    }).drop(*KEYS, "_size", "_part", "_cell", "_row", "_p", "_c", "_before")
 
 
 def _keys(docs: DataFrame, id: str, text: str) -> list:

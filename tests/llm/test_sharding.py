@@ -31,6 +31,7 @@ def test_whole_table_is_cut_evenly(spark, documents):
 def test_one_text_in_most_rows_is_divided(spark, docs_of):
     rows = [(k, "the same text") for k in range(700)] + [(1000 + k, f"text {k}") for k in range(300)]
     assert_shards(rows, histogram_sort(docs_of(*rows)).collect(), 8, 30)
+    assert_shards(rows, histogram_sort(docs_of(*rows), parts_per_shard=2, cell_bytes=200).collect(), 8, 30)
 
 
 def test_odd_rows(spark, docs_of, odd):
