@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -33,8 +32,8 @@ def build_index(
 
     Rows are dealt to shards of about ``shard_rows`` by a hash of their id, so a vector of very many rows is spread, and
     a shard fits a task whatever the size of the table. Within a shard equal vectors are one node; it keeps its ``k + 1``
-    smallest ids, as no answer can hold more of them (one may be the query's own). Every row is indexed. Edges are found by greedy searches
-    in the growing graph and thinned by robust pruning (see ``proximity_graph``).
+    smallest ids, as no answer can hold more of them (one may be the query's own). Every row is indexed. Edges are found by
+    greedy searches in the growing graph and thinned by robust pruning (see ``proximity_graph``).
 
     Vectors that are null, all zero, or hold a null or non-finite component take no part, nor do rows without an id and
     vectors of another length than most have. Repeated rows count once. An empty table gives an empty index.
@@ -52,7 +51,7 @@ def build_index(
         for node, one in zip(inverse.ravel().tolist(), ids.tolist()):
             if len(of[node]) <= k and one not in of[node]:
                 of[node].append(one)
-        graph = Graph(nodes, degree, beam, alpha)
+        graph = Graph.build(nodes, degree, beam, alpha)
         return pd.DataFrame({
             "shard": rows["shard"].iloc[0], "node": np.arange(len(nodes), dtype=np.int32), "start": graph.start,
             "ids": of, "vector": list(nodes), "edges": list(graph.edges),
@@ -87,7 +86,7 @@ def search(
         x, q = np.stack(nodes["vector"].to_numpy()), np.stack(rows["vector"].to_numpy())
         if x.shape[1] != q.shape[1]:
             raise ValueError("queries and index hold vectors of different lengths")
-        graph = Graph.of(x, np.stack(nodes["edges"].to_numpy()).astype(np.int32), int(nodes["start"].iloc[0]))
+        graph = Graph(x, np.stack(nodes["edges"].to_numpy()).astype(np.int32), int(nodes["start"].iloc[0]))
         ids = nodes["ids"].to_numpy()
         made: list[tuple[int, int, int, float]] = []
         for at in range(0, len(q), 1024):

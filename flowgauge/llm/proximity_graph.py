@@ -12,45 +12,36 @@ class Graph:
     point to a query (with 0 there) is the one with the largest inner product.
     """
 
-    def __init__(self, vectors: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, batch: int = 512):
+    def __init__(self, vectors: np.ndarray, edges: np.ndarray, start: int, alpha: float = 1.2):
         x = np.ascontiguousarray(vectors, dtype=np.float32)
         norms = (x.astype(np.float64) ** 2).sum(axis=1)
         extra = np.sqrt(np.maximum(norms.max(initial=0.0) - norms, 0))
         self.x = np.hstack([x, extra[:, None].astype(np.float32)])
         self.square = (self.x**2).sum(axis=1)
-        self.degree, self.alpha, self.batch = degree, alpha, batch
-        self.edges = np.full((len(x), degree), -1, dtype=np.int32)
-        if len(x):
-            self._build(beam)
+        self.edges, self.start, self.alpha = edges, start, alpha
+        self.degree = edges.shape[1]
 
     @classmethod
-    def of(cls, vectors: np.ndarray, edges: np.ndarray, start: int) -> Graph:
-        graph = cls(vectors[:0], edges.shape[1])
-        whole = cls.__new__(cls)
-        whole.__dict__ = graph.__dict__ | {"edges": edges, "start": start}
-        x = np.ascontiguousarray(vectors, dtype=np.float32)
-        whole.x = np.hstack([x, np.zeros((len(x), 1), dtype=np.float32)])
-        norms = (x.astype(np.float64) ** 2).sum(axis=1)
-        whole.x[:, -1] = np.sqrt(np.maximum(norms.max(initial=0.0) - norms, 0))
-        whole.square = (whole.x**2).sum(axis=1)
-        return whole
+    def build(cls, vectors: np.ndarray, degree: int = 32, beam: int = 64, alpha: float = 1.2, batch: int = 512) -> Graph:
+        """Insert the vectors in batches, in a fixed random order, from the one nearest to the mean on.
 
-    def _build(self, beam: int) -> None:
-        n = len(self.x)
-        mean = self.x.mean(axis=0)
-        self.start = int((self.square - 2 * self.x @ mean).argmin())
+        The first batch is connected from all its distances, later ones from searches of the graph so far.
+        """
+        n = len(vectors)
+        graph = cls(vectors, np.full((n, degree), -1, dtype=np.int32), 0, alpha)
+        graph.start = int((graph.square - 2 * graph.x @ graph.x.mean(axis=0)).argmin())
         order = np.random.default_rng(0).permutation(n)
-        order = np.concatenate([[self.start], order[order != self.start]])
-        done = min(n, self.batch)
+        order = np.concatenate([[graph.start], order[order != graph.start]])
+        done = min(n, batch)
         seeds = order[:done]
-        d = self.square[seeds] - 2 * self.x[seeds] @ self.x[seeds].T
+        d = graph.square[seeds] - 2 * graph.x[seeds] @ graph.x[seeds].T
         ids = np.argsort(d, axis=1)[:, : 2 * beam]
-        self._connect(seeds, seeds[ids], np.take_along_axis(d, ids, axis=1))
+        graph._connect(seeds, seeds[ids], np.take_along_axis(d, ids, axis=1))
         while done < n:
-            points = order[done : done + min(done, self.batch)]
-            ids, d = self.search(self.x[points], beam)
-            self._connect(points, ids, d)
+            points = order[done : done + min(done, batch)]
+            graph._connect(points, *graph.search(graph.x[points], beam))
             done += len(points)
+        return graph
 
     def search(self, queries: np.ndarray, beam: int, wide: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest points found for each query, nearest first; -1 where there are fewer.
@@ -95,7 +86,8 @@ class Graph:
             open_ = (~expanded[active] & (d[active] < np.inf)).any(axis=1)
             active = active[open_]
         best = np.argsort(d, axis=1, kind="stable")
-        return np.where(np.isinf(np.take_along_axis(d, best, 1)), -1, np.take_along_axis(ids, best, 1)), np.take_along_axis(d, best, 1)
+        ids, d = np.take_along_axis(ids, best, 1), np.take_along_axis(d, best, 1)
+        return np.where(np.isinf(d), -1, ids), d
 
     def _connect(self, points: np.ndarray, ids: np.ndarray, d: np.ndarray) -> None:
         """Give points their pruned candidates as edges, and the chosen ones an edge back."""
@@ -107,10 +99,10 @@ class Graph:
         order = np.argsort(target, kind="stable")
         source, target = source[order], target[order]
         nodes, first, number = np.unique(target, return_index=True, return_counts=True)
-        for k in range(0, len(nodes), self.batch):
-            some, width = nodes[k : k + self.batch], number[k : k + self.batch].max()
-            at = first[k : k + self.batch, None] + np.arange(width)
-            back = np.where(np.arange(width) < number[k : k + self.batch, None], source[np.minimum(at, len(source) - 1)], -1)
+        for k in range(0, len(nodes), 512):
+            some, width = nodes[k : k + 512], number[k : k + 512].max()
+            at = first[k : k + 512, None] + np.arange(width)
+            back = np.where(np.arange(width) < number[k : k + 512, None], source[np.minimum(at, len(source) - 1)], -1)
             own = self.edges[some]
             back = np.where((back[:, :, None] == own[:, None, :]).any(axis=2), -1, back)
             both = np.hstack([own, back])

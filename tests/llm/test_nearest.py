@@ -69,5 +69,7 @@ def test_empty_table(spark):
 
 def test_pruned_edges_are_diverse():
     line = np.array([[0.0], [1.0], [1.1], [1.2], [-1.0]])
-    graph = Graph(np.hstack([line, np.ones((5, 1)) * 0]), degree=4, beam=5, alpha=1.0)
+    graph = Graph.build(np.hstack([line, np.full((5, 1), 3.0)]), degree=4, beam=5, alpha=1.0)
     assert all((row >= 0).any() for row in graph.edges)
+    found, _ = graph.search(graph.x[:, :] * [1, 1, 0], 5)
+    assert all(set(row) == set(range(5)) for row in found)
