@@ -7,7 +7,7 @@ from math import exp, floor, nextafter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowgauge.llm.common import row_key, stored, unit_hash, word_count
+from flowgauge.llm.common import let, row_key, stored, unit_hash, word_count
 
 
 def capped_targets(sizes: dict, weights: dict, most: float = 3.0) -> dict[object, float]:
@@ -94,7 +94,10 @@ def mix(
     return sized.withColumns({
         "source_size": _by_source(of, sizes).cast("bigint"), "target": _by_source(of, targets),
         "rate": _by_source(of, rates),
-        "copies": (_by_source(of, whole) + _taken(rules, of, F.col("size"), F.col("_place")).cast("int")).cast("int"),
+        # Bound once: a filter on copies would otherwise count the words again for every rule.
+        "copies": let(F.struct("size", "_place"), lambda row: (
+            _by_source(of, whole) + _taken(rules, of, row["size"], row["_place"]).cast("int")
+        ).cast("int")),
     }).drop("_place")
 
 
