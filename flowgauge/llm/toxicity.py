@@ -60,7 +60,7 @@ def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0, logits).sum()))
 
 
-def telling(words: list[set[str]], labels: np.ndarray, least_documents: int = 5, least_z: float = 5.0) -> list[str]:
+def telling(words: list[set[str]], labels: np.ndarray, least_documents: int = 4, least_z: float = 4.0) -> list[str]:
     """Features that occur in a greater share of the toxic documents than of the clean ones, by ``least_z`` errors."""
     toxic, clean = Counter(), Counter()
     for some, label in zip(words, labels):
@@ -76,7 +76,7 @@ def telling(words: list[set[str]], labels: np.ndarray, least_documents: int = 5,
 
 
 def train(
-    texts: list[str], labels: list[int], steps: int = 400, rate: float = 0.1, penalty: float = 1e-4
+    texts: list[str], labels: list[int], steps: int = 2500, rate: float = 0.1, penalty: float = 3e-6
 ) -> Model:
     """Fit bias and weights so that the noisy-or of a document's sentences predicts its label.
 
