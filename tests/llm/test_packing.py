@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from flowgauge.llm.cutting_stock import assign, best_pattern, fractional_patterns
-from flowgauge.llm.packing import Encoder, pack
+from flowgauge.llm.packing import Encoder, pack, ranked_encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -49,13 +49,17 @@ def test_empty_table(spark, docs_of):
     assert pack(docs_of((1, "a")).filter("false"), PATH).count() == 0
 
 
-def test_words_are_encoded_as_whole_texts_are():
+def test_ids_are_those_of_the_tokenizer():
     texts = ["", " ", "  two  spaces ", "a b\n c\n\nd \n", "it's we'll  x", "tab\t x", " lead", "trail ", "<|endoftext|> a<|endoftext|>b",
              "Ünïcödé  nb   em", "1 2  33 4,5 !! ??", "a\r\n b"]
-    tokenizer, encode = Tokenizer.from_file(PATH), Encoder(PATH, room=3)
-    for _ in range(2):
-        for text, ids in zip(texts, encode(texts)):
-            assert np.frombuffer(ids, dtype="<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer, encode = Tokenizer.from_file(PATH), Encoder(PATH)
+    for text, ids in zip(texts, encode(texts)):
+        assert np.frombuffer(ids, dtype="<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encode.ranked is not None
+
+
+def test_other_vocabularies_are_left_to_their_library():
+    assert ranked_encoder(public_tokenizers.path("word_bpe_49k.json")) is None
 
 
 @pytest.mark.parametrize("lengths", [
