@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import ceil
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from flowgauge.llm.common import stored
 from flowgauge.llm.cutting_stock import assign
 
+# Longer runs of white space exceed what the regex engine behind ``ranked_encoder`` can go back.
+_LONG_RUN = 100_000
 # Fixed value: how byte-level BPE vocabularies of this kind split a text.
 _SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -37,11 +40,16 @@ class Encoder:
         return [np.array(self._ids(t), dtype=self.dtype).tobytes() for t in texts]
 
     def _ids(self, text: str) -> list[int]:
-        if self.ranked and not any(t in text for t in self.special):
+        if self.ranked and not any(t in text for t in self.special) and not has_long_run(text):
             return self.ranked(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def has_long_run(text: str) -> bool:
+    """Whether more than ``_LONG_RUN`` characters in a row are white space."""
+    return len(text) > _LONG_RUN and any(m.end() - m.start() > _LONG_RUN for m in re.finditer(r"\s+", text))
+
+
 def ranked_encoder(path: str) -> Callable[[str], list[int]] | None:
     """A faster encoder of the same vocabulary, where it is plain byte-level BPE whose ids are the ranks of its merges."""
     with open(path, encoding="utf-8") as file:

@@ -58,6 +58,20 @@ def test_ids_are_those_of_the_tokenizer():
     assert encode.ranked is not None
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\u3000"])
+def test_long_runs_of_white_space_are_encoded(run):
+    tokenizer, encode = Tokenizer.from_file(PATH), Encoder(PATH)
+    text = "a" + run * 1_500_000 + "b"
+    assert np.frombuffer(encode([text])[0], dtype="<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_one_long_run_does_not_lose_the_other_documents(spark, docs_of):
+    rows = [(1, "a few words"), (2, " " * 1_500_000), (3, None)]
+    found = pack(docs_of(*rows), PATH).groupBy("doc_id").agg({"length": "sum"}).collect()
+    tokenizer = Tokenizer.from_file(PATH)
+    assert dict(found) == {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in rows}
+
+
 def test_other_vocabularies_are_left_to_their_library():
     assert ranked_encoder(public_tokenizers.path("word_bpe_49k.json")) is None
 
