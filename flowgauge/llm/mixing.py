@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from math import exp, floor, nextafter
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.llm.common import let, row_key, stored, unit_hash, word_count
@@ -77,28 +79,67 @@ def mix(
     that still fit (``one_more``). The outcome is a few numbers for each source, applied to every row where it stands:
     whole texts are not exchanged, and a source with a third of all rows meets in no task. Reruns agree.
 
-    A null text has size 0. Rows equal in id and text are taken or left together. All columns are passed on; columns
-    named like the results are replaced. An empty table gives an empty result.
+    Rows equal in id and text have one place in the order. Where not all of them fit, as many as fit get one more copy;
+    only such rows are written once, so that they can be told apart by where they stand.
+
+    A null text has size 0. All columns are passed on; columns named like the results are replaced. An empty table gives
+    an empty result.
     """
     k1, k2 = row_key(docs[id], docs[text])
     place = unit_hash(k1, k2, seed=seed)
-    sized = docs.withColumn("size", word_count(docs[text])).withColumn("_place", place)
-    narrow = stored(sized.select(docs[source].cast("string").alias("source"), "size", F.col("_place").alias("place")))
+    sized = docs.withColumns({
+        "size": word_count(docs[text]), "_place": place, "_source": docs[source].cast("string"),
+    })
+    narrow = stored(sized.select(F.col("_source").alias("source"), "size", F.col("_place").alias("place")))
     sizes = {r["source"]: r["size"] for r in narrow.groupBy("source").agg(F.sum("size").alias("size")).collect()}
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     targets = capped_targets(sizes, {s: weights[k % len(weights)] for k, s in enumerate(order)}, most)
     rates = {s: min(exp(v), most) for s, v in balance(narrow, "source", "size", targets).items()}
     whole = {s: floor(r + 1e-6) for s, r in rates.items()}
-    rules = one_more(narrow, {s: round(targets[s]) - whole[s] * sizes[s] for s in rates}, bins, rounds)
-    of = docs[source].cast("string")
-    return sized.withColumns({
-        "source_size": _by_source(of, sizes).cast("bigint"), "target": _by_source(of, targets),
-        "rate": _by_source(of, rates),
-        # Bound once: a filter on copies would otherwise count the words again for every rule.
-        "copies": let(F.struct("size", "_place"), lambda row: (
-            _by_source(of, whole) + _taken(rules, of, row["size"], row["_place"]).cast("int")
-        ).cast("int")),
-    }).drop("_place")
+    rules, parts = one_more(narrow, {s: round(targets[s]) - whole[s] * sizes[s] for s in rates}, bins, rounds)
+    of = F.col("_source")
+
+    def mixed(rows: DataFrame, taken: Callable[[Column], Column]) -> DataFrame:
+        return rows.withColumns({
+            "source_size": _by_source(of, sizes).cast("bigint"), "target": _by_source(of, targets),
+            "rate": _by_source(of, rates),
+            # Bound once: a filter on copies would otherwise count the words again for every rule.
+            "copies": let(F.struct("size", "_place"), lambda row: (
+                _by_source(of, whole) + taken(row).cast("int")
+            ).cast("int")),
+        }).drop("_place", "_source")
+
+    def by_rule(row: Column) -> Column:
+        return _taken(rules, of, row["size"], row["_place"])
+
+    if not parts:
+        return mixed(sized, by_rule)
+    split = reduce(Column.__or__, (of.eqNullSafe(F.lit(s)) & (F.col("_place") == p) for s, p in parts))
+    apart = stored(sized.filter(split).withColumn("_row", F.monotonically_increasing_id()))
+    # Rules take none of a split group, so its row alone says whether a document gets one more.
+    among = reduce(Column.__or__, (
+        of.eqNullSafe(F.lit(s)) & (F.col("_place") == p) & (F.col("_row") < last)
+        for (s, p), last in _first_rows(apart, parts).items()
+    ))
+    return mixed(sized.filter(~split), by_rule).unionByName(mixed(apart, lambda _: among).drop("_row"))
+
+
+def _first_rows(apart: DataFrame, parts: dict[tuple, int]) -> dict[tuple, int]:
+    """For each group of equal rows the ``_row`` that has so many of the group's rows before it as ``parts`` says.
+
+    Rows are counted per task that numbered them; only the rows of the task where a count is reached are looked at.
+    """
+    task = F.shiftright("_row", 33)
+    counts = apart.groupBy("_source", "_place", task.alias("task")).agg(F.count("*").alias("n")).collect()
+    ends: dict[tuple, int] = {}
+    for (s, p), m in parts.items():
+        for r in sorted((r for r in counts if (r["_source"], r["_place"]) == (s, p)), key=lambda r: r["task"]):
+            if m <= r["n"]:
+                rows = apart.filter(F.col("_source").eqNullSafe(F.lit(s)) & (F.col("_place") == p) & (task == r["task"]))
+                ends[s, p] = rows.agg(F.sort_array(F.collect_list("_row"))[m - 1].alias("last")).first()["last"] + 1
+                break
+            m -= r["n"]
+    return ends
 
 
 def _taken(rules: list[tuple[dict, dict]], source: Column, size: Column, place: Column) -> Column:
@@ -108,15 +149,19 @@ def _taken(rules: list[tuple[dict, dict]], source: Column, size: Column, place:
     return taken
 
 
-def one_more(narrow: DataFrame, missing: dict, bins: int = 1024, rounds: int = 4) -> list[tuple[dict, dict]]:
+def one_more(
+    narrow: DataFrame, missing: dict, bins: int = 1024, rounds: int = 4
+) -> tuple[list[tuple[dict, dict]], dict[tuple, int]]:
     """Which documents get one more copy, so that each source's sizes add up to nearly what is ``missing``.
 
     A rule (limit, end) takes the documents of a source that are no larger than its limit and come before its end. The
     limit is what is still missing; the end is the first document that does not fit, found by sums over cells of the
-    order, refined around it. At most ``bins`` sums for each source reach the driver at a time.
+    order, refined around it. At most ``bins`` sums for each source reach the driver at a time. Of a group of equal rows
+    at an end, which share a (source, place), the number that fits is given besides the rules, which take none of it.
     """
     source, size, place = F.col("source"), F.col("size"), F.col("place")
     rules: list[tuple[dict, dict]] = []
+    parts: dict[tuple, int] = {}
     left = {s: m for s, m in missing.items() if m > 0}
     for _ in range(rounds):
         rest = narrow.filter((size > 0) & (size <= _by_source(source, left)) & ~_taken(rules, source, size, place))
@@ -128,7 +173,8 @@ def one_more(narrow: DataFrame, missing: dict, bins: int = 1024, rounds: int = 4
             high = _by_source(source, {s: v[1] for s, v in open_.items()}, -2.0)
             cell = F.when(high > low, F.least(F.floor((place - low) / (high - low) * bins), F.lit(bins - 1))).otherwise(0)
             sums = rest.filter(place.between(low, high)).groupBy("source", cell.alias("cell")).agg(
-                F.sum("size").alias("sum"), F.min("place").alias("first"), F.max("place").alias("last")
+                F.sum("size").alias("sum"), F.min("place").alias("first"), F.max("place").alias("last"),
+                F.max("size").alias("each"),
             ).collect()
             for s, (_, _, below) in list(open_.items()):
                 del open_[s]
@@ -138,6 +184,10 @@ def one_more(narrow: DataFrame, missing: dict, bins: int = 1024, rounds: int = 4
                         ends[s], got[s] = r["first"], below
                         if r["first"] < r["last"]:
                             open_[s] = (r["first"], r["last"], below)
+                        elif fit := (left[s] - below) // r["each"]:
+                            # Some of several equal rows fit (of a single one, none); the others are too large from here on.
+                            parts[s, r["first"]] = fit
+                            got[s] += fit * r["each"]
                         break
                     below += r["sum"]
                     got[s] = below
@@ -145,13 +195,25 @@ def one_more(narrow: DataFrame, missing: dict, bins: int = 1024, rounds: int = 4
         left = {s: m - got[s] for s, m in left.items() if m > got[s]}
         if not left or not any(got.values()):
             break
-    return [*rules, _nearest(narrow, left, rules)]
+    last, more = _nearest(narrow, left, rules, parts)
+    return [*rules, last], parts | more
 
 
-def _nearest(narrow: DataFrame, left: dict, rules: list[tuple[dict, dict]]) -> tuple[dict, dict]:
-    """A rule for the smallest document that is not taken, where the source comes nearer to its target with it."""
+def _nearest(
+    narrow: DataFrame, left: dict, rules: list[tuple[dict, dict]], parts: dict[tuple, int]
+) -> tuple[tuple[dict, dict], dict[tuple, int]]:
+    """The smallest document that is not taken, where the source comes nearer to its target with it.
+
+    It is named by a rule, or by the number of rows to take if it is one of several equal rows.
+    """
     source, size, place = F.col("source"), F.col("size"), F.col("place")
     rest = narrow.filter((_by_source(source, left) > 0) & (size > 0) & ~_taken(rules, source, size, place))
-    least = rest.groupBy("source").agg(F.min(F.struct("size", "place")).alias("least")).collect()
+    groups = rest.groupBy("source", "size", "place").agg(F.count("*").alias("n"))
+    for (s, p), m in parts.items():
+        groups = groups.filter(~(source.eqNullSafe(F.lit(s)) & (place == p)) | (F.col("n") > m))
+    least = groups.groupBy("source").agg(F.min(F.struct("size", "place", "n")).alias("least")).collect()
     chosen = {r["source"]: r["least"] for r in least if r["least"]["size"] < 2 * left[r["source"]]}
-    return {s: r["size"] for s, r in chosen.items()}, {s: nextafter(r["place"], 2.0) for s, r in chosen.items()}
+    equal = {(s, r["place"]): parts.get((s, r["place"]), 0) + 1 for s, r in chosen.items() if r["n"] > 1}
+    alone = {s: r for s, r in chosen.items() if r["n"] == 1}
+    rule = {s: r["size"] for s, r in alone.items()}, {s: nextafter(r["place"], 2.0) for s, r in alone.items()}
+    return rule, equal

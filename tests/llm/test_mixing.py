@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -47,6 +47,19 @@ def test_hot_source_and_null_source(spark, docs_of):
     assert_mixed(rows, docs_of(*rows), 0.5)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_a_third_of_repeated_rows_meets_its_target(spark, docs_of, seed):
+    # Rate 1.25 for a; one repeated row holds a third of it. Rows of None are all equal, so one more is one of them.
+    rows = [(k, "w " * (80 + k % 40), "a") for k in range(400)] + [(1000 + seed, "v " * 100, "a")] * 200
+    rows += [(2000 + k, "w " * 100, "b") for k in range(400)] + [(None, "u " * 130, None)] * 200
+    found = mix(docs_of(*rows), seed=seed).collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in found) == Counter(rows)
+    for source in ("a", "b", None):
+        mine = [r for r in found if r.source == source]
+        assert abs(sum(r.copies * int(r["size"]) for r in mine) - mine[0].target) <= 66
+        assert {r.rate.__floor__() for r in mine} | {r.rate.__floor__() + 1 for r in mine} >= {r.copies for r in mine}
+
+
 def test_reruns_agree(spark, documents):
     once, again = (sorted((r.doc_id, r.copies) for r in mix(d).collect()) for d in (documents, documents.repartition(5)))
     assert once == again
