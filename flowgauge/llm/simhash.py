@@ -19,16 +19,22 @@ HALF = (1 << 32) - 1
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     """64-bit SimHash of a text, A-Z lower-cased: a bit is set if over half of the shingles' XXH64 have it."""
+    hashes = shingle_hashes(text, shingle, seed)
+    return majority(hashes) if len(hashes) else 0
+
+
+def shingle_hashes(text: str | None, shingle: int = 3, seed: int = 42) -> np.ndarray:
+    """XXH64 of each word shingle of a text, A-Z lower-cased; a text with fewer words than a shingle is one shingle."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.array([], dtype="<u8")
     whole = memoryview(b" ".join(parts))
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     width = min(shingle, len(parts))
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[: len(parts) - width + 1].tolist(), ends[width - 1 :].tolist())
-    return majority(np.array([digest(whole[a:b], seed) for a, b in spans], dtype="<u8"))
+    return np.array([digest(whole[a:b], seed) for a, b in spans], dtype="<u8")
 
 
 def majority(hashes: np.ndarray, block: int = 1 << 16) -> int:
@@ -168,8 +174,12 @@ def drop_near_duplicates(
     It is the row with the smallest id, a null id last; among rows that share it, the one with the smallest hash of its
     content. Of rows that are equal in id and text, one stays.
     """
+    return one_of_each(docs, _grouped(docs, id, text, shingle, radius, tile), id, text)
+
+
+def one_of_each(docs: DataFrame, groups: DataFrame, id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that are the ``first`` of their component in ``groups``, equal ones once."""
     k1, k2 = row_key(docs[id], docs[text])
-    groups = _grouped(docs, id, text, shingle, radius, tile)
     stay = groups.filter("first.k1 = k1 AND first.k2 = k2").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
     rows = docs.select("*", k1.alias("_d1"), k2.alias("_d2"))
     kept = rows.join(stay.distinct(), (F.col("_d1") == F.col("_k1")) & (F.col("_d2") == F.col("_k2")), "left_semi")
@@ -179,9 +189,14 @@ def drop_near_duplicates(
 def _grouped(docs: DataFrame, id: str, text: str, shingle: int, radius: int, tile: int) -> DataFrame:
     """Per row its id, key and fingerprint, and ``first``, the first row of its component."""
     kept = stored(fingerprints(docs, id, text, shingle))
+    return first_of_each(kept, links(kept.select("fp").distinct(), radius, tile))
+
+
+def first_of_each(kept: DataFrame, edges: DataFrame) -> DataFrame:
+    """``kept`` with ``first``, the first row of the component of its ``fp`` under ``edges``."""
     row = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
     distinct = kept.groupBy("fp").agg(F.min(row).alias("first"))
-    labels = component_labels(links(distinct, radius, tile))
+    labels = component_labels(edges)
     # Linked fingerprints only: the first row of each component.
     linked = labels.join(distinct.select(F.col("fp").alias("node"), "first"), "node")
     roots = linked.groupBy("label").agg(F.min("first").alias("root"))
