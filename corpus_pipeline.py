@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import mixing, near_copies, packing, quality_rules, substrings
+from flowgauge.llm import mixing, packing, quality_rules, simhash, substrings
 from flowgauge.llm.common import stored, table
 from flowgauge.llm.queries import tokenizer, trusted
 
@@ -24,8 +24,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, Jaccard similarity of 0.8 or more."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group within 3 bits of each other stays: SimHash of three-word shingles."""
+    return simhash.drop_near_duplicates(docs, shingle=3, radius=3)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
