@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.llm import (
-    mixing, nearest, packing, quality_rules, resampling, sharding, simhash, substrings, toxicity, url_filters,
+    infilling, mixing, nearest, packing, quality_rules, resampling, sharding, simhash, substrings, toxicity, twins,
+    url_filters,
 )
 from flowgauge.llm.common import stored, table
 
@@ -97,6 +98,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    moved = infilling.fill_in_middle(table(spark, folder, "documents"))
+    text = infilling.restored(F.col("output"), F.col("form"))
+    return moved.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_resampling": op1_resampling,
     "op2_url_filters": op2_url_filters,
@@ -108,6 +118,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_nearest": op9_nearest,
     "op10_toxicity": op10_toxicity,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_fill_in_middle": twins.FILL_IN_MIDDLE,
+}
