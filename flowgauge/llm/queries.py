@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.llm import (
-    infilling, mixing, nearest, packing, quality_rules, resampling, sharding, simhash, substrings, toxicity, twins,
+    conversation_trie, infilling, mixing, nearest, packing, quality_rules, resampling, sharding, simhash, substrings, toxicity, twins,
     url_filters,
 )
 from flowgauge.llm.common import stored, table
@@ -107,6 +107,12 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = stored(conversation_trie.turns_in_order(table(spark, folder, "conversations")))
+    rows, convs = conversation_trie.branched(turns, every=20, most=4)
+    return conversation_trie.prefix_trie(stored(rows), stored(convs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_resampling": op1_resampling,
     "op2_url_filters": op2_url_filters,
@@ -119,8 +125,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_nearest": op9_nearest,
     "op10_toxicity": op10_toxicity,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op12_fill_in_middle": twins.FILL_IN_MIDDLE,
+    "op13_conversation_trie": twins.CONVERSATION_TRIE,
 }

@@ -29,3 +29,50 @@ SELECT doc_id, n, form,
     sha256(whole) AS restored_sha256
 FROM thirds
 """
+
+CONVERSATION_TRIE = r"""
+WITH said AS (
+    SELECT CAST(conv_id AS BIGINT) AS conv, turn, coalesce("text", '') AS said,
+        md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce("text", '')) AS id
+    FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+    SELECT conv, struct_pack(id := id, words := CAST(len(regexp_extract_all(said, '[^\x20\x09-\x0D]+')) AS BIGINT)) AS turn,
+        row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, id) - 1 AS pos
+    FROM said
+), whole AS (
+    SELECT conv, list(turn ORDER BY pos) AS turns FROM placed GROUP BY conv
+), bits AS (
+    SELECT conv, turns, flatten(list_transform(string_split(CAST(conv AS VARCHAR), ''),
+        lambda x: list_transform(range(8), lambda k: CAST((ascii(x) >> k) & 1 AS BIGINT)))) AS bits
+    FROM whole
+), headed AS (
+    SELECT conv, turns, CAST(xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], bits),
+        lambda crc, bit: xor(crc >> 1, CASE WHEN (crc & 1) <> bit THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END)),
+        CAST(4294967295 AS BIGINT)) % 4 AS INTEGER) AS h
+    FROM bits
+), rebuilt AS (
+    SELECT c.conv, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+    FROM headed c LEFT JOIN whole b ON b.conv = c.conv - c.conv % 20
+), prefixes AS (
+    SELECT conv, len(turns) AS n, d AS depth, turns[1:d] AS prefix, turns
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT depth, prefix, min(conv) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv AS VARCHAR), ',' ORDER BY conv) FILTER (n = depth), '')) AS ends_sha256,
+        CASE WHEN depth > 0 THEN (count(*) - 1) * any_value(prefix[depth].words) ELSE 0 END AS worth
+    FROM prefixes GROUP BY depth, prefix
+), children AS (
+    SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), counted AS (
+    SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.prefix = n.prefix
+), sums AS (
+    SELECT prefix, sum(leaf) AS n_leaves, sum(worth) AS saved_tokens
+    FROM (SELECT prefix[1:d] AS prefix, leaf, worth FROM (
+        SELECT prefix, worth, CAST(n_children = 0 AS INTEGER) AS leaf, unnest(range(0, depth + 1)) AS d FROM counted))
+    GROUP BY prefix
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+    CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN sums s ON s.prefix = n.prefix
+    LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
+"""
