@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.llm import (
-    conversation_trie, infilling, mixing, nearest, packing, quality_rules, resampling, sharding, simhash, substrings, toxicity, twins,
+    conversation_trie, infilling, license_scans, mixing, nearest, packing, quality_rules, resampling, sharding, simhash, substrings, toxicity, twins,
     url_filters,
 )
 from flowgauge.llm.common import stored, table
@@ -98,6 +98,13 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = license_scans.scan(table(spark, folder, "documents"))
+    return scanned.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     moved = infilling.fill_in_middle(table(spark, folder, "documents"))
     text = infilling.restored(F.col("output"), F.col("form"))
@@ -124,11 +131,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_nearest": op9_nearest,
     "op10_toxicity": op10_toxicity,
+    "op11_license_scans": op11_license_scans,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_license_scans": twins.license_scans(),
     "op12_fill_in_middle": twins.FILL_IN_MIDDLE,
     "op13_conversation_trie": twins.CONVERSATION_TRIE,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from flowgauge.llm.license_scans import TEMPLATES, templates_of
+
 FILL_IN_MIDDLE = r"""
 WITH drawn AS (
     SELECT doc_id, coalesce("text", '') AS whole,
@@ -76,3 +78,44 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
 FROM counted n JOIN sums s ON s.prefix = n.prefix
     LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]
 """
+
+
+def license_scans(threshold: float = 0.9) -> str:
+    """Every block compared with every template, without any filter."""
+    rows = ", ".join(
+        f"('{t.label}', [{', '.join(repr(w) for w in t.words)}], {t.need}, {t.stride})" for t in templates_of(TEMPLATES, threshold)
+    )
+    return rf"""
+WITH templates(label, words, need, stride) AS (VALUES {rows}),
+split AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+), placed AS (
+    SELECT r, doc_id, ws, len(ws) AS n,
+        list_filter(range(len(ws)), lambda i: ws[i + 1] = 'mit' AND ws[i + 2] = 'license') AS mit,
+        list_filter(range(len(ws)), lambda i: ws[i + 1] = 'apache' AND ws[i + 2] = 'license') AS apache,
+        list_filter(range(len(ws)), lambda i: ws[i + 1] = 'general' AND ws[i + 2] = 'public' AND ws[i + 3] = 'license') AS gpl
+    FROM split
+), based AS (
+    SELECT *, list_concat(mit, list_concat(apache, gpl)) AS places,
+        list_filter([CASE WHEN len(mit) > 0 THEN 'mit' END, CASE WHEN len(apache) > 0 THEN 'apache' END,
+            CASE WHEN len(gpl) > 0 THEN 'gpl' END], lambda x: x IS NOT NULL) AS base
+    FROM placed
+), blocks AS (
+    SELECT r, stride, list_distinct(ws[k * stride + 1:k * stride + 2 * stride]) AS block
+    FROM (SELECT r, ws, stride, unnest(range(CAST(greatest(0, ceil(n / stride) - 2) AS BIGINT) + 1)) AS k
+        FROM placed, (SELECT DISTINCT stride FROM templates))
+), met AS (
+    SELECT r, list(DISTINCT label) AS labels, max(common / size) AS score
+    FROM (SELECT r, label, need, len(words) AS size, len(list_intersect(words, block)) AS common
+        FROM blocks JOIN templates USING (stride))
+    WHERE common >= need GROUP BY r
+)
+SELECT doc_id, n AS n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+    array_to_string(list_sort(base), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list_concat(base, coalesce(labels, [])))), ',') AS labels,
+    CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0.0::DOUBLE) END AS score
+FROM based LEFT JOIN met USING (r)
+"""
