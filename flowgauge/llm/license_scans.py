@@ -124,7 +124,7 @@ def matches(docs: DataFrame, id: str, text: str, templates: list[Template]) -> D
 
     def blocks(words: Column) -> Column:
         """Blocks of all lengths; none of a length whose rare words the text has none of."""
-        kinds = []
+        kinds = [F.array().cast(_BLOCKS)]
         for stride, group in sorted(strides.items()):
             rare = _array(sorted({p[1] for p in prefixes if p[0] == stride}))
             vocabulary = _array([w for w in order if any(w in t.words for t in group)])
