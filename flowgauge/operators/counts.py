@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowgauge.errors import incomplete, is_blank, one_of, required
+from flowgauge.operators import states
 from flowgauge.operators.filters import element_is, has_text, job_is, job_keep
 from flowgauge.operators.kpi import Kpi, Measure, all_of, any_of, measured
 
@@ -17,12 +18,13 @@ PATH_MODES = ("ALL", "ANY", "NOTHING")
 
 def count_of(table: str, condition: Column | None, **keep: Sequence[str]) -> Measure:
     counted = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-    return Measure(table, counted, keep)
+    return Measure(table, counted, keep, state=states.counted(condition))
 
 
 def ever(table: str, *ids: str) -> Measure:
     """Does any row name one of the elements?"""
-    return Measure(table, F.bool_or(F.col("element_id").isin(list(ids))), {"element_id": ids})
+    named = F.col("element_id").isin(list(ids))
+    return Measure(table, F.bool_or(named), {"element_id": ids}, state=states.any_true(named))
 
 
 def execution_count(element_id: str, match: str = "id") -> Kpi:
@@ -38,7 +40,7 @@ def retry_count(element_id: str | None = None) -> Kpi:
         runs = count_of("element_instances", element_is(element_id), element_id=(element_id,))
         return measured(lambda inputs: F.greatest(inputs.count() - 1, F.lit(0).cast("bigint")), n=runs)
     runs = F.count("element_id")
-    batch = Measure("element_instances", runs - F.count_distinct("element_id"), distinct=True)
+    batch = Measure("element_instances", runs - F.count_distinct("element_id"), distinct=True, state=states.repeats("element_id"))
     # Streams refuse count(distinct); the ids of one instance are bounded by its process model.
     stream = Measure("element_instances", runs - F.size(F.collect_set("element_id")))
     return Kpi(lambda inputs: inputs.count(), {"n": batch}, stream_measures={"n": stream})

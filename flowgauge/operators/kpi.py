@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.operators.states import State
 from flowgauge.sources.logs import ProcessLogs
 
 
@@ -30,6 +31,10 @@ class Measure:
     a text, whose buffers have no fixed width. Either are planned apart, on their few
     columns and rows, so that the wide fused aggregate keeps a single exchange and sorts
     nothing.
+
+    ``state`` is the same aggregate in mergeable form. Only a state whose rows do not count before they have ended
+    (``ended``) may look at ``end_date``: as of a moment before it, that is not known. ``rows`` replaces the table by
+    rows made from the logs, with the time from which each counts in ``_at``.
     """
 
     table: str
@@ -37,6 +42,9 @@ class Measure:
     keep: Mapping[str, Sequence[str]] = field(default_factory=dict)
     distinct: bool = False
     text: bool = False
+    state: State | None = None
+    ended: bool = False
+    rows: Callable[[ProcessLogs], DataFrame] | None = None
 
 
 @dataclass(frozen=True)
@@ -84,6 +92,8 @@ class Kpi:
     # A KPI that needs more than one aggregate: builds (key, value) itself.
     frame: Callable[[ProcessLogs, str], DataFrame] | None = None
     problems: Callable[[Inputs], list[Problem]] | None = None
+    # Replaces `frame` where its value at many moments is wanted.
+    swept: Measure | None = None
     # Replaces `measures` on a stream, where distinct aggregates are refused.
     stream_measures: Mapping[str, Measure] | None = None
     # True when the KPI follows call activities into other instances.

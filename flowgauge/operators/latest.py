@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.errors import required
 from flowgauge.functions.clock import packed_order
+from flowgauge.operators import states
 from flowgauge.operators.filters import has_text, job_is, job_keep
 from flowgauge.operators.kpi import Kpi, Measure, all_of, measured
 
@@ -25,8 +26,8 @@ def newest_order(moment: Column, key: Column) -> Column:
 def latest(
     table: str, value: str, moment: str, key: str, condition: Column, keep: Mapping[str, Sequence[str]],
 ) -> Measure:
-    order = newest_order(F.col(moment), F.col(key))
-    return Measure(table, F.max_by(F.col(value), F.when(condition, order)), keep, text=True)
+    order = F.when(condition, newest_order(F.col(moment), F.col(key)))
+    return Measure(table, F.max_by(F.col(value), order), keep, text=True, state=states.last_by(F.col(value), order))
 
 
 def bpmn_error(element_id: str | None = None) -> Kpi:

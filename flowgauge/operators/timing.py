@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from flowgauge.errors import is_blank, required
 from flowgauge.functions.clock import in_unit, micros_between, minute_slot, packed_order, whole_div
+from flowgauge.operators import states
 from flowgauge.operators.filters import element_is
 from flowgauge.operators.kpi import Kpi, Measure, all_of, measured
 from flowgauge.operators.skew import SALT, repeated, salted
+from flowgauge.schemas import KEY
 from flowgauge.sources.logs import ProcessLogs
 
 
@@ -25,8 +27,10 @@ def _moment(reference: str, match: str) -> Measure:
     known = all_of(element_is(required(element_id, "the element id"), match=match), moment.isNotNull())
     keep = {"element_id": (element_id,)} if match == "id" else {}
     if edge.upper() == "START":
-        return Measure("element_instances", F.min(F.when(known, moment)), keep)
-    return Measure("element_instances", F.min_by(moment, F.when(known, start_order())), keep)
+        started = F.when(known, moment)
+        return Measure("element_instances", F.min(started), keep, state=states.least(started))
+    order = F.when(known, start_order())
+    return Measure("element_instances", F.min_by(moment, order), keep, state=states.first_by(moment, order), ended=True)
 
 
 def duration(from_element: str, to_element: str, unit: str = "MS", match: str = "id") -> Kpi:
@@ -42,8 +46,12 @@ def _millis(start: Column, end: Column) -> Column:
     return whole_div(micros_between(start, end), 1000)
 
 
-def _waits(logs: ProcessLogs, key: str) -> DataFrame:
-    """Sum of the positive gaps between consecutive elements of an instance.
+def _gap(end: Column, following: Column) -> Column:
+    return F.greatest(_millis(end, following), F.lit(0).cast("bigint"))
+
+
+def _followed(logs: ProcessLogs, key: str) -> tuple[DataFrame, DataFrame]:
+    """Starts of an instance and its minutes, each with the start that follows.
 
     Elements of one start are summed up first, before any exchange: all but the last of
     them are followed at that start. ``lead`` then runs over the different starts within
@@ -51,41 +59,59 @@ def _waits(logs: ProcessLogs, key: str) -> DataFrame:
     summed up by its first start and the end of its last element. No task ever sorts a
     whole instance, nor a busy instant.
     """
-    def gap(end: Column, following: Column) -> Column:
-        return F.greatest(_millis(end, following), F.lit(0).cast("bigint"))
-
     start, end = F.col("start_date"), F.col("end_date")
     last_end = F.max_by(end, F.col("element_instance_key"))
     starts = (
         logs.element_instances.filter(start.isNotNull()).groupBy(key, start)
-        .agg((F.sum(gap(end, start)) - gap(last_end, start)).alias("tied"), last_end.alias("end_date"))
+        .agg((F.sum(_gap(end, start)) - _gap(last_end, start)).alias("tied"), last_end.alias("end_date"))
     )
     within = Window.partitionBy(key, "slot").orderBy("start_date")
     rows = starts.withColumn("slot", minute_slot(start)).withColumn("following", F.lead("start_date").over(within))
     is_last = F.col("following").isNull()
     slots = rows.groupBy(key, "slot").agg(
-        F.sum(F.col("tied") + gap(end, F.col("following"))).alias("waited"),
+        F.sum(F.col("tied") + _gap(end, F.col("following"))).alias("waited"),
         F.min("start_date").alias("first_start"),
         F.max(F.when(is_last, end)).alias("last_end"),
     )
     across = Window.partitionBy(key).orderBy("slot")
-    return (
-        slots.withColumn("following", F.lead("first_start").over(across))
-        .groupBy(key)
-        .agg(
-            (F.coalesce(F.sum("waited"), F.lit(0))
-             + F.coalesce(F.sum(gap(F.col("last_end"), F.col("following"))), F.lit(0))).alias("value")
-        )
+    return rows, slots.withColumn("following", F.lead("first_start").over(across))
+
+
+def _waits(logs: ProcessLogs, key: str) -> DataFrame:
+    """Sum of the positive gaps between consecutive elements of an instance."""
+    _, slots = _followed(logs, key)
+    return slots.groupBy(key).agg(
+        (F.coalesce(F.sum("waited"), F.lit(0))
+         + F.coalesce(F.sum(_gap(F.col("last_end"), F.col("following"))), F.lit(0))).alias("value")
     )
 
 
-def _wait_after(logs: ProcessLogs, key: str, element_id: str) -> DataFrame:
-    """Gap between the end of an element's first run and the next start of another element."""
+def gaps(logs: ProcessLogs) -> DataFrame:
+    """The positive gaps of ``_waits``, each from the start that ends it: ``_at`` and ``gap``.
+
+    As of any moment the gaps that have ended add up to the wait so far: an element that has not ended is not followed
+    by a gap yet, and later starts do not change which element follows which.
+    """
+    rows, slots = _followed(logs, KEY)
+    ends = F.array(
+        F.struct(F.col("start_date").alias("_at"), F.col("tied").alias("gap")),
+        F.struct(F.col("following").alias("_at"), _gap(F.col("end_date"), F.col("following")).alias("gap")),
+    )
+    inside = rows.select(KEY, F.inline(ends))
+    across = slots.select(KEY, F.col("following").alias("_at"), _gap(F.col("last_end"), F.col("following")).alias("gap"))
+    return inside.unionByName(across).filter("gap > 0")
+
+
+def _first_run(logs: ProcessLogs, key: str, element_id: str) -> DataFrame:
+    """``ended`` and ``started`` of an element's first run, and ``following``, the next start of another element."""
     started = logs.element_instances.filter(F.col("start_date").isNotNull())
     first = (
         started.filter(element_is(element_id)).groupBy(key)
-        .agg(F.min_by(F.struct("end_date", "element_instance_key"), start_order()).alias("first"))
-        .select(key, F.col("first.end_date").alias("ended"), F.col("first.element_instance_key").alias("first_key"))
+        .agg(F.min_by(F.struct("end_date", "element_instance_key", "start_date"), start_order()).alias("first"))
+        .select(
+            key, F.col("first.end_date").alias("ended"), F.col("first.element_instance_key").alias("first_key"),
+            F.col("first.start_date").alias("started"),
+        )
     )
     following = (
         salted(started.select(key, "start_date", "element_instance_key"), "element_instance_key")
@@ -93,10 +119,29 @@ def _wait_after(logs: ProcessLogs, key: str, element_id: str) -> DataFrame:
         .filter((F.col("start_date") >= F.col("ended")) & (F.col("element_instance_key") != F.col("first_key")))
         .groupBy(key).agg(F.min("start_date").alias("following"))
     )
+    return first.join(following, key, "left")
+
+
+def _wait_after(logs: ProcessLogs, key: str, element_id: str) -> DataFrame:
+    """Gap between the end of an element's first run and the next start of another element."""
     wait = F.coalesce(_millis(F.col("ended"), F.col("following")), F.lit(0).cast("bigint"))
-    return first.join(following, key, "left").select(
-        key, F.when(F.col("ended").isNotNull(), wait).alias("value")
+    return _first_run(logs, key, element_id).select(key, F.when(F.col("ended").isNotNull(), wait).alias("value"))
+
+
+def wait_steps(logs: ProcessLogs, element_id: str) -> DataFrame:
+    """The value of ``_wait_after`` over time: 0 once the first run has ended, its wait once another element starts.
+
+    ``step`` tells the two apart where they come at one moment.
+    """
+    first = _first_run(logs, KEY, element_id).filter(F.col("ended").isNotNull())
+    known = F.greatest("started", "ended")
+    zero = F.lit(0).cast("bigint")
+    steps = F.array(
+        F.struct(known.alias("_at"), F.lit(0).alias("step"), zero.alias("wait")),
+        F.struct(F.when(F.col("following").isNotNull(), F.greatest(known, "following")).alias("_at"), F.lit(1).alias("step"),
+                 _millis(F.col("ended"), F.col("following")).alias("wait")),
     )
+    return first.select(KEY, F.inline(steps)).filter(F.col("_at").isNotNull())
 
 
 def latency(element_id: str | None = None) -> Kpi:
@@ -106,5 +151,13 @@ def latency(element_id: str | None = None) -> Kpi:
     has not ended, 0 when nothing followed.
     """
     if is_blank(element_id):
-        return Kpi(lambda inputs: F.coalesce(inputs.frame, F.lit(0).cast("bigint")), frame=_waits)
-    return Kpi(lambda inputs: inputs.frame, frame=lambda logs, key: _wait_after(logs, key, element_id))
+        swept = Measure("element_instances", F.sum("gap"), state=states.total(F.col("gap")), rows=gaps)
+        return Kpi(lambda inputs: F.coalesce(inputs.frame, F.lit(0).cast("bigint")), frame=_waits, swept=swept)
+    newest = packed_order(F.col("_at"), F.col("step"))
+    return Kpi(
+        lambda inputs: inputs.frame, frame=lambda logs, key: _wait_after(logs, key, element_id),
+        swept=Measure(
+            "element_instances", F.max_by("wait", newest), state=states.last_by(F.col("wait"), newest),
+            rows=lambda logs: wait_steps(logs, element_id),
+        ),
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.errors import incomplete, is_blank, one_of
 from flowgauge.functions.clock import hour_slot, in_unit, micros_between, packed_order, parse_iso_duration
+from flowgauge.operators import states
 from flowgauge.operators.filters import element_is
 from flowgauge.operators.kpi import PRESENT, Kpi, Measure, all_of, measured
 from flowgauge.sources.logs import ProcessLogs
@@ -36,7 +37,8 @@ def within(limit: str) -> Column:
 def user_task_sla(element_id: str | None, limit: str) -> Kpi:
     """True when every completed user task took at most ``limit``; open tasks are ignored."""
     keep = {"type": ("USER_TASK",)} | named(element_id)
-    met = Measure("element_instances", F.bool_and(F.when(completed_user_task(element_id), within(limit))), keep)
+    in_time = F.when(completed_user_task(element_id), within(limit))
+    met = Measure("element_instances", F.bool_and(in_time), keep, state=states.all_true(in_time), ended=True)
     return measured(lambda inputs: F.coalesce(inputs["met"], F.lit(True)), met=met)
 
 
@@ -91,5 +93,8 @@ def user_task_assignee(element_id: str | None = None, mode: str = "FIRST") -> Kp
 
     order = F.when(assigned, packed_order(F.col("creation_date"), F.col("user_task_key")))
     pick = F.min_by if how == "FIRST" else F.max_by
-    chosen = Measure("user_tasks", pick(F.col("assignee"), order), {"assignee": PRESENT} | named(element_id), text=True)
+    chosen = Measure(
+        "user_tasks", pick(F.col("assignee"), order), {"assignee": PRESENT} | named(element_id), text=True,
+        state=(states.first_by if how == "FIRST" else states.last_by)(F.col("assignee"), order),
+    )
     return measured(lambda inputs: F.coalesce(inputs["chosen"], F.lit("")), chosen=chosen)

@@ -8,7 +8,7 @@ after map-side partial aggregation, and the joins reuse that partitioning.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -57,12 +57,20 @@ def fused_aggregates(logs: ProcessLogs, measures: Mapping[str, Measure], key: st
     return frames
 
 
-def kpi_record(logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE", key: str = KEY) -> DataFrame:
+Aggregates = Callable[[Mapping[str, Measure]], list[DataFrame]]
+
+
+def kpi_record(
+    logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE", key: str = KEY, merged: Aggregates | None = None,
+) -> DataFrame:
     """Evaluate the pilot for every instance: ``key``, then one column per KPI in order.
 
     A value that cannot be used (a threshold on text, say) becomes null and is listed
     in ``_kpi_errors``; with ``mode="FAILFAST"`` it fails the query instead. The error
     column is present when the pilot holds a KPI that can meet such a value.
+
+    ``merged`` computes the measures that have a mergeable state in another way than from
+    ``logs``: a frame by ``key`` with one column per name, or several.
     """
     how = one_of(mode, MODES, "mode of a record")
     kpis = checked_pilot(pilot, key)
@@ -80,17 +88,20 @@ def kpi_record(logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE", key: s
                 frames[name] = f"_frame_{position}"
                 df = _with_expression(df, frames[name], columns, *kpi.expression)
 
-    measures, places = {}, {}
+    measures, mergeable, places = {}, {}, {}
     for position, (name, kpi) in enumerate(kpis.items()):
         for part, measure in kpi.measures.items():
             column = f"_measure_{position}_{part}"
-            measures[column] = measure
+            (mergeable if merged and measure.state else measures)[column] = measure
             places[name, part] = F.col(column)
-    for frame in fused_aggregates(logs, measures, key):
+        if merged and kpi.swept:
+            frames[name] = f"_frame_{position}"
+            mergeable[frames[name]] = kpi.swept
+    for frame in fused_aggregates(logs, measures, key) + (merged(mergeable) if mergeable else []):
         df = df.join(frame, key, "left")
 
     for position, (name, kpi) in enumerate(kpis.items()):
-        if kpi.frame:
+        if kpi.frame and name not in frames:
             frames[name] = f"_frame_{position}"
             df = df.join(kpi.frame(logs, key).select(key, F.col("value").alias(frames[name])), key, "left")
 

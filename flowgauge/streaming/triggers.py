@@ -9,14 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from flowgauge.operators.closure import calls_below
-from flowgauge.operators.flows import resolved_flows
 from flowgauge.plans.record import Pilot, checked_pilot, kpi_record
 from flowgauge.schemas import CLOCKS, KEY
 from flowgauge.sources.logs import ProcessLogs
-
-TRIGGER = "trigger_key"
-MOMENT = "trigger_time"
-
+from flowgauge.streaming.sweep import MOMENT, TRIGGER, swept_measures, with_arrival
 
 def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
     """The logs of each trigger's instances, cut at the trigger's time.
@@ -26,6 +22,10 @@ def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
     started. Variables have no time: they are the current values. Every row carries its
     trigger, and every trigger has a row among the instances, exported yet or not.
     """
+    own = triggers.select(KEY).distinct()
+    # What is aggregated before it meets a trigger is first cut to the instances of the triggers.
+    near = logs.mapped(lambda name, table: table.join(own, KEY, "left_semi") if KEY in table.columns else table)
+
     def seen(name: str, table: DataFrame) -> DataFrame:
         if KEY not in table.columns:
             return table
@@ -33,7 +33,7 @@ def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
             return triggers.drop(MOMENT).join(table, KEY, "left")
         if name == "sequence_flows":
             arrived = F.col("_arrived")
-            rows = with_arrival(table, logs).join(triggers, KEY)
+            rows = with_arrival(near.sequence_flows, near).join(triggers, KEY)
             return rows.filter(arrived.isNull() | (arrived <= F.col(MOMENT))).drop("_arrived", MOMENT)
         rows = table.join(triggers, KEY)
         clock = CLOCKS.get(name)
@@ -46,27 +46,18 @@ def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
     return logs.mapped(seen)
 
 
-def with_arrival(flows: DataFrame, logs: ProcessLogs) -> DataFrame:
-    """Flows with ``_arrived``, the first start of their target in the instance; null where that is not known."""
-    ends = resolved_flows(flows, logs.flow_topology).select(
-        KEY, F.col("flow_id").alias("element_id"), F.col("target_ref").alias("_target")
-    )
-    first = logs.element_instances.groupBy(KEY, F.col("element_id").alias("_target")).agg(
-        F.min("start_date").alias("_arrived")
-    )
-    # A flow may be there more than once; its arrival is one.
-    known = ends.join(first, [KEY, "_target"]).groupBy(KEY, "element_id").agg(F.min("_arrived").alias("_arrived"))
-    return flows.join(known, [KEY, "element_id"], "left")
-
-
 def record_at_triggers(
     triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE",
     key_range: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``triggers(trigger_key, process_instance_key, trigger_time)`` -> one record per trigger.
 
-    Each log is cut at the trigger's time; from there on the trigger takes the place of
-    the instance, so the record is the ordinary fused plan keyed by trigger.
+    What has a mergeable state is swept (``flowgauge.streaming.sweep``): its rows and the
+    triggers are put in order of time together, so the cost is rows plus triggers. For
+    the rest, joined texts and ``history``, each log is joined with the triggers of its
+    instance and cut at their times; their results are as long as the log anyway. From
+    there on the trigger takes the place of the instance, so the record is the ordinary
+    fused plan keyed by trigger.
 
     ``key_range`` bounds the instance keys of the triggers, for the scans to skip files.
     Only ``history`` looks beyond it, at the instances called below.
@@ -80,7 +71,10 @@ def record_at_triggers(
     direct = as_seen(near, wanted)
     if any(kpi.nested for kpi in checked_pilot(pilot, TRIGGER).values()):
         direct.nested = as_seen(logs, calls_below(logs, wanted, MOMENT))
-    return wanted.join(kpi_record(direct, pilot, mode, key=TRIGGER), TRIGGER)
+    record = kpi_record(
+        direct, pilot, mode, key=TRIGGER, merged=lambda measures: swept_measures(near, measures, wanted)
+    )
+    return wanted.join(record, TRIGGER)
 
 
 def kpi_on_trigger(
