@@ -18,10 +18,11 @@ Lookup = Callable[[str], Column]
 
 @dataclass(frozen=True)
 class Part:
-    """One column of a state: its value for a single row, and the aggregate that merges it."""
+    """One column of a state: its value for a single row, the aggregate that merges many, and the merger of two."""
 
     row: Column
     merge: Callable[[Lookup], Column]
+    fold: Callable[[Lookup, Lookup], Column]
 
 
 @dataclass(frozen=True)
@@ -36,25 +37,16 @@ class State:
     value: Callable[[Lookup], Column]
     first_of: str | None = None
 
-    def of_rows(self, name: Callable[[str], str]) -> list[Column]:
-        """The state of each single row, its columns named by ``name``."""
-        return [part.row.alias(name(key)) for key, part in self.parts.items()]
 
-    def merged(self, name: Callable[[str], str], over=None) -> list[Column]:
-        """Aggregates that merge states into one; over a window if one is given."""
-        made = {key: part.merge(lambda k: F.col(name(k))) for key, part in self.parts.items()}
-        return [(c if over is None else c.over(over)).alias(name(key)) for key, c in made.items()]
+def _plain(row: Column, merge: Callable[[Column], Column], fold: Callable[[Column, Column], Column]) -> State:
+    def folded(a: Lookup, b: Lookup) -> Column:
+        return F.coalesce(fold(a("v"), b("v")), a("v"), b("v"))
 
-    def finished(self, name: Callable[[str], str]) -> Column:
-        return self.value(lambda key: F.col(name(key)))
-
-
-def _plain(row: Column, aggregate: Callable[[Column], Column]) -> State:
-    return State({"v": Part(row, lambda of: aggregate(of("v")))}, lambda of: of("v"))
+    return State({"v": Part(row, lambda of: merge(of("v")), folded)}, lambda of: of("v"))
 
 
 def total(value: Column) -> State:
-    return _plain(value, F.sum)
+    return _plain(value, F.sum, lambda a, b: a + b)
 
 
 def counted(condition: Column | None = None) -> State:
@@ -64,39 +56,48 @@ def counted(condition: Column | None = None) -> State:
 
 
 def any_true(condition: Column) -> State:
-    return _plain(condition, F.bool_or)
+    return _plain(condition, F.bool_or, lambda a, b: a | b)
 
 
 def all_true(condition: Column) -> State:
-    return _plain(condition, F.bool_and)
+    return _plain(condition, F.bool_and, lambda a, b: a & b)
 
 
 def least(value: Column) -> State:
-    return _plain(value, F.min)
+    return _plain(value, F.min, F.least)
 
 
 def first_by(value: Column, order: Column) -> State:
     """``value`` of the row with the smallest ``order``; rows whose order is null do not count."""
-    return State({
-        "o": Part(order, lambda of: F.min(of("o"))),
-        "v": Part(F.when(order.isNotNull(), value), lambda of: F.min_by(of("v"), of("o"))),
-    }, lambda of: of("v"))
+    return _picked(value, order, F.min, F.min_by, F.least, lambda a, b: a <= b)
 
 
 def last_by(value: Column, order: Column) -> State:
     """``value`` of the row with the largest ``order``; rows whose order is null do not count."""
+    return _picked(value, order, F.max, F.max_by, F.greatest, lambda a, b: a >= b)
+
+
+def _picked(value: Column, order: Column, bound, bound_by, edge, wins) -> State:
+    def fold(a: Lookup, b: Lookup) -> Column:
+        return F.when(b("o").isNull() | wins(a("o"), b("o")), a("v")).otherwise(b("v"))
+
     return State({
-        "o": Part(order, lambda of: F.max(of("o"))),
-        "v": Part(F.when(order.isNotNull(), value), lambda of: F.max_by(of("v"), of("o"))),
+        "o": Part(order, lambda of: bound(of("o")), lambda a, b: edge(a("o"), b("o"))),
+        "v": Part(F.when(order.isNotNull(), value), lambda of: bound_by(of("v"), of("o")), fold),
     }, lambda of: of("v"))
 
 
 def repeats(column: str) -> State:
     """Rows beyond the first of each value of a column; the values of one instance have to be few."""
     known = F.col(column).isNotNull()
+    none = F.array().cast("array<string>")
     return State({
-        "n": Part(F.when(known, F.lit(1)).otherwise(F.lit(0)).cast("bigint"), lambda of: F.sum(of("n"))),
+        "n": Part(
+            F.when(known, F.lit(1)).otherwise(F.lit(0)).cast("bigint"), lambda of: F.sum(of("n")),
+            lambda a, b: F.coalesce(a("n") + b("n"), a("n"), b("n")),
+        ),
         "ids": Part(
-            F.when(known, F.array(F.col(column))), lambda of: F.array_distinct(F.flatten(F.collect_list(of("ids"))))
+            F.when(known, F.array(F.col(column))), lambda of: F.array_distinct(F.flatten(F.collect_list(of("ids")))),
+            lambda a, b: F.array_union(F.coalesce(a("ids"), none), F.coalesce(b("ids"), none)),
         ),
     }, lambda of: of("n") - F.coalesce(F.array_size(of("ids")), F.lit(0)), first_of=column)

@@ -3,9 +3,9 @@
 Joining each log row with each trigger of its instance costs rows times triggers. Here both are united, and the states of
 rows (``flowgauge.operators.states``) are merged along time:
 
-1. per instance and minute, all rows are merged: one aggregate, combined before its exchange;
-2. minutes with triggers take what the minutes before them carry over: a window over the minutes of an instance;
-3. within such a minute, what is carried over, its rows and its triggers are put in order: a window over one minute.
+1. within a minute of an instance, rows and triggers are put in order and merged up to each: a window over one minute;
+2. what the minutes come to is merged along the minutes of the instance: a window over its minutes;
+3. a trigger takes what the minutes before its own come to, and what its own comes to so far.
 
 So the cost is rows plus triggers, and no task orders more than the minutes of an instance, or the rows of one minute.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from flowgauge.functions.clock import minute_slot
@@ -30,7 +30,6 @@ MOMENT = "trigger_time"
 
 # Rows without a time are there from the beginning.
 _ALWAYS = "timestamp_ntz'0001-01-01 00:00:00'"
-_CARRIED, _ROW, _TRIGGER = 0, 1, 2
 
 
 def with_arrival(flows: DataFrame, logs: ProcessLogs) -> DataFrame:
@@ -51,59 +50,52 @@ def swept_measures(logs: ProcessLogs, measures: Mapping[str, Measure], triggers:
 
     A row is seen from the time its table goes by (``CLOCKS``), a row that has to have ended from its end; a sequence
     flow from the first start of its target. Rows at the very time of a trigger are seen. Rows without a time always
-    are. Numbers and texts are swept apart, so that the wide one stays a hash aggregate.
+    are.
     """
     own = triggers.select(KEY).distinct()
     near = logs.mapped(lambda name, table: table.join(own, KEY, "left_semi") if KEY in table.columns else table)
-    numbers = {name: measure for name, measure in measures.items() if not measure.text}
-    texts = {name: measure for name, measure in measures.items() if measure.text}
-    return [_swept(near, part, triggers) for part in (numbers, texts) if part]
-
-
-def _swept(logs: ProcessLogs, measures: Mapping[str, Measure], triggers: DataFrame) -> DataFrame:
-    names = {name: (lambda part, k=k: f"_{k}_{part}") for k, name in enumerate(measures)}
-    # In a sweep, a first row of its value takes one from the count, so the set of values is not needed.
-    parts = {
-        name: [part for part in measure.state.parts if not (measure.state.first_of and part != "n")]
-        for name, measure in measures.items()
-    }
-
-    def merged(over=None) -> list[Column]:
-        wanted = {names[name](part) for name in measures for part in parts[name]}
-        made = [
-            (key, column) for name, measure in measures.items()
-            for key, column in zip(measure.state.parts, measure.state.merged(names[name], over))
-            if names[name](key) in wanted
-        ]
-        return [column for _, column in made]
-
-    rows = _rows(logs, measures, names, parts).withColumn("_slot", minute_slot(F.col("_at")))
-    moments = triggers.select(TRIGGER, KEY, F.col(MOMENT).alias("_at")).withColumn("_slot", minute_slot(F.col("_at")))
-    wanted = moments.select(KEY, "_slot").distinct()
-
-    slots = rows.groupBy(KEY, "_slot").agg(*merged())
-    before = Window.partitionBy(KEY).orderBy("_slot", "_is_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = slots.withColumn("_is_row", F.lit(True)).unionByName(
-        wanted.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
+    parts = [
+        (f"_{k}_{key}", name, key, part) for k, (name, measure) in enumerate(measures.items())
+        for key, part in measure.state.parts.items()
+        # A first row of its value takes one from the count, so the set of values is not needed.
+        if not (measure.state.first_of and key != "n")
+    ]
+    columns = {(name, key): column for column, name, key, _ in parts}
+
+    def merged(over: WindowSpec) -> list[Column]:
+        return [part.merge(lambda key, name=name: F.col(columns[name, key])).over(over).alias(column) for column, name, _, part in parts]
+
+    rows = _rows(near, measures, columns)
+    moments = triggers.select(TRIGGER, KEY, F.col(MOMENT).alias("_at"))
+    both = rows.unionByName(moments, allowMissingColumns=True).withColumn("_slot", minute_slot(F.col("_at")))
+    # At one moment rows come before triggers.
+    order = Window.partitionBy(KEY, "_slot").orderBy("_at", F.col(TRIGGER).isNotNull())
+    until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = both.select(
+        TRIGGER, KEY, "_slot", F.lead(F.lit(True)).over(order).isNull().alias("_is_last"), *merged(until)
     )
-    carried = both.select(KEY, "_slot", "_is_row", *merged(before)).filter("NOT _is_row").drop("_is_row")
-
-    inside = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
-        rows.join(wanted, [KEY, "_slot"], "left_semi").withColumn("_kind", F.lit(_ROW)),
-        carried.withColumns({"_at": F.expr(_ALWAYS), "_kind": F.lit(_CARRIED)}),
-        moments.withColumn("_kind", F.lit(_TRIGGER)),
-    ])
-    until = Window.partitionBy(KEY, "_slot").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = inside.select(TRIGGER, "_kind", *merged(until)).filter(F.col("_kind") == _TRIGGER)
+    # What a slot comes to is what its last row comes to.
+    earlier = Window.partitionBy(KEY).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = inside.filter("_is_last").select(KEY, "_slot", *merged(earlier))
+    carried = carried.withColumnsRenamed({column: f"_before{column}" for column, *_ in parts})
+    found = inside.filter(F.col(TRIGGER).isNotNull()).join(carried, [KEY, "_slot"])
 
     def value(name: str, measure: Measure) -> Column:
-        only = names[name]("n") if measure.state.first_of else None
-        return (F.col(only) if only else measure.state.finished(names[name])).alias(name)
+        def at(key: str) -> Column:
+            def here(k: str) -> Column:
+                return F.col(columns[name, k])
+
+            def before(k: str) -> Column:
+                return F.col(f"_before{columns[name, k]}")
+
+            return measure.state.parts[key].fold(before, here)
+
+        return at("n") if measure.state.first_of else measure.state.value(at)
 
-    return found.select(TRIGGER, *(value(name, measure) for name, measure in measures.items()))
+    return [found.select(TRIGGER, *(value(name, measure).alias(name) for name, measure in measures.items()))]
 
 
-def _rows(logs: ProcessLogs, measures: Mapping[str, Measure], names, parts) -> DataFrame:
+def _rows(logs: ProcessLogs, measures: Mapping[str, Measure], columns: Mapping[tuple[str, str], str]) -> DataFrame:
     """``process_instance_key``, ``_at`` and the states of single rows of all measures, those of other rows null."""
     sources: dict[tuple, dict[str, Measure]] = {}
     for name, measure in measures.items():
@@ -114,13 +106,14 @@ def _rows(logs: ProcessLogs, measures: Mapping[str, Measure], names, parts) -> D
         rows = made(logs) if made else keep_rows(_dated(logs, table, ended), shared_filter(list(group.values())))
         rows = rows.withColumn("_at", F.coalesce("_at", F.expr(_ALWAYS)))
         found.append(rows.select(KEY, "_at", *(
-            measure.state.parts[part].row.alias(names[name](part)) for name, measure in group.items() for part in parts[name]
+            part.row.alias(columns[name, key]) for name, measure in group.items()
+            for key, part in measure.state.parts.items() if (name, key) in columns
         )))
         for name, measure in group.items():
             column = measure.state.first_of
             if column:
                 first = rows.filter(F.col(column).isNotNull()).groupBy(KEY, column).agg(F.min("_at").alias("_at"))
-                found.append(first.select(KEY, "_at", F.lit(-1).cast("bigint").alias(names[name]("n"))))
+                found.append(first.select(KEY, "_at", F.lit(-1).cast("bigint").alias(columns[name, "n"])))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 

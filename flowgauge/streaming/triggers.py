@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -14,6 +14,10 @@ from flowgauge.schemas import CLOCKS, KEY
 from flowgauge.sources.logs import ProcessLogs
 from flowgauge.streaming.sweep import MOMENT, TRIGGER, swept_measures, with_arrival
 
+#: From so many triggers of one instance on, measures are swept along time instead of joined with each trigger.
+SWEEP_FROM = 16
+
+
 def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
     """The logs of each trigger's instances, cut at the trigger's time.
 
@@ -48,20 +52,24 @@ def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
 
 def record_at_triggers(
     triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE",
-    key_range: tuple[int, int] | None = None,
+    key_range: tuple[int, int] | None = None, sweep: bool | None = None,
 ) -> DataFrame:
     """``triggers(trigger_key, process_instance_key, trigger_time)`` -> one record per trigger.
 
-    What has a mergeable state is swept (``flowgauge.streaming.sweep``): its rows and the
-    triggers are put in order of time together, so the cost is rows plus triggers. For
-    the rest, joined texts and ``history``, each log is joined with the triggers of its
-    instance and cut at their times; their results are as long as the log anyway. From
+    Each log is joined with the triggers of its instance and cut at their times; from
     there on the trigger takes the place of the instance, so the record is the ordinary
-    fused plan keyed by trigger.
+    fused plan keyed by trigger. That costs rows times triggers of an instance. With
+    ``sweep``, what has a mergeable state is not joined: its rows and the triggers are put
+    in order of time together (``flowgauge.streaming.sweep``), at a cost of rows plus
+    triggers. Joined texts and ``history`` still are; their results are as long as the log
+    anyway. Both ways give the same record. If ``sweep`` is not given, the triggers are
+    counted: it is used where an instance has ``SWEEP_FROM`` of them or more.
 
     ``key_range`` bounds the instance keys of the triggers, for the scans to skip files.
     Only ``history`` looks beyond it, at the instances called below.
     """
+    if sweep is None:
+        sweep = trigger_counts(triggers)["most"] >= SWEEP_FROM
     wanted = triggers.select(TRIGGER, KEY, MOMENT)
     near = logs
     if key_range:
@@ -71,10 +79,16 @@ def record_at_triggers(
     direct = as_seen(near, wanted)
     if any(kpi.nested for kpi in checked_pilot(pilot, TRIGGER).values()):
         direct.nested = as_seen(logs, calls_below(logs, wanted, MOMENT))
-    record = kpi_record(
-        direct, pilot, mode, key=TRIGGER, merged=lambda measures: swept_measures(near, measures, wanted)
-    )
-    return wanted.join(record, TRIGGER)
+    swept = (lambda measures: swept_measures(near, measures, wanted)) if sweep else None
+    return wanted.join(kpi_record(direct, pilot, mode, key=TRIGGER, merged=swept), TRIGGER)
+
+
+def trigger_counts(triggers: DataFrame) -> Row:
+    """``low`` and ``high``, the range of the triggers' instance keys, null without any; ``most`` triggers of one instance."""
+    by_instance = triggers.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    return by_instance.agg(
+        F.min(KEY).alias("low"), F.max(KEY).alias("high"), F.coalesce(F.max("n"), F.lit(0)).alias("most")
+    ).first()
 
 
 def kpi_on_trigger(
@@ -95,10 +109,12 @@ def kpi_on_trigger(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if not batch.isEmpty():
-                # Two longs: keys grow with time, so old files need not be opened.
-                key_range = tuple(batch.agg(F.min(KEY), F.max(KEY)).first())
-                record = record_at_triggers(batch, open_logs(), pilot, mode, key_range)
+            # Three longs: keys grow with time, so old files need not be opened.
+            counted = trigger_counts(batch)
+            if counted["most"]:
+                record = record_at_triggers(
+                    batch, open_logs(), pilot, mode, (counted["low"], counted["high"]), counted["most"] >= SWEEP_FROM
+                )
                 record.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             batch.unpersist()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -295,12 +296,18 @@ def stream_trigger(spark: SparkSession, folder: str) -> DataFrame:
     """Every purchase triggers a record of its instance as of that hour."""
     purchases = purchases_in(_event_stream(spark, folder))
     place = scratch(spark)
-    # Without any trigger there is no record, so a folder without rows gives the schema.
-    none = record_at_triggers(purchases_of(spark, folder), logs_from_events(spark, folder), trigger_pilot())
-    spark.createDataFrame([], none.schema).write.parquet(f"{place}/records/batch_id=-1")
     writer = kpi_on_trigger(purchases, lambda: logs_from_events(spark, folder), trigger_pilot(), f"{place}/records")
     writer.option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{place}/records").drop("batch_id")
+    return records_in(spark, folder, f"{place}/records", trigger_pilot())
+
+
+def records_in(spark: SparkSession, folder: str, place: str, pilot: dict) -> DataFrame:
+    try:
+        return spark.read.parquet(place).drop("batch_id")
+    except AnalysisException:
+        # Without any trigger nothing was written; the plan gives the schema.
+        none = record_at_triggers(purchases_of(spark, folder), logs_from_events(spark, folder), pilot, sweep=False)
+        return spark.createDataFrame([], none.schema)
 
 
 _TRIGGER_SQL = with_tables("""
@@ -327,6 +334,84 @@ SELECT t.trigger_key, e.*, CASE WHEN e.end_date <= t.trigger_time THEN e.end_dat
 FROM triggers t JOIN element_instances e USING (process_instance_key) WHERE e.start_date <= t.trigger_time""")
 
 
+def sweep_pilot() -> dict:
+    return trigger_pilot() | {
+        "view_retries": counts.retry_count("view"), "after_view": timing.latency("view"),
+        "minutes": timing.duration("view", "purchase", "minute"), "to_click": timing.duration("view:START", "click:START", "hour"),
+        "took": counts.path("ANY", "Flow_view_purchase", include_flows=True), "both": counts.path("ALL", "view", "click"),
+        "assignee": user_tasks.user_task_assignee(), "last_assignee": user_tasks.user_task_assignee(mode="LAST"),
+        "incidents": counts.incident_count("click"), "messages": counts.message_count(),
+        "decision": latest.decision_result("GetScore"),
+    }
+
+
+def trigger_sweep(logs: ProcessLogs) -> DataFrame:
+    """Every element that starts triggers a record of its instance as of that moment."""
+    starts = logs.element_instances.select(
+        F.col("element_instance_key").alias("trigger_key"), KEY, F.col("start_date").alias("trigger_time")
+    )
+    return record_at_triggers(starts, logs, sweep_pilot(), sweep=True)
+
+
+_SWEEP_SQL = with_tables("""
+SELECT t.trigger_key, t.process_instance_key, t.trigger_time, p.business_id AS business_key,
+       e.purchases, e.retries, e.late = 0 AS sla, CAST(coalesce(j.errors, 0) AS BIGINT) AS errors,
+       j.last_error, CAST(coalesce(g.wait_ms, 0) AS BIGINT) AS wait_ms,
+       greatest(e.views - 1, 0) AS view_retries,
+       CASE WHEN v.ended IS NOT NULL THEN coalesce((epoch_us(f.following) - epoch_us(v.ended)) // 1000, 0) END AS after_view,
+       CAST(trunc(floor((epoch_us(e.purchase_end) - epoch_us(e.view_end)) / 1000000) / 60) AS BIGINT) AS minutes,
+       CAST(trunc(floor((epoch_us(e.click_start) - epoch_us(e.view_start)) / 1000000) / 3600) AS BIGINT) AS to_click,
+       coalesce(s.taken, FALSE) AND e.purchases > 0 AS took, e.views > 0 AND e.clicks > 0 AS both,
+       coalesce(u.first_one, '') AS assignee, coalesce(u.last_one, '') AS last_assignee,
+       CAST(CASE WHEN e.clicks > 0 THEN coalesce(i.n, 0) ELSE 0 END AS BIGINT) AS incidents,
+       CAST(coalesce(m.n, 0) AS BIGINT) AS messages, d.decision
+FROM triggers t JOIN process_instances p USING (process_instance_key)
+JOIN (SELECT trigger_key, count(*) FILTER (WHERE element_id = 'purchase') AS purchases,
+             count(*) FILTER (WHERE element_id = 'view') AS views, count(*) FILTER (WHERE element_id = 'click') AS clicks,
+             CAST(count(*) - count(DISTINCT element_id) AS BIGINT) AS retries,
+             count(*) FILTER (WHERE type = 'USER_TASK' AND ended - start_date > INTERVAL 1 HOUR) AS late,
+             min(start_date) FILTER (WHERE element_id = 'view') AS view_start,
+             min(start_date) FILTER (WHERE element_id = 'click') AS click_start,
+             arg_min(ended, (start_date, element_instance_key)) FILTER (WHERE element_id = 'view' AND ended IS NOT NULL) AS view_end,
+             arg_min(ended, (start_date, element_instance_key)) FILTER (WHERE element_id = 'purchase' AND ended IS NOT NULL) AS purchase_end
+      FROM seen GROUP BY 1) e USING (trigger_key)
+LEFT JOIN (SELECT trigger_key, count(*) AS errors,
+             list(error_code ORDER BY last_update_time IS NOT NULL, last_update_time DESC, job_key)[1] AS last_error
+      FROM triggers t JOIN jobs j USING (process_instance_key)
+      WHERE trim(error_code) <> '' AND coalesce(last_update_time <= trigger_time, TRUE) GROUP BY 1) j USING (trigger_key)
+LEFT JOIN (SELECT trigger_key, sum(greatest((epoch_us(nxt) - epoch_us(ended)) // 1000, 0)) AS wait_ms
+      FROM (SELECT *, lead(start_date) OVER (PARTITION BY trigger_key ORDER BY start_date, element_instance_key) AS nxt
+            FROM seen) s GROUP BY 1) g USING (trigger_key)
+LEFT JOIN first_views v USING (trigger_key)
+LEFT JOIN (SELECT v.trigger_key, min(s.start_date) AS following FROM first_views v JOIN seen s USING (trigger_key)
+      WHERE s.start_date >= v.ended AND s.element_instance_key <> v.first_key GROUP BY 1) f USING (trigger_key)
+LEFT JOIN (SELECT process_instance_key, TRUE AS taken FROM sequence_flows WHERE element_id = 'Flow_view_purchase'
+      GROUP BY 1) s USING (process_instance_key)
+LEFT JOIN (SELECT trigger_key, list(assignee ORDER BY creation_date NULLS LAST, user_task_key)[1] AS first_one,
+             list(assignee ORDER BY creation_date NULLS LAST, user_task_key)[-1] AS last_one
+      FROM triggers t JOIN user_tasks u USING (process_instance_key)
+      WHERE assignee IS NOT NULL AND coalesce(creation_date <= trigger_time, TRUE) GROUP BY 1) u USING (trigger_key)
+LEFT JOIN (SELECT trigger_key, count(*) AS n FROM triggers t JOIN incidents i USING (process_instance_key)
+      WHERE element_id = 'click' AND coalesce(creation_time <= trigger_time, TRUE) GROUP BY 1) i USING (trigger_key)
+LEFT JOIN (SELECT trigger_key, count(*) AS n FROM triggers t JOIN message_subscriptions m USING (process_instance_key)
+      WHERE coalesce(correlation_time <= trigger_time, TRUE) GROUP BY 1) m USING (trigger_key)
+LEFT JOIN (SELECT trigger_key,
+             list(result ORDER BY evaluation_date IS NOT NULL, evaluation_date DESC, decision_instance_key)[1] AS decision
+      FROM triggers t JOIN decision_instances d USING (process_instance_key)
+      WHERE decision_definition_id = 'GetScore' AND coalesce(evaluation_date <= trigger_time, TRUE) GROUP BY 1) d USING (trigger_key)""",
+    "process_instances", "element_instances", "jobs", "user_tasks", "incidents", "message_subscriptions",
+    "decision_instances", "sequence_flows",
+    triggers="""
+SELECT element_instance_key AS trigger_key, process_instance_key, start_date AS trigger_time FROM element_instances""",
+    seen="""
+SELECT t.trigger_key, e.*, CASE WHEN e.end_date <= t.trigger_time THEN e.end_date END AS ended
+FROM triggers t JOIN element_instances e USING (process_instance_key) WHERE e.start_date <= t.trigger_time""",
+    first_views="""
+SELECT trigger_key, first.ended AS ended, first.element_instance_key AS first_key
+FROM (SELECT trigger_key, arg_min({'ended': ended, 'element_instance_key': element_instance_key},
+             (start_date, element_instance_key)) AS first FROM seen WHERE element_id = 'view' GROUP BY 1) x""")
+
+
 def close_pilot() -> dict:
     return {
         "purchases": counts.execution_count("purchase"), "retries": counts.retry_count(),
@@ -422,6 +507,7 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
     "append_matched": (_sink, _SINK_SQL),
     "demo_pilot": (demo_pilot, _demo_sql()),
     "close_sessions": (close_sessions, _ALL_SESSIONS_SQL),
+    "trigger_sweep": (trigger_sweep, _SWEEP_SQL),
 }
 
 STREAMS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
