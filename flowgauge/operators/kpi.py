@@ -98,6 +98,8 @@ class Kpi:
     stream_measures: Mapping[str, Measure] | None = None
     # True when the KPI follows call activities into other instances.
     nested: bool = False
+    # Milliseconds after a trigger until the logs are taken as complete; a pilot waits for its longest.
+    wait_ms: int = 0
 
 
 def measured(finish: Callable[[Inputs], Column] | None = None, **measures: Measure) -> Kpi:

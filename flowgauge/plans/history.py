@@ -242,9 +242,14 @@ def history_values(
 
 def history(
     result_type: str = "JSON", topics: str | Iterable[str] = "ALL",
-    activity_filter: str | Iterable[str] = "ALL", size: int = DEFAULT_SIZE,
+    activity_filter: str | Iterable[str] = "ALL", size: int = DEFAULT_SIZE, wait_ms: int = 0,
 ) -> Kpi:
-    """The history as a KPI; ``[]`` or ``""`` for an instance without entries."""
+    """The history as a KPI; ``[]`` or ``""`` for an instance without entries.
+
+    ``wait_ms``: on a stream of triggers, how long rows of the log may come after their time.
+    """
+    if wait_ms < 0:
+        raise bad_input(f"a history cannot wait {wait_ms} milliseconds")
     shown = one_of(result_type, RESULT_TYPES, "result type of a history")
     chosen_topics(topics)
     families(activity_filter)
@@ -258,4 +263,4 @@ def history(
         return values.withColumnRenamed("root_key", key)
 
     empty = F.lit("[]" if shown == "JSON" else "")
-    return Kpi(lambda inputs: F.coalesce(inputs.frame, empty), frame=build, nested=True)
+    return Kpi(lambda inputs: F.coalesce(inputs.frame, empty), frame=build, nested=True, wait_ms=wait_ms)

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from flowgauge.errors import incomplete
 from flowgauge.operators.closure import calls_below
 from flowgauge.plans.record import Pilot, checked_pilot, kpi_record
 from flowgauge.schemas import CLOCKS, KEY
 from flowgauge.sources.logs import ProcessLogs
+from flowgauge.streaming.closing import delay_interval
 from flowgauge.streaming.sweep import MOMENT, TRIGGER, swept_measures, with_arrival
 
+_CLOCK = "_seen"
+_WAITING = f"{TRIGGER} bigint, {KEY} bigint, {MOMENT} timestamp_ntz"
+
 #: From so many triggers of one instance on, measures are swept along time instead of joined with each trigger.
 SWEEP_FROM = 16
 
@@ -93,6 +99,7 @@ def trigger_counts(triggers: DataFrame) -> Row:
 
 def kpi_on_trigger(
     triggers: DataFrame, open_logs: Callable[[], ProcessLogs], pilot: Pilot, path: str, mode: str = "PERMISSIVE",
+    progress: DataFrame | None = None, wait: int | str = 0,
 ) -> DataStreamWriter:
     """Writer of a stream of triggers; start it with a checkpoint location of your choice.
 
@@ -103,11 +110,43 @@ def kpi_on_trigger(
     Every trigger adds a row, none is updated. A micro-batch replaces the folder
     ``batch_id=<n>`` under ``path``, so a batch that is replayed after a failure leaves
     no duplicates.
+
+    **Waiting.** Logs are exported with a delay, and a record is not to miss what came before
+    its trigger. With ``wait`` (milliseconds or an interval; or the longest ``wait_ms`` of the
+    pilot's KPIs, if that is longer), a trigger waits until the log has been seen beyond its
+    time by as much. ``progress`` tells how far the log is: a stream of one time column, the
+    starts of exported elements for instance. The newest time seen is the log's clock; it only
+    moves on. A trigger that comes later than that is not dropped, it need not wait. Waiting
+    triggers are kept in ``_waiting`` under ``path``, one folder per micro-batch, which the
+    next one reads: what is kept is the triggers, never rows of the log. Those still waiting
+    when the stream ends are there when it goes on.
     """
-    checked_pilot(pilot, TRIGGER)
+    longest = max((kpi.wait_ms for kpi in checked_pilot(pilot, TRIGGER).values()), default=0)
+    delays = [delay_interval(wait), delay_interval(longest)]
+    waits = any(int(delay.split()[0]) for delay in delays)
+    if waits and progress is None:
+        raise incomplete("to wait for the log, give the stream of its progress")
+
+    def due(batch: DataFrame, batch_id: int) -> DataFrame:
+        """The triggers whose wait is over; the others are written down, with the log's clock in a row of its own."""
+        spark = batch.sparkSession
+        new = batch.filter(F.col(TRIGGER).isNotNull()).select(TRIGGER, KEY, MOMENT)
+        clock = batch.agg(F.max(_CLOCK).alias(MOMENT))
+        try:
+            before = spark.read.schema(_WAITING).parquet(f"{path}/_waiting/batch_id={batch_id - 1}")
+        except AnalysisException:
+            before = spark.createDataFrame([], _WAITING)
+        now = before.filter(F.col(TRIGGER).isNull()).select(MOMENT).union(clock).agg(F.max(MOMENT)).first()[0]
+        all_ = before.filter(F.col(TRIGGER).isNotNull()).unionByName(new).persist()
+        ends = F.greatest(*(F.col(MOMENT) + F.expr(f"INTERVAL {delay}") for delay in delays))
+        # As text: a Python moment would be taken as one of the session's zone.
+        over = F.coalesce(ends <= F.lit(now and now.isoformat(" ")).cast("timestamp_ntz"), F.lit(False))
+        clock_row = spark.createDataFrame([(None, None, now)], _WAITING)
+        all_.filter(~over).unionByName(clock_row).write.mode("overwrite").parquet(f"{path}/_waiting/batch_id={batch_id}")
+        return all_.filter(over)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = due(batch, batch_id) if waits else batch.persist()
         try:
             # Three longs: keys grow with time, so old files need not be opened.
             counted = trigger_counts(batch)
@@ -119,4 +158,8 @@ def kpi_on_trigger(
         finally:
             batch.unpersist()
 
-    return triggers.writeStream.foreachBatch(write)
+    if not waits:
+        return triggers.writeStream.foreachBatch(write)
+    seen = progress.select(F.col(progress.columns[0]).cast("timestamp_ntz").alias(_CLOCK))
+    both = triggers.select(TRIGGER, KEY, MOMENT).unionByName(seen, allowMissingColumns=True)
+    return both.writeStream.foreachBatch(write)

@@ -171,3 +171,73 @@ def test_a_flow_taken_after_its_trigger_is_not_seen(spark, demo):
     found = {row["trigger_key"]: (row["ab"], row["ba"]) for row in record_at_triggers(triggers, demo, pilot).collect()}
     # b first starts at 10:00:01, a at 10:00:00.
     assert found == {1: (False, False), 2: (True, True), 3: (False, True)}
+
+
+def test_a_trigger_waits_until_the_log_is_beyond_it(spark, tmp_path):
+    """Rows that are exported after their trigger are in its record; a late trigger does not wait."""
+    day = "2024-05-02T"
+
+    def export(*elements):
+        rows(spark, "element_instances", *elements).coalesce(1).write.mode("append").parquet(str(tmp_path / "logs/element_instances"))
+
+    def trigger(key, at):
+        made = spark.createDataFrame([(key, 1, moment(at))], TRIGGERS)
+        made.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    out = str(tmp_path / "out")
+
+    def records():
+        found = spark.read.parquet(out).collect()
+        return {row["trigger_key"]: (row["a"], row["batch_id"]) for row in found}
+
+    export(element(1, 1, "a", day + "08:00:00", day + "08:10:00"))
+    rows(spark, "process_instances").write.parquet(str(tmp_path / "logs/process_instances"))
+    trigger(1, day + "08:30:00")
+    trigger(2, day + "07:50:00")
+    schema = spark.read.parquet(str(tmp_path / "logs/element_instances")).schema
+    stream = spark.readStream.schema(TRIGGERS).parquet(str(tmp_path / "in"))
+    progress = spark.readStream.schema(schema).parquet(str(tmp_path / "logs/element_instances")).select("start_date")
+
+    def go_on():
+        writer = kpi_on_trigger(
+            stream, lambda: read_logs(spark, str(tmp_path / "logs")), {"a": counts.execution_count("a")}, out,
+            progress=progress, wait="10 minutes",
+        )
+        run(writer, str(tmp_path / "state"))
+
+    go_on()
+    # The log is at 08:00: only the trigger of 07:50 may go.
+    assert records() == {2: (0, 0)}
+    export(element(2, 1, "a", day + "08:20:00", None), element(3, 2, "a", day + "08:39:59", None))
+    go_on()
+    assert records() == {2: (0, 0)}
+    export(element(4, 1, "a", day + "08:30:00", None), element(5, 2, "a", day + "08:40:00", None))
+    trigger(3, day + "09:00:00")
+    trigger(4, day + "08:15:00")
+    go_on()
+    assert records() == {2: (0, 0), 1: (3, 2), 4: (1, 2)}
+    export(element(6, 1, "a", day + "08:59:00", None), element(7, 9, "a", day + "23:00:00", None))
+    go_on()
+    assert records() == {2: (0, 0), 1: (3, 2), 4: (1, 2), 3: (4, 3)}
+
+
+def test_a_replayed_batch_waits_as_before(spark, demo, tmp_path):
+    """From an empty state the first batch is made again, whatever a later one has written down since."""
+    spark.createDataFrame([(1, 7, moment("2024-05-02T10:00:01")), (2, 7, moment("2024-05-02T12:00:00"))], TRIGGERS).coalesce(1).write.parquet(str(tmp_path / "in"))
+    demo.element_instances.coalesce(1).write.parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(TRIGGERS).parquet(str(tmp_path / "in"))
+    progress = spark.readStream.schema(demo.element_instances.schema).parquet(str(tmp_path / "log")).select("start_date")
+    pilot = {"a": counts.execution_count("a"), "h": history(size=3, wait_ms=60_000)}
+    out = str(tmp_path / "out")
+    for state in ("s1", "s2"):
+        run(kpi_on_trigger(stream, lambda: demo, pilot, out, progress=progress), str(tmp_path / state))
+        assert [row["trigger_key"] for row in spark.read.parquet(out).collect()] == [1]
+
+
+def test_waiting_needs_the_progress_of_the_log(spark, demo):
+    with pytest.raises(KpiError):
+        kpi_on_trigger(None, lambda: demo, {"h": history(wait_ms=1)}, "nowhere")
+    with pytest.raises(KpiError):
+        kpi_on_trigger(None, lambda: demo, {"a": 1}, "nowhere", wait="-1 second")
+    with pytest.raises(KpiError):
+        history(wait_ms=-1)

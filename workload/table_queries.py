@@ -301,6 +301,30 @@ def stream_trigger(spark: SparkSession, folder: str) -> DataFrame:
     return records_in(spark, folder, f"{place}/records", trigger_pilot())
 
 
+def stream_trigger_wait(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for a log that is exported in two loads, the second long after the triggers of its time.
+
+    A trigger waits until the log is a day beyond it; those of the last day go on waiting.
+    """
+    logs, place = logs_from_events(spark, folder), scratch(spark)
+    starts = logs.element_instances.select(F.unix_date(F.col("start_date").cast("date")).alias("day"))
+    middle = starts.agg(F.floor((F.min("day") + F.max("day")) / 2).alias("day")).first()["day"]
+    early = F.unix_date(F.col("start_date").cast("date")) <= F.lit(middle)
+    for name in ("process_instances", "jobs"):
+        logs.table(name).write.parquet(f"{place}/log/{name}")
+    purchases = purchases_in(_event_stream(spark, folder))
+    elements = f"{place}/log/element_instances"
+    for load in (early, ~early):
+        logs.element_instances.filter(load).write.mode("append").parquet(elements)
+        progress = spark.readStream.schema(SCHEMAS["element_instances"]).parquet(elements).select("start_date")
+        writer = kpi_on_trigger(
+            purchases, lambda: read_logs(spark, f"{place}/log"), trigger_pilot(), f"{place}/records", progress=progress,
+            wait="1 day",
+        )
+        writer.option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
+    return records_in(spark, folder, f"{place}/records", trigger_pilot())
+
+
 def records_in(spark: SparkSession, folder: str, place: str, pilot: dict) -> DataFrame:
     try:
         return spark.read.parquet(place).drop("batch_id")
@@ -334,6 +358,10 @@ SELECT t.trigger_key, e.*, CASE WHEN e.end_date <= t.trigger_time THEN e.end_dat
 FROM triggers t JOIN element_instances e USING (process_instance_key) WHERE e.start_date <= t.trigger_time""")
 
 
+_WAIT_SQL = _TRIGGER_SQL + """
+WHERE t.trigger_time + INTERVAL 1 DAY <= (SELECT max(start_date) FROM element_instances)"""
+
+
 def sweep_pilot() -> dict:
     return trigger_pilot() | {
         "view_retries": counts.retry_count("view"), "after_view": timing.latency("view"),
@@ -512,5 +540,6 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
 
 STREAMS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "stream_trigger": (stream_trigger, _TRIGGER_SQL),
+    "stream_trigger_wait": (stream_trigger_wait, _WAIT_SQL),
     "stream_close": (stream_close, _CLOSE_SQL),
 }
