@@ -47,6 +47,21 @@ class Measure:
     rows: Callable[[ProcessLogs], DataFrame] | None = None
 
 
+@dataclass(frozen=True)
+class Ordered:
+    """A value that depends on the order of an instance's elements, in a form that follows a stream.
+
+    ``row`` names what is needed of each element. ``slot`` turns the elements of a short span of time, an array of
+    ``row`` in order of start and key, into one value; ``fold`` makes one of two such values, the first being the
+    earlier one; ``value`` finishes. All values are columns, mostly structs.
+    """
+
+    row: Mapping[str, Column]
+    slot: Callable[[Column], Column]
+    fold: Callable[[Column, Column], Column]
+    value: Callable[[Column], Column]
+
+
 @dataclass(frozen=True)
 class Problem:
     """A value that cannot be used: reported, or raised in FAILFAST mode.
@@ -94,6 +109,8 @@ class Kpi:
     problems: Callable[[Inputs], list[Problem]] | None = None
     # Replaces `frame` where its value at many moments is wanted.
     swept: Measure | None = None
+    # Replaces `frame` on a stream of elements.
+    ordered: Ordered | None = None
     # Replaces `measures` on a stream, where distinct aggregates are refused.
     stream_measures: Mapping[str, Measure] | None = None
     # True when the KPI follows call activities into other instances.

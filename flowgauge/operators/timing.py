@@ -9,7 +9,7 @@ from flowgauge.errors import is_blank, required
 from flowgauge.functions.clock import in_unit, micros_between, minute_slot, packed_order, whole_div
 from flowgauge.operators import states
 from flowgauge.operators.filters import element_is
-from flowgauge.operators.kpi import Kpi, Measure, all_of, measured
+from flowgauge.operators.kpi import Kpi, Measure, Ordered, all_of, measured
 from flowgauge.operators.skew import SALT, repeated, salted
 from flowgauge.schemas import KEY
 from flowgauge.sources.logs import ProcessLogs
@@ -144,6 +144,60 @@ def wait_steps(logs: ProcessLogs, element_id: str) -> DataFrame:
     return first.select(KEY, F.inline(steps)).filter(F.col("_at").isNotNull())
 
 
+def _total_in_order() -> Ordered:
+    """The wait of a span, its first start and the end of its last element: what two spans need to become one."""
+    def joined(first: Column, last_end: Column, waited: Column) -> Column:
+        return F.struct(first.alias("first"), last_end.alias("last_end"), waited.alias("waited"))
+
+    def slot(rows: Column) -> Column:
+        between = F.zip_with(rows, F.slice(rows, F.lit(2), F.size(rows)), lambda a, b: _gap(a["end_date"], b["start_date"]))
+        waited = F.aggregate(between, F.lit(0).cast("bigint"), lambda total, gap: total + gap)
+        return joined(F.get(rows, F.lit(0))["start_date"], F.element_at(rows, -1)["end_date"], waited)
+
+    def fold(a: Column, b: Column) -> Column:
+        return joined(a["first"], b["last_end"], a["waited"] + b["waited"] + _gap(a["last_end"], b["first"]))
+
+    return Ordered({"end_date": F.col("end_date")}, slot, fold, lambda all_: all_["waited"])
+
+
+def _after_in_order(element_id: str) -> Ordered:
+    """The element's first run, and the starts of a span: of each start the smallest and largest key, to tell others."""
+    def slot(rows: Column) -> Column:
+        run = F.get(F.filter(rows, lambda r: r["is_it"]), F.lit(0))
+        edge = F.filter(rows, lambda r, i: (
+            (i == 0) | (i == F.size(rows) - 1)
+            | (F.get(rows, i - 1)["start_date"] != r["start_date"]) | (F.get(rows, i + 1)["start_date"] != r["start_date"])
+        ))
+        starts = F.transform(edge, lambda r: F.struct(r["start_date"].alias("at"), r["element_instance_key"].alias("key")))
+        first = F.when(run.isNotNull(), F.struct(
+            run["element_instance_key"].alias("key"), run["end_date"].alias("ended"), _following(starts, run).alias("following")
+        ))
+        return F.struct(first.alias("first"), starts.alias("starts"))
+
+    def _following(starts: Column, run: Column) -> Column:
+        return F.get(F.filter(starts, lambda s: (s["at"] >= run["end_date"]) & (s["key"] != run["element_instance_key"])), F.lit(0))["at"]
+
+    def fold(a: Column, b: Column) -> Column:
+        run = a["first"]
+        later = F.get(F.filter(b["starts"], lambda s: (s["at"] >= run["ended"]) & (s["key"] != run["key"])), F.lit(0))["at"]
+        known = F.struct(run["key"].alias("key"), run["ended"].alias("ended"), F.coalesce(run["following"], later).alias("following"))
+        # Before the first run, starts do not matter unless it ended before it began.
+        own = b["first"]
+        earlier = F.get(F.filter(a["starts"], lambda s: (s["at"] >= own["ended"]) & (s["key"] != own["key"])), F.lit(0))["at"]
+        new = F.struct(own["key"].alias("key"), own["ended"].alias("ended"), F.coalesce(earlier, own["following"]).alias("following"))
+        first = F.when(run.isNotNull(), known).when(own.isNotNull(), new)
+        waiting = run.isNull() & own.isNull()
+        return F.struct(first.alias("first"), F.when(waiting, F.concat(a["starts"], b["starts"])).otherwise(b["starts"]).alias("starts"))
+
+    def value(all_: Column) -> Column:
+        ended = all_["first"]["ended"]
+        wait = F.coalesce(_millis(ended, all_["first"]["following"]), F.lit(0).cast("bigint"))
+        return F.when(ended.isNotNull(), wait)
+
+    is_it = F.coalesce(element_is(element_id), F.lit(False))
+    return Ordered({"end_date": F.col("end_date"), "is_it": is_it}, slot, fold, value)
+
+
 def latency(element_id: str | None = None) -> Kpi:
     """Milliseconds the instance spent waiting, in total or right after one element.
 
@@ -152,7 +206,7 @@ def latency(element_id: str | None = None) -> Kpi:
     """
     if is_blank(element_id):
         swept = Measure("element_instances", F.sum("gap"), state=states.total(F.col("gap")), rows=gaps)
-        return Kpi(lambda inputs: F.coalesce(inputs.frame, F.lit(0).cast("bigint")), frame=_waits, swept=swept)
+        return Kpi(lambda inputs: F.coalesce(inputs.frame, F.lit(0).cast("bigint")), frame=_waits, swept=swept, ordered=_total_in_order())
     newest = packed_order(F.col("_at"), F.col("step"))
     return Kpi(
         lambda inputs: inputs.frame, frame=lambda logs, key: _wait_after(logs, key, element_id),
@@ -160,4 +214,5 @@ def latency(element_id: str | None = None) -> Kpi:
             "element_instances", F.max_by("wait", newest), state=states.last_by(F.col("wait"), newest),
             rows=lambda logs: wait_steps(logs, element_id),
         ),
+        ordered=_after_in_order(element_id),
     )

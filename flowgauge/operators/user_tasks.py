@@ -9,7 +9,7 @@ from flowgauge.errors import incomplete, is_blank, one_of
 from flowgauge.functions.clock import hour_slot, in_unit, micros_between, packed_order, parse_iso_duration
 from flowgauge.operators import states
 from flowgauge.operators.filters import element_is
-from flowgauge.operators.kpi import PRESENT, Kpi, Measure, all_of, measured
+from flowgauge.operators.kpi import PRESENT, Kpi, Measure, Ordered, all_of, measured
 from flowgauge.sources.logs import ProcessLogs
 
 # Units of the SLA description and the suffix each is shown with.
@@ -62,19 +62,34 @@ def user_task_sla_description(element_id: str | None, limit: str, unit: str = "h
     shown = one_of(unit, tuple(SLA_UNITS), "unit of the description")
     in_time = within(limit)
 
+    took = micros_between(F.col("start_date"), F.col("end_date"))
+    text = F.concat(
+        F.lit('"'), F.col("element_id"), F.lit('"-'), in_unit(took, shown).cast("string"),
+        F.lit(SLA_UNITS[shown]), F.when(in_time, F.lit("-OK")).otherwise(F.lit("-OVER")),
+    )
+
     def build(logs: ProcessLogs, key: str) -> DataFrame:
-        took = micros_between(F.col("start_date"), F.col("end_date"))
-        text = F.concat(
-            F.lit('"'), F.col("element_id"), F.lit('"-'), in_unit(took, shown).cast("string"),
-            F.lit(SLA_UNITS[shown]), F.when(in_time, F.lit("-OK")).otherwise(F.lit("-OVER")),
-        )
         rows = logs.element_instances.filter(completed_user_task(element_id)).select(
             key, F.col("start_date").alias("moment"), F.col("element_instance_key").alias("order_key"),
             text.alias("text"),
         )
         return joined_text(rows, key, ", ")
 
-    return Kpi(lambda inputs: F.coalesce(inputs.frame, F.lit("")), frame=build)
+    return Kpi(
+        lambda inputs: F.coalesce(inputs.frame, F.lit("")), frame=build,
+        ordered=_text_in_order(F.when(completed_user_task(element_id), text), ", "),
+    )
+
+
+def _text_in_order(text: Column, separator: str) -> Ordered:
+    def joined(texts: Column) -> Column:
+        held = F.array_compact(texts)
+        return F.when(F.size(held) > 0, F.array_join(held, separator))
+
+    return Ordered(
+        {"text": text}, lambda rows: joined(F.transform(rows, lambda r: r["text"])), lambda a, b: joined(F.array(a, b)),
+        lambda all_: all_,
+    )
 
 
 def user_task_assignee(element_id: str | None = None, mode: str = "FIRST") -> Kpi:

@@ -487,6 +487,30 @@ FROM (SELECT *, CASE WHEN start_date <= lag(start_date) OVER (PARTITION BY proce
 
 
 
+def order_pilot() -> dict:
+    return close_pilot() | {
+        "wait_ms": timing.latency(), "after_view": timing.latency("view"),
+        "tasks": user_tasks.user_task_sla_description("", "PT1H", "minute"),
+    }
+
+
+def stream_close_latency(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions with KPIs that go by the order of their elements."""
+    elements = event_log.element_instances(_event_stream(spark, folder))
+    place = scratch(spark)
+    closed = kpi_on_close(elements, order_pilot(), "18 hours", "1 day")
+    (
+        closed.writeStream.format("parquet").outputMode("append").option("path", f"{place}/sessions")
+        .option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.schema(closed.schema).parquet(f"{place}/sessions")
+
+
+def close_sessions_latency(logs: ProcessLogs) -> DataFrame:
+    """The same over the whole table."""
+    return kpi_on_close(logs.element_instances, order_pilot(), "18 hours", 0)
+
+
 def close_sessions(logs: ProcessLogs) -> DataFrame:
     """The same over the whole table: every session, the last ones included."""
     return kpi_on_close(logs.element_instances, close_pilot(), "18 hours", 0)
@@ -495,6 +519,34 @@ def close_sessions(logs: ProcessLogs) -> DataFrame:
 _LAST_WHERE = "WHERE s.session_end <="
 _ALL_SESSIONS_SQL = _CLOSE_SQL[: _CLOSE_SQL.index(_LAST_WHERE)]
 
+_ORDER_COLUMNS = """, coalesce(g.wait_ms, 0) AS wait_ms,
+       CASE WHEN w.ended IS NOT NULL THEN coalesce((epoch_us(w.following) - epoch_us(w.ended)) // 1000, 0) END AS after_view,
+       coalesce(d.tasks, '') AS tasks
+FROM (SELECT process_instance_key, session, min(start_date)"""
+_ORDER_JOINS = """
+LEFT JOIN (SELECT process_instance_key, session,
+             CAST(sum(greatest(coalesce((epoch_us(nxt) - epoch_us(end_date)) // 1000, 0), 0)) AS BIGINT) AS wait_ms
+      FROM (SELECT *, lead(start_date) OVER (PARTITION BY process_instance_key, session
+            ORDER BY start_date, element_instance_key) AS nxt FROM sessions) x GROUP BY 1, 2) g USING (process_instance_key, session)
+LEFT JOIN (SELECT f.process_instance_key, f.session, any_value(f.one.end_date) AS ended, min(s.start_date) AS following
+      FROM (SELECT process_instance_key, session, arg_min({'end_date': end_date, 'k': element_instance_key},
+              (start_date, element_instance_key)) AS one FROM sessions WHERE element_id = 'view' GROUP BY 1, 2) f
+      LEFT JOIN sessions s ON s.process_instance_key = f.process_instance_key AND s.session = f.session
+           AND s.start_date >= f.one.end_date AND s.element_instance_key <> f.one.k GROUP BY 1, 2) w
+     USING (process_instance_key, session)
+LEFT JOIN (SELECT process_instance_key, session, string_agg('"' || element_id || '"-'
+             || CAST(trunc(floor((epoch_us(end_date) - epoch_us(start_date)) / 1000000) / 60) AS BIGINT) || 'mn'
+             || CASE WHEN end_date - start_date <= INTERVAL 1 HOUR THEN '-OK' ELSE '-OVER' END, ', '
+             ORDER BY start_date, element_instance_key) AS tasks
+      FROM sessions WHERE type = 'USER_TASK' AND end_date IS NOT NULL GROUP BY 1, 2) d USING (process_instance_key, session)
+"""
+_ALL_IN_ORDER_SQL = _ALL_SESSIONS_SQL.replace(
+    "\nFROM (SELECT process_instance_key, session, min(start_date)", _ORDER_COLUMNS, 1
+) + _ORDER_JOINS
+# A minute later than without an order.
+_CLOSE_IN_ORDER_SQL = _ALL_IN_ORDER_SQL + """
+WHERE s.session_end + INTERVAL 1 MINUTE <= (SELECT max(start_date) - INTERVAL 1 DAY FROM element_instances)"""
+
 _TASKS = ", ".join(f"'{name}'" for name in filters.TASK_TYPES + filters.GATEWAY_TYPES)
 
 # Name -> (query over the logs, DuckDB SQL)
@@ -535,6 +587,7 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
     "append_matched": (_sink, _SINK_SQL),
     "demo_pilot": (demo_pilot, _demo_sql()),
     "close_sessions": (close_sessions, _ALL_SESSIONS_SQL),
+    "close_sessions_latency": (close_sessions_latency, _ALL_IN_ORDER_SQL),
     "trigger_sweep": (trigger_sweep, _SWEEP_SQL),
 }
 
@@ -542,4 +595,5 @@ STREAMS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "stream_trigger": (stream_trigger, _TRIGGER_SQL),
     "stream_trigger_wait": (stream_trigger_wait, _WAIT_SQL),
     "stream_close": (stream_close, _CLOSE_SQL),
+    "stream_close_latency": (stream_close_latency, _CLOSE_IN_ORDER_SQL),
 }
