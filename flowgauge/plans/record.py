@@ -57,6 +57,18 @@ def fused_aggregates(logs: ProcessLogs, measures: Mapping[str, Measure], key: st
     return frames
 
 
+def measure_name(position: int, part: str) -> str:
+    return f"_measure_{position}_{part}"
+
+
+def measures_of(kpis: Mapping[str, Kpi]) -> dict[str, Measure]:
+    """All measures of a pilot under the names they have while a record is made."""
+    return {
+        measure_name(position, part): measure
+        for position, kpi in enumerate(kpis.values()) for part, measure in kpi.measures.items()
+    }
+
+
 Aggregates = Callable[[Mapping[str, Measure]], list[DataFrame]]
 
 
@@ -91,7 +103,7 @@ def kpi_record(
     measures, mergeable, places = {}, {}, {}
     for position, (name, kpi) in enumerate(kpis.items()):
         for part, measure in kpi.measures.items():
-            column = f"_measure_{position}_{part}"
+            column = measure_name(position, part)
             (mergeable if merged and measure.state else measures)[column] = measure
             places[name, part] = F.col(column)
         if merged and kpi.swept:

@@ -14,6 +14,7 @@ from flowgauge.operators import counts, filters, latest, projections, timing, us
 from flowgauge.operators.checkpoints import shared_folder
 from flowgauge.operators.variables import current_variables
 from flowgauge.plans.history import history
+from flowgauge.plans.partial import add_load, merge_loads, record_of_loads
 from flowgauge.plans.record import ERRORS, kpi_record
 from flowgauge.schemas import KEY, SCHEMAS
 from flowgauge.sinks.matched import append_matched
@@ -362,6 +363,25 @@ _WAIT_SQL = _TRIGGER_SQL + """
 WHERE t.trigger_time + INTERVAL 1 DAY <= (SELECT max(start_date) FROM element_instances)"""
 
 
+#: KPIs of the record that need nothing but mergeable states, the spine and variables.
+MERGED = tuple(name for name in RECORD if name not in ("kpi_user_task_sla_desc", "kpi_latency_total", "kpi_latency_element"))
+
+
+def record_merged(logs: ProcessLogs) -> DataFrame:
+    """The logs in three loads; two are merged into one before the third comes."""
+    spark = logs.process_instances.sparkSession
+    pilot, place = {name: KPIS[name][0]() for name in MERGED}, scratch(spark)
+    for load in range(2):
+        add_load(logs.mapped(lambda _, table: _third(table, load)), pilot, f"{place}/two", load)
+    merge_loads(spark, pilot, f"{place}/two", f"{place}/all")
+    add_load(logs.mapped(lambda _, table: _third(table, 2)), pilot, f"{place}/all", 1)
+    return record_of_loads(spark, pilot, f"{place}/all").drop(ERRORS)
+
+
+def _third(table: DataFrame, number: int) -> DataFrame:
+    return table.filter(F.pmod(F.xxhash64(table.columns[0], table.columns[3]), F.lit(3)) == number)
+
+
 def sweep_pilot() -> dict:
     return trigger_pilot() | {
         "view_retries": counts.retry_count("view"), "after_view": timing.latency("view"),
@@ -582,6 +602,7 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
     "kpi_date_types": (_date_types, _DATE_TYPES_SQL),
     "date_roundings": (_roundings, _roundings_sql()),
     "kpi_record": (_record, record_sql(RECORD)),
+    "kpi_record_merged": (record_merged, record_sql(MERGED)),
     "kpi_record_fused": (_fused, _fused_sql()),
     "kpi_record_errors": (_errors, _ERRORS_SQL),
     "append_matched": (_sink, _SINK_SQL),
