@@ -11,10 +11,10 @@ from collections import defaultdict
 from collections.abc import Callable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from flowgauge.errors import bad_input, incomplete, one_of
+from flowgauge.errors import BAD_INPUTPARAMETER, DATE_PARSING_ERROR, bad_input, incomplete, one_of
 from flowgauge.operators.filters import keep_rows
 from flowgauge.operators.kpi import Inputs, Kpi, Measure, Problem, any_of, shared_filter
 from flowgauge.operators.projections import constant
@@ -23,6 +23,8 @@ from flowgauge.schemas import KEY
 from flowgauge.sources.logs import ProcessLogs
 
 ERRORS = "_kpi_errors"
+# Codes a value can be reported with.
+ERROR_CODES = (BAD_INPUTPARAMETER, DATE_PARSING_ERROR)
 MODES = ("PERMISSIVE", "FAILFAST")
 Pilot = Mapping[str, Any]
 
@@ -168,6 +170,25 @@ def _reported(name: str, problem: Problem) -> Column:
     return F.when(problem.when, entry)
 
 
+def observed_errors(record: DataFrame, pilot: Pilot) -> tuple[DataFrame, Observation]:
+    """``record`` as it is, and how often each KPI met each error, counted by the job that writes the record.
+
+    ``observation.get`` has ``records`` and, for each KPI that can meet a bad value, ``<kpi>:<code>``. It waits until the
+    frame returned has been written; nothing is read or computed a second time.
+    """
+    def met(name: str, code: str) -> Column:
+        return F.size(F.filter(ERRORS, lambda error: (error["kpi"] == name) & (error["code"] == code)))
+
+    observation = Observation()
+    metrics = [F.count(F.lit(1)).alias("records")]
+    if ERRORS in record.columns:
+        metrics += [
+            F.coalesce(F.sum(met(name, code)), F.lit(0)).alias(f"{name}:{code}")
+            for name, kpi in checked_pilot(pilot).items() if kpi.problems for code in ERROR_CODES
+        ]
+    return record.observe(observation, *metrics), observation
+
+
 def single_kpi(logs: ProcessLogs, value: Any, name: str = "value") -> DataFrame:
     """One KPI for every instance."""
     return kpi_record(logs, {name: value})

@@ -15,10 +15,11 @@ from flowgauge.operators.checkpoints import shared_folder
 from flowgauge.operators.variables import current_variables
 from flowgauge.plans.history import history
 from flowgauge.plans.partial import add_load, merge_loads, record_of_loads
-from flowgauge.plans.record import ERRORS, kpi_record
+from flowgauge.plans.record import ERRORS, kpi_record, observed_errors
 from flowgauge.schemas import KEY, SCHEMAS
 from flowgauge.sinks.matched import append_matched
 from flowgauge.sources import event_log
+from flowgauge.sources.clustered import read_clustered, write_clustered
 from flowgauge.sources.event_log import logs_from_events
 from flowgauge.sources.logs import ProcessLogs, read_logs
 from flowgauge.streaming.closing import kpi_on_close
@@ -196,12 +197,17 @@ LEFT JOIN ({edge('end_date', 'signup')}) se USING (process_instance_key)""",
         "process_instances", "element_instances")
 
 
+def bad_pilot() -> dict:
+    return {
+        "number": variables.threshold("dueDate", ">", 5), "label": variables.bucket("dueDate", [(0, "A")]),
+        "moment": variables.threshold("amount", "after", "2024-01-01"), "fine": variables.threshold("amount", ">", 1),
+    }
+
+
 def _errors(logs: ProcessLogs) -> DataFrame:
     """What the record reports when a date is compared as a number and an amount as a date."""
-    record = kpi_record(logs, {
-        "number": variables.threshold("dueDate", ">", 5), "label": variables.bucket("dueDate", [(0, "A")]),
-        "moment": variables.threshold("amount", "after", "2024-01-01"),
-    })
+    pilot = {name: kpi for name, kpi in bad_pilot().items() if name != "fine"}
+    record = kpi_record(logs, pilot)
     return record.select(KEY, F.inline(ERRORS)).unionByName(
         record.filter(F.col("number").isNotNull() | F.col("label").isNotNull() | F.col("moment").isNotNull())
         .select(KEY, F.lit("not null").alias("kpi"), F.lit("").alias("code"), F.lit("").alias("message"))
@@ -219,6 +225,37 @@ FROM variables v JOIN (VALUES
 WHERE v.scope_key = v.process_instance_key""", "variables")
 
 
+def errors_observed(logs: ProcessLogs) -> DataFrame:
+    """Errors per KPI and code, counted while the record is written."""
+    spark = logs.process_instances.sparkSession
+    record, observation = observed_errors(kpi_record(logs, bad_pilot()), bad_pilot())
+    record.write.parquet(f"{scratch(spark)}/record")
+    found = [(*name.split(":"), n) for name, n in observation.get.items() if ":" in name]
+    return spark.createDataFrame(found, "kpi string, code string, errors bigint")
+
+
+_OBSERVED_SQL = f"""
+SELECT k.kpi, k.code, count(e.kpi) AS errors
+FROM (SELECT kpi, code FROM (VALUES ('number'), ('label'), ('moment'), ('fine')) a(kpi),
+      (VALUES ('BAD_INPUTPARAMETER'), ('DATE_PARSING_ERROR')) b(code)) k
+LEFT JOIN ({_ERRORS_SQL}) e ON e.kpi = k.kpi AND e.code = k.code GROUP BY 1, 2"""
+
+
+def record_clustered(logs: ProcessLogs) -> DataFrame:
+    """The record over logs clustered by instance."""
+    spark = logs.process_instances.sparkSession
+    prefix = f"clustered_{uuid.uuid4().hex}_"
+    write_clustered(logs, CLUSTERED, prefix, scratch(spark), 8)
+    return kpi_record(read_clustered(spark, prefix), full_pilot()).drop(ERRORS)
+
+
+#: The tables a record reads.
+CLUSTERED = [
+    "element_instances", "process_instances", "user_tasks", "jobs", "incidents", "variables", "decision_instances",
+    "message_subscriptions", "sequence_flows",
+]
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder under the cluster's shared one."""
     return f"{shared_folder(spark)}/flowgauge-{uuid.uuid4().hex}"
@@ -602,6 +639,8 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
     "kpi_date_types": (_date_types, _DATE_TYPES_SQL),
     "date_roundings": (_roundings, _roundings_sql()),
     "kpi_record": (_record, record_sql(RECORD)),
+    "kpi_record_clustered": (record_clustered, record_sql(RECORD)),
+    "kpi_errors_observed": (errors_observed, _OBSERVED_SQL),
     "kpi_record_merged": (record_merged, record_sql(MERGED)),
     "kpi_record_fused": (_fused, _fused_sql()),
     "kpi_record_errors": (_errors, _ERRORS_SQL),
