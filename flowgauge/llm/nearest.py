@@ -26,7 +26,7 @@ def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
 
 def build_index(
     vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int = 20, shard_rows: int = 8192,
-    degree: int = 32, beam: int = 64, alpha: float = 1.2,
+    degree: int = 48, beam: int = 100, alpha: float = 1.2,
 ) -> DataFrame:
     """The index as a table: a row per node with its shard, vector, edges and the smallest ids that have this vector.
 
@@ -63,15 +63,19 @@ def build_index(
 
 def search(
     index: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding", beam: int = 120,
-    block: int = 4096,
+    block: int = 4096, recall: float = 0.97, sample: int = 64,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` nearest rows found for each query, its own id left out.
 
     Each block of queries is searched in every shard, by a beam search in the shard's graph; the nearest nodes found are
-    scored again with the original vectors in double precision. Scores descend, ties go to the smaller id. ``queries``
-    have the columns of the vectors; those that take no part get no rows, equal queries count once.
+    scored again with the original vectors in double precision. How wide a beam has to be depends on the data: ``sample``
+    queries of a block are compared with the whole shard first, and ``beam`` is doubled until ``recall`` of their nearest
+    are found. Scores descend, ties go to the smaller id. ``queries``
+    have the columns of the vectors; those that take no part get no rows, nor do vectors of another length than those of
+    the index; equal queries count once.
     """
-    asked = usable(queries, id, vector).dropDuplicates()
+    length = index.select(F.size("vector").alias("d")).first()
+    asked = usable(queries, id, vector).filter(F.size("vector") == (length["d"] if length else -1)).dropDuplicates()
     asked = stored(asked.withColumn("query", F.hash("vector")))
     shards = [r["shard"] for r in index.select("shard").distinct().collect()]
     blocks = max(1, ceil(asked.count() / block))
@@ -82,17 +86,19 @@ def search(
     def find(nodes: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if nodes.empty or rows.empty:
             return pd.DataFrame({"query_id": [], "query": [], "vec_id": [], "score": []})
-        nodes = nodes.sort_values("node")
+        nodes, rows = nodes.sort_values("node"), rows.sort_values(["id", "query"])
         x, q = np.stack(nodes["vector"].to_numpy()), np.stack(rows["vector"].to_numpy())
-        if x.shape[1] != q.shape[1]:
-            raise ValueError("queries and index hold vectors of different lengths")
         graph = Graph(x, np.stack(nodes["edges"].to_numpy()).astype(np.int32), int(nodes["start"].iloc[0]))
         ids = nodes["ids"].to_numpy()
         made: list[tuple[int, int, int, float]] = []
-        for at in range(0, len(q), 1024):
-            part = q[at : at + 1024]
-            found, _ = graph.search(np.hstack([part, np.zeros((len(part), 1))]).astype(np.float32), max(beam, 2 * k))
-            keys = rows.iloc[at : at + 1024][["id", "query"]].itertuples(index=False)
+        points = q.astype(np.float32)
+        tried = np.unique(np.linspace(0, len(q) - 1, min(sample, len(q))).astype(np.int64))
+        wide = graph.beam_for(points[tried], k, max(beam, 2 * k), recall)
+        some = max(32, 1024 * 120 // wide)
+        for at in range(0, len(q), some):
+            part = q[at : at + some]
+            found, _ = graph.search(points[at : at + some], wide)
+            keys = rows.iloc[at : at + some][["id", "query"]].itertuples(index=False)
             for (own, query), vec, near in zip(keys, part, found[:, : 2 * k + 2]):
                 near = near[near >= 0]
                 score = (x[near] * vec).sum(axis=1)

@@ -6,18 +6,17 @@ import numpy as np
 
 
 class Graph:
-    """Vectors with an edge list each; greedy searches from ``start`` reach the nearest ones.
+    """Vectors with an edge list each; greedy searches from ``start`` reach those with the largest inner products.
 
-    Points are compared by Euclidean distance after one coordinate is added that makes all norms equal, so the nearest
-    point to a query (with 0 there) is the one with the largest inner product.
+    The graph is built over directions: vectors are cut to length one, where the nearest point by Euclidean distance is
+    the one with the largest inner product, and edges go to neighbours in all directions, whatever the lengths are. A
+    search follows the same edges by the inner products of the vectors themselves.
     """
 
     def __init__(self, vectors: np.ndarray, edges: np.ndarray, start: int, alpha: float = 1.2):
-        x = np.ascontiguousarray(vectors, dtype=np.float32)
-        norms = (x.astype(np.float64) ** 2).sum(axis=1)
-        extra = np.sqrt(np.maximum(norms.max(initial=0.0) - norms, 0))
-        self.x = np.hstack([x, extra[:, None].astype(np.float32)])
-        self.square = (self.x**2).sum(axis=1)
+        self.x = np.ascontiguousarray(vectors, dtype=np.float32)
+        # What is taken for the squared length of a point: nothing when inner products alone count.
+        self.square = np.zeros(len(self.x), dtype=np.float32)
         self.edges, self.start, self.alpha = edges, start, alpha
         self.degree = edges.shape[1]
 
@@ -28,7 +27,9 @@ class Graph:
         The first batch is connected from all its distances, later ones from searches of the graph so far.
         """
         n = len(vectors)
-        graph = cls(vectors, np.full((n, degree), -1, dtype=np.int32), 0, alpha)
+        units = vectors / np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))[:, None]
+        graph = cls(units, np.full((n, degree), -1, dtype=np.int32), 0, alpha)
+        graph.square[:] = 1
         graph.start = int((graph.square - 2 * graph.x @ graph.x.mean(axis=0)).argmin())
         order = np.random.default_rng(0).permutation(n)
         order = np.concatenate([[graph.start], order[order != graph.start]])
@@ -43,13 +44,30 @@ class Graph:
             done += len(points)
         return graph
 
-    def search(self, queries: np.ndarray, beam: int, wide: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    def beam_for(self, queries: np.ndarray, k: int, beam: int, recall: float) -> int:
+        """The beam, doubled from ``beam`` on, at which searches find enough of the ``k`` nearest of some queries.
+
+        What they should find is known from all their inner products. A beam as wide as the graph is the last one tried.
+        """
+        n = len(self.x)
+        k = min(k, n)
+        best = np.argpartition(-(queries @ self.x.T), k - 1, axis=1)[:, :k]
+        while beam < n:
+            found, _ = self.search(queries, beam)
+            hits = (best[:, :, None] == found[:, None, :k]).any(axis=2).sum()
+            if hits >= recall * best.size:
+                break
+            beam *= 2
+        return min(beam, n)
+
+    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest points found for each query, nearest first; -1 where there are fewer.
 
-        ``queries`` have the added coordinate. In each step the ``wide`` nearest points that are not expanded yet hand in
+        In each step the ``wide`` nearest points that are not expanded yet hand in
         their neighbours; a search ends when all points of its beam are expanded.
         """
         b, n = len(queries), len(self.x)
+        wide = max(4, beam // 32)
         seen = np.zeros((b, n + 1), dtype=bool)
         seen[:, n] = True  # where an edge list has ended
         ids = np.full((b, beam), -1, dtype=np.int64)
