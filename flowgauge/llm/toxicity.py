@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.llm.common import stored
+
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -129,18 +131,32 @@ def sigmoid(z):
 
 def fit(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
-    most_rows: int = 10_000,
+    most_rows: int = 10_000, most_bytes: int = 256 << 20,
 ) -> Model:
     """Train on the labelled documents, on ``most_rows`` of them at most: those whose ids have the smallest hashes.
 
-    The bound is the one thing that is sampled here. Null labels and ids are left out, an id labelled more than once is
+    The bounds are the one thing that is sampled here; both hold for what reaches the driver. Rows that are equal in id
+    and text count as one. Rows are taken in order of a hash until their texts come to ``most_bytes``. Null labels and ids are left out, an id labelled more than once is
     toxic if one label says so. Without a toxic or without a clean document the model finds nothing toxic.
     """
     wanted = labels.select(labels[id].alias("_id"), labels[label].alias("_y")).dropna().groupBy("_id").agg(F.max("_y").alias("_y"))
     # A number of rows that is bounded by the parameter, so it may be broadcast.
     chosen = F.broadcast(wanted.orderBy(F.xxhash64("_id"), "_id").limit(most_rows))
-    rows = docs.join(chosen, docs[id] == chosen["_id"]).select("_id", docs[text].alias("text"), "_y")
-    rows = sorted(rows.collect(), key=lambda r: (r["_id"], r["text"] or ""))
+    rows = docs.join(chosen, docs[id] == chosen["_id"]).select("_id", docs[text].alias("text"), "_y").distinct()
+    order = [F.xxhash64("_id"), F.col("_id"), F.xxhash64("text")]
+    picked = stored(rows.orderBy(*order).limit(most_rows).withColumns({
+        "_order": F.struct(*(c.alias(f"o{k}") for k, c in enumerate(order))), "_bytes": F.coalesce(F.octet_length("text"), F.lit(0)),
+    }))
+    left, last = most_bytes, None
+    for row in picked.orderBy("_order").select("_order", "_bytes").collect():
+        left -= row["_bytes"]
+        if left < 0:
+            break
+        last = row["_order"]
+    if last is None:
+        return Model(-30.0, {})
+    until = F.struct(*(F.lit(v).alias(f"o{k}") for k, v in enumerate(last))).cast(picked.schema["_order"].dataType)
+    rows = sorted(picked.filter(F.col("_order") <= until).collect(), key=lambda r: (r["_id"], r["text"] or ""))
     y = [int(r["_y"]) for r in rows]
     if len(set(y)) < 2:
         return Model(-30.0, {})

@@ -42,6 +42,21 @@ def test_one_kind_of_label_and_empty_table(spark, docs_of):
     assert toxicity.score(docs_of((1, "a")).filter("false"), nothing).count() == 0
 
 
+def test_bounds_hold_for_rows_and_bytes(spark, docs_of, monkeypatch):
+    """An id that is repeated very often, and texts of any length."""
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append(list(zip(texts, labels))) or toxicity.Model(0.0, {}))
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id bigint, toxic int")
+    repeated = docs_of(*[(1, "the same")] * 5000, *[(1, f"text {k}") for k in range(30)], (2, "b" * 100), (3, None))
+    toxicity.fit(repeated, labels)
+    toxicity.fit(repeated, labels, most_rows=10)
+    toxicity.fit(repeated, labels, most_bytes=150)
+    assert len(seen[0]) == 33 and sorted(seen[0])[-1] == ("the same", 0) and ("", 1) in seen[0]
+    assert all(len(some) <= 10 for some in seen[1:2])
+    assert all(sum(len(t) for t, _ in some) <= 150 for some in seen[2:])
+    assert toxicity.fit(repeated, labels, most_bytes=0).weights == {} and toxicity.fit(repeated, labels, most_rows=1).bias == -30.0
+
+
 def test_held_out_documents(spark):
     folder = DATA.replace("sf0.001", "sf0.1")
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
