@@ -54,6 +54,29 @@ def call_closure(logs: ProcessLogs) -> DataFrame:
     return itself.unionByName(found)
 
 
+def closed(steps: DataFrame, starts: DataFrame) -> DataFrame:
+    """All chains of ``steps`` (root_key, process_instance_key, depth), each step beginning at one of ``starts``.
+
+    A step's end may begin others, which go on from there; depths add up. Rounds double the number of steps in a chain.
+    Steps have different ends unless their roots differ, as those of a forest of calls do, so no pair is found twice.
+    """
+    found, latest = steps, steps
+    # Chains of exactly `reach` steps that end where another step begins.
+    begins = starts.select(F.col("root_key").alias(KEY))
+    power = checkpointed(steps.join(begins, KEY, "left_semi"))
+    while _has_rows(latest):
+        longer = power.select(F.col(KEY).alias("root_key"), F.col("root_key").alias("far_root"), F.col("depth").alias("ahead"))
+        latest = checkpointed(found.join(longer, "root_key").select(
+            F.col("far_root").alias("root_key"), KEY, (F.col("depth") + F.col("ahead")).alias("depth")
+        ))
+        ahead = power.select(F.col(KEY).alias("root_key"), F.col("root_key").alias("far_root"), F.col("depth").alias("ahead"))
+        power = checkpointed(power.join(ahead, "root_key").select(
+            F.col("far_root").alias("root_key"), KEY, (F.col("depth") + F.col("ahead")).alias("depth")
+        ))
+        found = found.unionByName(latest)
+    return found
+
+
 def calls_below(logs: ProcessLogs, roots: DataFrame, until: str) -> DataFrame:
     """``roots``, which hold an instance key and other columns, and a row for every
     instance called below them with the same other columns.

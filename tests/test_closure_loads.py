@@ -1,0 +1,72 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowgauge.errors import KpiError
+from flowgauge.operators.closure import call_closure
+from flowgauge.plans.closure_loads import add_closure_load, stored_closure
+from flowgauge.schemas import KEY
+from flowgauge.sources.logs import ProcessLogs
+from tests.test_closure import expected, logs_of
+
+
+def loads(logs, n, seed):
+    """Every row in one of n loads, instances and calls apart from each other."""
+    def dealt(table, key, salt):
+        return [table.filter(F.pmod(F.xxhash64(key, F.lit(seed), F.lit(salt)), F.lit(n)) == k) for k in range(n)]
+
+    pairs = zip(dealt(logs.element_instances, "element_instance_key", 1), dealt(logs.process_instances, KEY, 2))
+    return [ProcessLogs.of(element_instances=e, process_instances=p) for e, p in pairs]
+
+
+def forest(seed, size=40):
+    rng = random.Random(seed)
+    # Deep: the caller of x is one of the few before it; some are roots.
+    return {x: rng.randrange(max(1, x - 3), x) for x in range(2, size) if rng.random() < 0.93}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_loads_make_the_closure_of_all_rows(spark, tmp_path, seed):
+    callers = forest(seed)
+    logs = logs_of(spark, callers)
+    sizes = []
+    for number, load in enumerate(loads(logs, 3, seed)):
+        add_closure_load(load, str(tmp_path), number)
+        sizes.append(spark.read.parquet(f"{tmp_path}/pairs/load={number}").count())
+    found = [tuple(row) for row in stored_closure(spark, str(tmp_path)).collect()]
+    # No pair is made twice: what the loads have stored adds up to the closure.
+    assert len(found) == len(set(found)) == sum(sizes) and all(sizes)
+    assert set(found) == {tuple(row) for row in call_closure(logs).collect()}
+    instances = {row[KEY] for row in logs.process_instances.collect()}
+    assert set(found) == {pair for pair in expected(callers) if pair[0] in instances}
+
+
+def test_a_link_between_two_stored_trees(spark, tmp_path):
+    """Two chains are there; the load that joins them stores nothing but the pairs across."""
+    chain = {k + 1: k for k in range(1, 6)} | {k + 1: k for k in range(11, 16)}
+    add_closure_load(logs_of(spark, chain), str(tmp_path), 0)
+    joined = logs_of(spark, {11: 6})
+    add_closure_load(joined.mapped(lambda name, table: table.filter(f"{KEY} = 6") if name == "element_instances" else table.filter("false")), str(tmp_path), 1)
+    assert spark.read.parquet(f"{tmp_path}/pairs/load=1").count() == 0
+    # The called instance comes with its caller only now.
+    called = joined.process_instances.filter(f"{KEY} = 11")
+    add_closure_load(ProcessLogs.of(element_instances=joined.element_instances.filter("false"), process_instances=called), str(tmp_path), 2)
+    new = {tuple(row) for row in spark.read.parquet(f"{tmp_path}/pairs/load=2").filter("depth > 0").collect()}
+    assert new == {(a, b, (6 - a) + 1 + (b - 11)) for a in range(1, 7) for b in range(11, 17)}
+    # Storing the last load again changes nothing.
+    add_closure_load(ProcessLogs.of(element_instances=joined.element_instances.filter("false"), process_instances=called), str(tmp_path), 2)
+    assert {tuple(row) for row in spark.read.parquet(f"{tmp_path}/pairs/load=2").filter("depth > 0").collect()} == new
+
+
+def test_a_cycle_over_two_loads_is_refused(spark, tmp_path):
+    add_closure_load(logs_of(spark, {2: 1, 3: 2}), str(tmp_path), 0)
+    with pytest.raises(KpiError):
+        add_closure_load(logs_of(spark, {1: 3}), str(tmp_path), 1)
+
+
+def test_an_empty_load(spark, tmp_path):
+    logs = logs_of(spark, {2: 1})
+    add_closure_load(logs.mapped(lambda _, table: table.filter("false")), str(tmp_path), 0)
+    add_closure_load(logs, str(tmp_path), 1)
+    assert {tuple(row) for row in stored_closure(spark, str(tmp_path)).collect()} == expected({2: 1})

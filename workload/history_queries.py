@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowgauge.operators.checkpoints import shared_folder
 from flowgauge.operators.closure import call_closure
 from flowgauge.operators.filters import FAMILIES
 from flowgauge.operators.flows import flow_occurrences, resolved_flows, with_target
 from flowgauge.plans import history as plan
+from flowgauge.plans.closure_loads import add_closure_load, stored_closure
 from flowgauge.schemas import KEY
 from flowgauge.sources.logs import ProcessLogs
 from flowgauge.sources.topology import flow_topology
@@ -221,6 +224,19 @@ def _history(*arguments) -> LogQuery:
     return query
 
 
+def _closure_loads(logs: ProcessLogs) -> DataFrame:
+    """The closure of logs that come in three loads, instances and calls in any order."""
+    spark = logs.process_instances.sparkSession
+    place = f"{shared_folder(spark)}/flowgauge-{uuid.uuid4().hex}"
+    for load in range(3):
+        part = F.pmod(F.xxhash64(F.coalesce("element_instance_key", KEY)), F.lit(3)) == load
+        own = F.pmod(F.xxhash64(KEY), F.lit(3)) == load
+        add_closure_load(ProcessLogs.of(
+            element_instances=logs.element_instances.filter(part), process_instances=logs.process_instances.filter(own),
+        ), place, load)
+    return stored_closure(spark, place)
+
+
 _TOPOLOGY_SQL = with_tables("""
 SELECT process_instance_key AS process_definition_key, element_id AS flow_id, split_part(element_id, '_', 2) AS source_ref,
        CASE WHEN element_id <> 'Flow_error_error' THEN split_part(element_id, '_', 3) END AS target_ref
@@ -228,6 +244,9 @@ FROM sequence_flows WHERE process_instance_key % 10 <> 0""", "sequence_flows")
 
 # Name -> (query over the logs, DuckDB SQL)
 QUERIES: dict[str, tuple[LogQuery, str]] = {
+    "call_closure_loads": (
+        _closure_loads, with_tables("SELECT root_key, process_instance_key, depth FROM closure", "closure"),
+    ),
     "call_closure": (
         call_closure, with_tables("SELECT root_key, process_instance_key, depth FROM closure", "closure"),
     ),
