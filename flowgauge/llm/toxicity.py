@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,7 +64,7 @@ def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0, logits).sum()))
 
 
-def telling(words: list[set[str]], labels: np.ndarray, least_documents: int = 4, least_z: float = 4.0) -> list[str]:
+def telling(words: Iterable[set[str]], labels: np.ndarray, least_documents: int = 4, least_z: float = 4.0) -> list[str]:
     """Features that occur in a greater share of the toxic documents than of the clean ones, by ``least_z`` errors."""
     toxic, clean = Counter(), Counter()
     for some, label in zip(words, labels):
@@ -86,11 +88,12 @@ def train(
     ``penalty``; the outcome depends on nothing else.
     """
     y = np.array(labels, dtype=bool)
-    parts = [[_WORD.findall(s.lower()) for s in _SENTENCE.findall(t)] for t in texts]
-    names = telling([{w for s in of for w in s} for of in parts], y)
+    once: dict[str, str] = {}  # a word is held once, however often it occurs
+    parts = [[[once.setdefault(w, w) for w in _WORD.findall(s.lower())] for s in _SENTENCE.findall(t)] for t in texts]
+    names = telling(({w for s in of for w in s} for of in parts), y)
     index = {f: k for k, f in enumerate(names)}
     known: dict[str, list[int]] = {}
-    used, of_sentence, of_document = [], [], []
+    used, of_sentence, of_document = array("q"), array("q"), array("q")
     plain = np.zeros(len(y))  # sentences without any telling feature
     for k, of in enumerate(parts):
         for s in of:
@@ -100,11 +103,12 @@ def train(
                     known[w] = [index[f] for f in features(w) if f in index]
                 ids += known[w]
             if ids:
-                used += ids
-                of_sentence += [len(of_document)] * len(ids)
+                used.extend(ids)
+                of_sentence.extend([len(of_document)] * len(ids))
                 of_document.append(k)
             else:
                 plain[k] += 1
+    del parts, once
     used, of_sentence, of_document = (np.array(x, dtype=np.int64) for x in (used, of_sentence, of_document))
     theta = np.zeros(len(names) + 1)
     theta[-1] = -6.0
@@ -156,7 +160,8 @@ def fit(
     if last is None:
         return Model(-30.0, {})
     until = F.struct(*(F.lit(v).alias(f"o{k}") for k, v in enumerate(last))).cast(picked.schema["_order"].dataType)
-    rows = sorted(picked.filter(F.col("_order") <= until).collect(), key=lambda r: (r["_id"], r["text"] or ""))
+    taken = picked.filter(F.col("_order") <= until).select("_id", "text", "_y")
+    rows = sorted(taken.collect(), key=lambda r: (r["_id"], r["text"] or ""))
     y = [int(r["_y"]) for r in rows]
     if len(set(y)) < 2:
         return Model(-30.0, {})
