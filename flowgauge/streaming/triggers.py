@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from flowgauge.errors import incomplete
 from flowgauge.operators.closure import calls_below
+from flowgauge.operators.kpi import all_of
 from flowgauge.plans.record import Pilot, checked_pilot, kpi_record
 from flowgauge.schemas import CLOCKS, KEY
 from flowgauge.sources.logs import ProcessLogs
@@ -22,6 +23,8 @@ _WAITING = f"{TRIGGER} bigint, {KEY} bigint, {MOMENT} timestamp_ntz"
 
 #: From so many triggers of one instance on, measures are swept along time instead of joined with each trigger.
 SWEEP_FROM = 16
+#: So many instances of a batch are named one by one to the scans of the logs.
+LISTED = 1000
 
 
 def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
@@ -58,7 +61,7 @@ def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
 
 def record_at_triggers(
     triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE",
-    key_range: tuple[int, int] | None = None, sweep: bool | None = None,
+    key_range: tuple[int, int] | None = None, sweep: bool | None = None, keys: list[int] | None = None,
 ) -> DataFrame:
     """``triggers(trigger_key, process_instance_key, trigger_time)`` -> one record per trigger.
 
@@ -71,17 +74,18 @@ def record_at_triggers(
     anyway. Both ways give the same record. If ``sweep`` is not given, the triggers are
     counted: it is used where an instance has ``SWEEP_FROM`` of them or more.
 
-    ``key_range`` bounds the instance keys of the triggers, for the scans to skip files.
-    Only ``history`` looks beyond it, at the instances called below.
+    ``key_range`` bounds the instance keys of the triggers, for the scans to skip files;
+    ``keys`` lists them, for the scans to read no others where an old and a new instance
+    stand far apart. Only ``history`` looks beyond, at the instances called below.
     """
     if sweep is None:
         sweep = trigger_counts(triggers)["most"] >= SWEEP_FROM
     wanted = triggers.select(TRIGGER, KEY, MOMENT)
-    near = logs
-    if key_range:
-        near = logs.mapped(
-            lambda name, table: table.filter(F.col(KEY).between(*key_range)) if KEY in table.columns else table
-        )
+    near, conditions = logs, [F.col(KEY).between(*key_range)] if key_range else []
+    if keys is not None:
+        conditions.append(F.col(KEY).isin(keys))
+    if conditions:
+        near = logs.mapped(lambda name, table: table.filter(all_of(*conditions)) if KEY in table.columns else table)
     direct = as_seen(near, wanted)
     if any(kpi.nested for kpi in checked_pilot(pilot, TRIGGER).values()):
         direct.nested = as_seen(logs, calls_below(logs, wanted, MOMENT))
@@ -97,6 +101,16 @@ def trigger_counts(triggers: DataFrame) -> Row:
     ).first()
 
 
+def _instances(batch: DataFrame) -> tuple[list[int] | None, Row]:
+    """The instances of a batch, if they are few enough to be listed in a filter, and ``trigger_counts``."""
+    few = batch.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).limit(LISTED + 1).collect()
+    if len(few) > LISTED:
+        return None, trigger_counts(batch)
+    keys = sorted(row[KEY] for row in few if row[KEY] is not None)
+    most = max((row["n"] for row in few), default=0)
+    return keys, Row(low=keys[0] if keys else None, high=keys[-1] if keys else None, most=most)
+
+
 def kpi_on_trigger(
     triggers: DataFrame, open_logs: Callable[[], ProcessLogs], pilot: Pilot, path: str, mode: str = "PERMISSIVE",
     progress: DataFrame | None = None, wait: int | str = 0,
@@ -148,11 +162,12 @@ def kpi_on_trigger(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = due(batch, batch_id) if waits else batch.persist()
         try:
-            # Three longs: keys grow with time, so old files need not be opened.
-            counted = trigger_counts(batch)
+            keys, counted = _instances(batch)
             if counted["most"]:
+                # Keys grow with time, so old files need not be opened.
+                key_range = None if counted["low"] is None else (counted["low"], counted["high"])
                 record = record_at_triggers(
-                    batch, open_logs(), pilot, mode, (counted["low"], counted["high"]), counted["most"] >= SWEEP_FROM
+                    batch, open_logs(), pilot, mode, key_range, counted["most"] >= SWEEP_FROM, keys
                 )
                 record.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:

@@ -1,9 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 from flowgauge.errors import KpiError
 from flowgauge.operators import counts, latest, timing, user_tasks
 from flowgauge.plans.history import history
 from flowgauge.sources.logs import read_logs
+from flowgauge.streaming import triggers
 from flowgauge.streaming.closing import delay_interval, kpi_on_close
 from flowgauge.streaming.triggers import kpi_on_trigger, record_at_triggers
 from tests.conftest import element, moment, rows
@@ -241,3 +243,30 @@ def test_waiting_needs_the_progress_of_the_log(spark, demo):
         kpi_on_trigger(None, lambda: demo, {"a": 1}, "nowhere", wait="-1 second")
     with pytest.raises(KpiError):
         history(wait_ms=-1)
+
+
+def test_two_far_instances_read_no_others(spark, tmp_path):
+    """An old and a new instance: the scans are given both keys, and what is read is their rows."""
+    elements = rows(spark, "element_instances", *(element(k, k, "a", "2024-05-02T08:00:00", None) for k in range(500)))
+    elements.coalesce(1).sortWithinPartitions("process_instance_key").write.parquet(str(tmp_path / "logs/element_instances"))
+    rows(spark, "process_instances", *({"process_instance_key": k} for k in range(500))).write.parquet(str(tmp_path / "logs/process_instances"))
+    far = spark.createDataFrame([(1, 3, moment("2024-05-02T09:00:00")), (2, 490, moment("2024-05-02T09:00:00"))], TRIGGERS)
+    keys, counted = triggers._instances(far)
+    assert keys == [3, 490] and counted.asDict() == {"low": 3, "high": 490, "most": 1}
+    logs = read_logs(spark, str(tmp_path / "logs"))
+    record = record_at_triggers(far, logs, {"a": counts.execution_count("a")}, key_range=(3, 490), sweep=False, keys=keys)
+    assert {row["trigger_key"]: row["a"] for row in record.collect()} == {1: 1, 2: 1}
+    plan = record._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "element_id" in line]
+    assert filters and all("IN (3,490)" in line for line in filters)
+    behind = logs.element_instances.filter(F.col("process_instance_key").isin(keys)).count()
+    assert behind == 2
+
+
+def test_instances_of_a_batch(spark, monkeypatch):
+    made = spark.createDataFrame([(1, 3, None), (2, 3, None), (3, 9, None), (4, None, None)], TRIGGERS)
+    assert triggers._instances(made)[0] == [3, 9] and triggers._instances(made)[1]["most"] == 2
+    monkeypatch.setattr(triggers, "LISTED", 2)
+    assert triggers._instances(made)[0] is None and triggers._instances(made)[1].asDict() == {"low": 3, "high": 9, "most": 2}
+    none = made.filter("false")
+    assert triggers._instances(none) == ([], triggers._instances(none)[1]) and triggers._instances(none)[1]["most"] == 0
