@@ -94,21 +94,21 @@ def record_at_triggers(
 
 
 def trigger_counts(triggers: DataFrame) -> Row:
-    """``low`` and ``high``, the range of the triggers' instance keys, null without any; ``most`` triggers of one instance."""
+    """``low`` and ``high``, the range of the triggers' instance keys, null without any; the number of ``instances``;
+    ``most`` triggers of one instance."""
     by_instance = triggers.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
     return by_instance.agg(
-        F.min(KEY).alias("low"), F.max(KEY).alias("high"), F.coalesce(F.max("n"), F.lit(0)).alias("most")
+        F.min(KEY).alias("low"), F.max(KEY).alias("high"), F.count(KEY).alias("instances"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("most"),
     ).first()
 
 
 def _instances(batch: DataFrame) -> tuple[list[int] | None, Row]:
     """The instances of a batch, if they are few enough to be listed in a filter, and ``trigger_counts``."""
-    few = batch.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).limit(LISTED + 1).collect()
-    if len(few) > LISTED:
-        return None, trigger_counts(batch)
-    keys = sorted(row[KEY] for row in few if row[KEY] is not None)
-    most = max((row["n"] for row in few), default=0)
-    return keys, Row(low=keys[0] if keys else None, high=keys[-1] if keys else None, most=most)
+    counted = trigger_counts(batch)
+    if counted["instances"] > LISTED:
+        return None, counted
+    return sorted(row[KEY] for row in batch.filter(F.col(KEY).isNotNull()).select(KEY).distinct().collect()), counted
 
 
 def kpi_on_trigger(

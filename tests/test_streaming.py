@@ -252,7 +252,7 @@ def test_two_far_instances_read_no_others(spark, tmp_path):
     rows(spark, "process_instances", *({"process_instance_key": k} for k in range(500))).write.parquet(str(tmp_path / "logs/process_instances"))
     far = spark.createDataFrame([(1, 3, moment("2024-05-02T09:00:00")), (2, 490, moment("2024-05-02T09:00:00"))], TRIGGERS)
     keys, counted = triggers._instances(far)
-    assert keys == [3, 490] and counted.asDict() == {"low": 3, "high": 490, "most": 1}
+    assert keys == [3, 490] and counted.asDict() == {"low": 3, "high": 490, "instances": 2, "most": 1}
     logs = read_logs(spark, str(tmp_path / "logs"))
     record = record_at_triggers(far, logs, {"a": counts.execution_count("a")}, key_range=(3, 490), sweep=False, keys=keys)
     assert {row["trigger_key"]: row["a"] for row in record.collect()} == {1: 1, 2: 1}
@@ -266,7 +266,7 @@ def test_two_far_instances_read_no_others(spark, tmp_path):
 def test_instances_of_a_batch(spark, monkeypatch):
     made = spark.createDataFrame([(1, 3, None), (2, 3, None), (3, 9, None), (4, None, None)], TRIGGERS)
     assert triggers._instances(made)[0] == [3, 9] and triggers._instances(made)[1]["most"] == 2
-    monkeypatch.setattr(triggers, "LISTED", 2)
-    assert triggers._instances(made)[0] is None and triggers._instances(made)[1].asDict() == {"low": 3, "high": 9, "most": 2}
+    monkeypatch.setattr(triggers, "LISTED", 1)
+    assert triggers._instances(made)[0] is None and triggers._instances(made)[1].asDict() == {"low": 3, "high": 9, "instances": 2, "most": 2}
     none = made.filter("false")
     assert triggers._instances(none) == ([], triggers._instances(none)[1]) and triggers._instances(none)[1]["most"] == 0

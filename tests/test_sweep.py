@@ -102,7 +102,7 @@ def test_ten_thousand_triggers_of_one_instance(spark, demo):
     triggers = spark.range(n).selectExpr(
         "id AS trigger_key", "7L AS process_instance_key", "timestamp_ntz'2024-05-02 09:59:00' + make_dt_interval(0, 0, 0, id / 100) AS trigger_time"
     )
-    assert trigger_counts(triggers).asDict() == {"low": 7, "high": 7, "most": n} and n >= SWEEP_FROM
+    assert trigger_counts(triggers).asDict() == {"low": 7, "high": 7, "instances": 1, "most": n} and n >= SWEEP_FROM
     wanted = {"a": counts.execution_count("a"), "wait": timing.latency()}
     found = record_at_triggers(triggers, demo, wanted)
     at = {row["trigger_key"]: (row["a"], row["wait"]) for row in found.collect()}
@@ -148,4 +148,4 @@ def test_no_triggers(spark, demo):
     none = spark.createDataFrame([], TRIGGERS)
     assert record_at_triggers(none, demo, pilot()).count() == 0
     assert record_at_triggers(none, demo, pilot(), sweep=True).count() == 0
-    assert trigger_counts(none).asDict() == {"low": None, "high": None, "most": 0}
+    assert trigger_counts(none).asDict() == {"low": None, "high": None, "instances": 0, "most": 0}
