@@ -51,7 +51,8 @@ class _Interval:
 
 
 def splitters(
-    rows: DataFrame, keys: list[str], weight: str, targets: list[float], tolerance: float, probes: int = 256
+    rows: DataFrame, keys: list[str], weight: str, targets: list[float], tolerance: float, probes: int = 256,
+    torn: set[Splitter] | None = None,
 ) -> list[Splitter]:
     """For each target, the key from which on the weight of all smaller rows is nearest to it.
 
@@ -59,7 +60,8 @@ def splitters(
     ``probes`` cells and sums their weights: one scan with partial sums, and at most ``len(targets) * probes`` rows for
     the driver. The cell that holds a target is the next round's interval, from the smallest to the largest key in it. A
     cell with a single key goes on with the next one of ``keys``, so a key of very many rows is split as well. A target
-    is met when the weight is off by ``tolerance`` at most, or no finer boundary exists. Rows equal in all keys stay together.
+    is met when the weight is off by ``tolerance`` at most, or no finer boundary exists. Rows equal in all keys stay together;
+    the keys of such rows in whose midst a target lies are added to ``torn``, one at most for each target.
     """
     ends = rows.agg(*(f(k) for k in keys[:1] for f in (F.min, F.max))).first()
     if ends[0] is None:
@@ -82,16 +84,19 @@ def splitters(
             cells.setdefault(row["_interval"], []).append(row)
         for target, (interval, below) in list(open_.items()):
             step = _refined(target, interval, below, cells[intervals.index(interval)], keys, tolerance)
-            if isinstance(step, tuple) and isinstance(step[0], _Interval):
+            if isinstance(step[0], _Interval):
                 open_[target] = step
             else:
-                found[target] = step
+                found[target], group = step
                 del open_[target]
+                if torn is not None and group:
+                    torn.add(group)
     return [found[t] for t in targets]
 
 
 def _refined(target, interval: _Interval, below: float, cells: list, keys: list[str], tolerance: float):
-    """The splitter, if the target is met at an edge of a cell or can't be met better; else the next interval."""
+    """The next interval and the weight below it; or the splitter, if the target is met at an edge of a cell or can't be
+    met better, and in the latter case the keys of the equal rows that it lies in."""
     level = len(interval.prefix)
     low, high = f"min_{keys[level]}", f"max_{keys[level]}"
     for k, cell in enumerate(cells):
@@ -104,15 +109,15 @@ def _refined(target, interval: _Interval, below: float, cells: list, keys: list[
         # The row after this cell may lie outside of the interval; any key just above the cell's largest will do.
         stop: Splitter = (*interval.prefix, cells[k + 1][low]) if not last else _beyond((*interval.prefix, cell[high]))
         if abs(target - below) <= tolerance:
-            return start
+            return start, None
         if abs(after - target) <= tolerance:
-            return stop
+            return stop, None
         if cell[low] < cell[high]:
             return _Interval(interval.prefix, cell[low], cell[high]), below
         if level + 1 < len(keys):
             deeper = keys[level + 1]
             return _Interval(start, cell[f"min_{deeper}"], cell[f"max_{deeper}"]), below
-        return start if target - below <= after - target else stop
+        return start if target - below <= after - target else stop, start
     raise AssertionError("an interval has at least one cell")
 
 

@@ -34,6 +34,13 @@ def test_one_text_in_most_rows_is_divided(spark, docs_of):
     assert_shards(rows, histogram_sort(docs_of(*rows), parts_per_shard=2, cell_bytes=200).collect(), 8, 30)
 
 
+@pytest.mark.parametrize("options", [{}, {"parts_per_shard": 1, "cell_bytes": 300}])
+def test_equal_rows_are_divided(spark, docs_of, options):
+    rows = [(7, "one row repeated many times over")] * 400 + [(1000 + k, f"text {k}" * (k % 5)) for k in range(800)]
+    assert_shards(rows, histogram_sort(docs_of(*rows), **options).collect(), 8, 40)
+    assert_shards([(None, None)] * 90, histogram_sort(docs_of(*[(None, None)] * 90)).collect(), 8, 2)
+
+
 def test_odd_rows(spark, docs_of, odd):
     assert_shards(odd, histogram_sort(docs_of(*odd), shards=3).collect(), 3, 10**4)
 
