@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from flowgauge.errors import incomplete
 from flowgauge.operators.closure import calls_below
+from flowgauge.operators.key_sketch import KeySketch, key_sketch
 from flowgauge.operators.kpi import all_of
 from flowgauge.plans.record import Pilot, checked_pilot, kpi_record
 from flowgauge.schemas import CLOCKS, KEY
@@ -23,7 +24,7 @@ _WAITING = f"{TRIGGER} bigint, {KEY} bigint, {MOMENT} timestamp_ntz"
 
 #: From so many triggers of one instance on, measures are swept along time instead of joined with each trigger.
 SWEEP_FROM = 16
-#: So many instances of a batch are named one by one to the scans of the logs.
+#: So many instances of a batch are named one by one to the scans of the logs; more are sketched.
 LISTED = 1000
 
 
@@ -61,7 +62,8 @@ def as_seen(logs: ProcessLogs, triggers: DataFrame) -> ProcessLogs:
 
 def record_at_triggers(
     triggers: DataFrame, logs: ProcessLogs, pilot: Pilot, mode: str = "PERMISSIVE",
-    key_range: tuple[int, int] | None = None, sweep: bool | None = None, keys: list[int] | None = None,
+    key_range: tuple[int, int] | None = None, sweep: bool | None = None,
+    keys: list[int] | KeySketch | None = None,
 ) -> DataFrame:
     """``triggers(trigger_key, process_instance_key, trigger_time)`` -> one record per trigger.
 
@@ -76,14 +78,15 @@ def record_at_triggers(
 
     ``key_range`` bounds the instance keys of the triggers, for the scans to skip files;
     ``keys`` lists them, for the scans to read no others where an old and a new instance
-    stand far apart. Only ``history`` looks beyond, at the instances called below.
+    stand far apart; or it is a sketch of them, if they are many, which lets few other rows
+    reach an exchange. Only ``history`` looks beyond, at the instances called below.
     """
     if sweep is None:
         sweep = trigger_counts(triggers)["most"] >= SWEEP_FROM
     wanted = triggers.select(TRIGGER, KEY, MOMENT)
     near, conditions = logs, [F.col(KEY).between(*key_range)] if key_range else []
     if keys is not None:
-        conditions.append(F.col(KEY).isin(keys))
+        conditions.append(keys.may_hold(F.col(KEY)) if isinstance(keys, KeySketch) else F.col(KEY).isin(keys))
     if conditions:
         near = logs.mapped(lambda name, table: table.filter(all_of(*conditions)) if KEY in table.columns else table)
     direct = as_seen(near, wanted)
@@ -103,11 +106,11 @@ def trigger_counts(triggers: DataFrame) -> Row:
     ).first()
 
 
-def _instances(batch: DataFrame) -> tuple[list[int] | None, Row]:
-    """The instances of a batch, if they are few enough to be listed in a filter, and ``trigger_counts``."""
+def _instances(batch: DataFrame) -> tuple[list[int] | KeySketch | None, Row]:
+    """The instances of a batch, listed if they are few, or a sketch of them, and ``trigger_counts``."""
     counted = trigger_counts(batch)
     if counted["instances"] > LISTED:
-        return None, counted
+        return key_sketch(batch, KEY, counted["instances"]), counted
     return sorted(row[KEY] for row in batch.filter(F.col(KEY).isNotNull()).select(KEY).distinct().collect()), counted
 
 

@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from flowgauge.errors import KpiError
 from flowgauge.operators import counts, latest, timing, user_tasks
+from flowgauge.operators.key_sketch import MOST_BITS, MOST_KEYS, KeySketch, key_sketch
 from flowgauge.plans.history import history
+from flowgauge.schemas import KEY
 from flowgauge.sources.logs import read_logs
 from flowgauge.streaming import triggers
 from flowgauge.streaming.closing import delay_interval, kpi_on_close
@@ -267,6 +269,35 @@ def test_instances_of_a_batch(spark, monkeypatch):
     made = spark.createDataFrame([(1, 3, None), (2, 3, None), (3, 9, None), (4, None, None)], TRIGGERS)
     assert triggers._instances(made)[0] == [3, 9] and triggers._instances(made)[1]["most"] == 2
     monkeypatch.setattr(triggers, "LISTED", 1)
-    assert triggers._instances(made)[0] is None and triggers._instances(made)[1].asDict() == {"low": 3, "high": 9, "instances": 2, "most": 2}
+    sketch, counted = triggers._instances(made)
+    assert isinstance(sketch, KeySketch) and counted.asDict() == {"low": 3, "high": 9, "instances": 2, "most": 2}
     none = made.filter("false")
     assert triggers._instances(none) == ([], triggers._instances(none)[1]) and triggers._instances(none)[1]["most"] == 0
+
+
+@pytest.mark.parametrize("wanted", [1, 40, 3000])
+def test_a_sketch_passes_its_keys_and_few_others(spark, wanted):
+    every = spark.range(200_000).select((F.col("id") * 1_000_003 - 50_000_000).alias(KEY))
+    own = {k * 1_000_003 - 50_000_000 for k in range(0, 200_000, 200_000 // wanted)}
+    twice = spark.createDataFrame([(k,) for k in [*own, *own, None]], f"{KEY} bigint")
+    sketch = key_sketch(twice, KEY, len(own))
+    passed = {row[KEY] for row in every.filter(sketch.may_hold(F.col(KEY))).collect()}
+    assert own <= passed and len(passed - own) <= 0.02 * 200_000
+    assert twice.filter(sketch.may_hold(F.col(KEY))).count() == 2 * len(own)
+
+
+def test_a_sketch_is_bounded(spark):
+    none = spark.createDataFrame([], f"{KEY} bigint")
+    assert key_sketch(none, KEY, 0).words == (0,)
+    assert key_sketch(none, KEY, MOST_KEYS + 1) is None
+    assert len(key_sketch(spark.range(10).toDF(KEY), KEY, MOST_KEYS).words) == MOST_BITS // 64
+
+
+@pytest.mark.parametrize("sweep", [True, False])
+def test_a_sketched_batch_has_the_same_records(spark, demo, sweep):
+    instances = demo.process_instances.select(KEY)
+    made = instances.select(F.col(KEY).alias("trigger_key"), KEY, F.lit("2100-01-01").cast("timestamp_ntz").alias("trigger_time"))
+    pilot = {"retries": counts.retry_count(), "took": timing.latency(), "errors": counts.bpm_error_count()}
+    plain = record_at_triggers(made, demo, pilot, sweep=sweep)
+    sketched = record_at_triggers(made, demo, pilot, sweep=sweep, keys=key_sketch(made, KEY, instances.count()))
+    assert sorted(map(str, sketched.collect())) == sorted(map(str, plain.collect())) and plain.count() > 0

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowgauge.functions.clock import iso_text, rounded_date
 from flowgauge.operators import counts, filters, latest, projections, timing, user_tasks, variables
 from flowgauge.operators.checkpoints import shared_folder
+from flowgauge.operators.key_sketch import key_sketch
 from flowgauge.operators.variables import current_variables
 from flowgauge.plans.history import history
 from flowgauge.plans.partial import add_load, merge_loads, record_of_loads
@@ -23,7 +24,7 @@ from flowgauge.sources.clustered import read_clustered, write_clustered
 from flowgauge.sources.event_log import logs_from_events
 from flowgauge.sources.logs import ProcessLogs, read_logs
 from flowgauge.streaming.closing import kpi_on_close
-from flowgauge.streaming.triggers import kpi_on_trigger, record_at_triggers
+from flowgauge.streaming.triggers import kpi_on_trigger, record_at_triggers, trigger_counts
 from workload.history_queries import ALL_TYPES, TOPIC_COLUMNS, rendered_sql
 from workload.kpi_queries import KPIS, as_of
 from workload.tables import with_tables
@@ -372,7 +373,13 @@ def records_in(spark: SparkSession, folder: str, place: str, pilot: dict) -> Dat
         return spark.createDataFrame([], none.schema)
 
 
-_TRIGGER_SQL = with_tables("""
+def _trigger_sql(triggers: str, *tables: str) -> str:
+    return with_tables(_AT_TRIGGERS, *tables, "process_instances", "element_instances", "jobs", triggers=triggers, seen="""
+SELECT t.trigger_key, e.*, CASE WHEN e.end_date <= t.trigger_time THEN e.end_date END AS ended
+FROM triggers t JOIN element_instances e USING (process_instance_key) WHERE e.start_date <= t.trigger_time""")
+
+
+_AT_TRIGGERS = """
 SELECT t.trigger_key, t.process_instance_key, t.trigger_time, p.business_id AS business_key,
        e.purchases, e.retries, e.late = 0 AS sla, CAST(coalesce(j.errors, 0) AS BIGINT) AS errors,
        j.last_error, CAST(coalesce(g.wait_ms, 0) AS BIGINT) AS wait_ms
@@ -387,13 +394,13 @@ LEFT JOIN (SELECT trigger_key, count(*) AS errors,
       WHERE trim(error_code) <> '' AND coalesce(last_update_time <= trigger_time, TRUE) GROUP BY 1) j USING (trigger_key)
 LEFT JOIN (SELECT trigger_key, sum(greatest((epoch_us(nxt) - epoch_us(ended)) // 1000, 0)) AS wait_ms
       FROM (SELECT *, lead(start_date) OVER (PARTITION BY trigger_key ORDER BY start_date, element_instance_key) AS nxt
-            FROM seen) s GROUP BY 1) g USING (trigger_key)""",
-    "process_instances", "element_instances", "jobs",
-    triggers="""
-SELECT event_id AS trigger_key, pik AS process_instance_key, sd AS trigger_time FROM ev WHERE event_type = 'purchase'""",
-    seen="""
-SELECT t.trigger_key, e.*, CASE WHEN e.end_date <= t.trigger_time THEN e.end_date END AS ended
-FROM triggers t JOIN element_instances e USING (process_instance_key) WHERE e.start_date <= t.trigger_time""")
+            FROM seen) s GROUP BY 1) g USING (trigger_key)"""
+
+_TRIGGER_SQL = _trigger_sql("""
+SELECT event_id AS trigger_key, pik AS process_instance_key, sd AS trigger_time FROM ev WHERE event_type = 'purchase'""")
+
+_INCIDENT_SQL = _trigger_sql("""
+SELECT incident_key AS trigger_key, process_instance_key, creation_time AS trigger_time FROM incidents""", "incidents")
 
 
 _WAIT_SQL = _TRIGGER_SQL + """
@@ -430,6 +437,15 @@ def sweep_pilot() -> dict:
     }
 
 
+def trigger_incidents(logs: ProcessLogs) -> DataFrame:
+    """Every incident triggers a record of its instance as of then; the logs are read through a sketch of the instances."""
+    raised = logs.incidents.select(
+        F.col("incident_key").alias("trigger_key"), KEY, F.col("creation_time").alias("trigger_time")
+    )
+    keys = key_sketch(raised, KEY, trigger_counts(raised)["instances"])
+    return record_at_triggers(raised, logs, trigger_pilot(), sweep=False, keys=keys)
+
+
 def trigger_sweep(logs: ProcessLogs) -> DataFrame:
     """Every element that starts triggers a record of its instance as of that moment."""
     starts = logs.element_instances.select(
@@ -649,6 +665,7 @@ SELECT element_instance_key, replace(CAST(start_date AS VARCHAR), ' ', 'T') || '
     "close_sessions": (close_sessions, _ALL_SESSIONS_SQL),
     "close_sessions_latency": (close_sessions_latency, _ALL_IN_ORDER_SQL),
     "trigger_sweep": (trigger_sweep, _SWEEP_SQL),
+    "trigger_incidents": (trigger_incidents, _INCIDENT_SQL),
 }
 
 STREAMS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
