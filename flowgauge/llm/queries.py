@@ -20,7 +20,10 @@ def trusted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op1_resampling(spark: SparkSession, folder: str) -> DataFrame:
-    scored = resampling.resample(table(spark, folder, "documents"), trusted(spark, folder))
+    """As large a share of the documents is kept as of the labels is good; all of them without labels."""
+    labels = table(spark, folder, "labels").filter("quality IS NOT NULL")
+    share = labels.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
+    scored = resampling.resample(table(spark, folder, "documents"), trusted(spark, folder), 1.0 if share is None else share)
     return scored.select("doc_id", "log_weight", "gumbel_key", "kept")
 
 

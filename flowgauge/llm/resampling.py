@@ -11,7 +11,7 @@ from flowgauge.llm.histogram import at_least, splitters
 
 
 def resample(
-    docs: DataFrame, target: DataFrame, share: float = 0.86, id: str = "doc_id", text: str = "text",
+    docs: DataFrame, target: DataFrame, share: float, id: str = "doc_id", text: str = "text",
     buckets: int = 1 << 14, seed: int = 1,
 ) -> DataFrame:
     """``docs`` with ``log_weight``, ``gumbel_key`` and ``kept``.

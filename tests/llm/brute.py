@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from math import log
 
 import numpy as np
 import xxhash
@@ -66,3 +67,29 @@ def base_rules(text):
         "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
         "base_failed": len(ws) < 50 or 100 * len(covered) > 50 * len(ws),
     }
+
+
+def bucket(*words, buckets):
+    """XXH64, each word's hash the seed of the next one's, as a signed number modulo ``buckets``."""
+    h = 42
+    for word in words:
+        h = xxhash.xxh64_intdigest(word.encode(), seed=h)
+    return (h - (1 << 64) if h >> 63 else h) % buckets
+
+
+def grams(text, buckets):
+    ws = words(text)
+    return [bucket(w, buckets=buckets) for w in ws] + [bucket(*pair, buckets=buckets) for pair in zip(ws, ws[1:])]
+
+
+def log_ratios(rows, trusted, buckets=1 << 14, smoothing=20.0):
+    """For each (id, text): the sum of the logarithms of target share over raw share of its n-grams, and their number."""
+    per_row = [grams(text, buckets) for _, text in rows]
+    raw, target = Counter(), Counter()
+    for (id, _), found in zip(rows, per_row):
+        raw.update(found)
+        if id in trusted:
+            target.update(found)
+    scale = target.total() / raw.total()
+    weight = {k: log(target[k] + smoothing) - log(n * scale + smoothing) for k, n in raw.items()}
+    return [(sum(weight[k] for k in found), len(found)) for found in per_row]

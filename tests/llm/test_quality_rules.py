@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowgauge.llm import ngrams, quality_rules
-from flowgauge.llm.common import words
+from flowgauge.llm.common import row_key, words
+from flowgauge.llm.queries import op1_resampling
 from flowgauge.llm.resampling import resample
 from tests.conftest import DATA
 from tests.llm import brute
@@ -62,6 +63,44 @@ def test_ratio_by_hand(spark, docs_of):
     assert scored["a c c"] == pytest.approx(sum(want[grams[k]] for k in [("a",), ("c",), ("c",), ("a", "c"), ("c", "c")]), abs=1e-5)
 
 
+@pytest.fixture(scope="module")
+def labelled(spark, documents):
+    """All documents, and the ids labelled as good."""
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").filter("quality = 1").collect()
+    return [(r.doc_id, r.text) for r in documents.collect()], {r.doc_id for r in labels}
+
+
+def test_ratios_of_the_whole_table(spark, documents, labelled):
+    """Every document's ratio, and the verdict that follows, recomputed outside of Spark."""
+    rows, good = labelled
+    want = {row: found for row, found in zip(rows, brute.log_ratios(rows, good))}
+    judged = quality_rules.judge(documents, ids(spark, *good)).collect()
+    assert len(judged) == len(rows)
+    for r in judged:
+        total, n = want[r.doc_id, r.text]
+        assert r.llr == (pytest.approx(total / n, abs=2e-6) if n else None)
+        assert r.kept == (not r.base_failed and r.llr >= -0.05)
+
+
+def test_weights_and_noise_of_the_whole_table(spark, documents, labelled):
+    rows, good = labelled
+    want = {row: found for row, found in zip(rows, brute.log_ratios(rows, good))}
+    hashes = documents.select("doc_id", "text", F.xxhash64(F.lit(1), *row_key(F.col("doc_id"), F.col("text"))).alias("h"))
+    uniform = {(r.doc_id, r.text): ((r.h & ((1 << 52) - 1)) + 0.5) / (1 << 52) for r in hashes.collect()}
+    found = resample(documents, ids(spark, *good), 0.5).collect()
+    for r in found:
+        total, n = want[r.doc_id, r.text]
+        assert r.log_weight == pytest.approx(total, abs=2e-6 * n + 1e-9)
+        assert r.gumbel_key == pytest.approx(total - log(-log(uniform[r.doc_id, r.text])), abs=2e-6 * n + 1e-9)
+
+
+def test_as_many_are_kept_as_are_labelled_good(spark, documents):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    found = op1_resampling(spark, DATA).collect()
+    share = labels.filter("quality = 1").count() / labels.count()
+    assert sum(r.kept for r in found) == pytest.approx(share * len(found), abs=3)
+
+
 def test_without_trusted_documents_and_empty_table(spark, docs_of):
     long = " ".join(f"w{k}" for k in range(60))
     found = quality_rules.judge(docs_of((1, long), (2, None)), ids(spark)).collect()
@@ -82,4 +121,4 @@ def test_resampling_odd_rows(spark, docs_of, odd):
     assert len(found) == len(odd) and all(r.log_weight == 0 for r in found if not brute.words(r.text))
     again = resample(docs_of(*odd), ids(spark, 6), 0.5).collect()
     assert sorted(map(str, found)) == sorted(map(str, again))
-    assert resample(docs_of(*odd).filter("false"), ids(spark, 6)).count() == 0
+    assert resample(docs_of(*odd).filter("false"), ids(spark, 6), 0.5).count() == 0
