@@ -2,7 +2,7 @@
 
 import re
 from collections import Counter
-from math import log
+from math import log, sqrt
 
 import numpy as np
 import xxhash
@@ -93,3 +93,70 @@ def log_ratios(rows, trusted, buckets=1 << 14, smoothing=20.0):
     scale = target.total() / raw.total()
     weight = {k: log(target[k] + smoothing) - log(n * scale + smoothing) for k, n in raw.items()}
     return [(sum(weight[k] for k in found), len(found)) for found in per_row]
+
+
+def share(counts):
+    _, labelled, good = counts
+    return (good + 1) / (labelled + 2)
+
+
+def total(counts):
+    return tuple(map(sum, zip(*counts)))
+
+
+def stands_out(counts, among, distance):
+    middle = share(among)
+    return abs(share(counts) - middle) > distance * sqrt(middle * (1 - middle) / (counts[1] + 2))
+
+
+def branches(children, least_rows, distance):
+    """The branch of each child of one node, from its (rows, labelled, good)."""
+    if len(children) == 1:
+        return {name: name for name in children}
+    whole = total(children.values())
+    out = {n for n, c in children.items() if c[0] >= least_rows and stands_out(c, whole, distance)}
+    better = {n for n in out if share(children[n]) > share(whole)}
+    chosen = dict.fromkeys(children, "*")
+    for mark, side in (("*+", better), ("*-", out - better)):
+        for name in side:
+            own = len(side) == 1 or stands_out(children[name], total(children[n] for n in side), distance)
+            chosen[name] = name if own else mark
+    return chosen
+
+
+def url_templates(pages, good, depth=8, least_rows=20, distance=2.0, strength=10.0):
+    """For each (id, host, path): its template and the template's purity; ``good`` has the labelled ids."""
+    def parts_of(path):
+        return tuple(re.sub(r"[0-9a-fA-F-]{16,}|[0-9]+", "*", part) for part in path.split("/") if part)
+
+    def counts(ids):
+        return len(ids), sum(i in good for i in ids), sum(good.get(i, False) for i in ids)
+
+    keys = [(host, parts_of(path)) for _, host, path in pages]
+    at = {key: (key[0], "") for key in keys}
+    members = {key: [] for key in keys}
+    for (i, _, _), key in zip(pages, keys):
+        members[key].append(i)
+    for level in range(depth):
+        nodes = {}
+        for key, node in at.items():
+            if len(key[1]) > level:
+                nodes.setdefault(node, {}).setdefault(key[1][level], []).extend(members[key])
+        chosen = {node: branches({n: counts(ids) for n, ids in c.items()}, least_rows, distance) for node, c in nodes.items()}
+        for key, node in at.items():
+            if len(key[1]) > level:
+                at[key] = node[0], f"{node[1]}/{chosen[node][key[1][level]]}"
+    template = {key: node[1] + "/**" * (len(key[1]) > depth) for key, node in at.items()}
+
+    def smoothed(ids, towards):
+        _, labelled, of_good = counts(ids)
+        return (of_good + strength * towards) / (labelled + strength)
+
+    _, labelled, of_good = counts([i for i, _, _ in pages])
+    by_host, by_template = {}, {}
+    for key, ids in members.items():
+        by_host.setdefault(key[0], []).extend(ids)
+        by_template.setdefault((key[0], template[key]), []).extend(ids)
+    hosts = {host: smoothed(ids, of_good / labelled if labelled else 1.0) for host, ids in by_host.items()}
+    purity = {node: smoothed(ids, hosts[node[0]]) for node, ids in by_template.items()}
+    return [(template[key], purity[key[0], template[key]]) for key in keys]

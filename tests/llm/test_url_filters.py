@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -5,6 +6,7 @@ import pytest
 from flowgauge.llm import url_filters
 from flowgauge.llm.queries import URL_RULES, op2_url_filters
 from tests.conftest import DATA
+from tests.llm import brute
 
 LABELS = "id bigint, good boolean"
 
@@ -41,6 +43,30 @@ def test_whole_table(spark):
         assert r.rule == rule and r.verdict == (what or ("block" if r.purity < 0.5 else "allow"))
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_templates_and_purity_of_the_whole_table(spark, size):
+    """The tree built once more outside of Spark; many wildcards and branches with names of their own."""
+    folder = DATA.replace("sf0.001", size)
+    found = op2_url_filters(spark, folder).collect()
+    good = {r.doc_id: r.quality == 1 for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    want = brute.url_templates([(r.page_id, r.host, r.path) for r in found], good)
+    assert [r.template for r in found] == [template for template, _ in want]
+    assert [r.purity for r in found] == pytest.approx([purity for _, purity in want])
+    assert all(r.rule or r.verdict == ("block" if purity < 0.5 else "allow") for r, (_, purity) in zip(found, want))
+
+
+def test_made_up_trees(spark):
+    rng = random.Random(8)
+    names = ["news", "blog", "spam", "x1", "ads", "*", "0123456789abcdef-"]
+    urls = [(k, f"http://h{k % 3}.net/" + "/".join(rng.choice(names) for _ in range(rng.randrange(5)))) for k in range(1500)]
+    labels = {k: rng.random() < (0.1 if "spam" in u else 0.3 if "ads" in u else 0.8) for k, u in urls if k % 3}
+    found = judged(spark, urls, labels.items(), depth=3, least_rows=8)
+    want = brute.url_templates([(k, *split(u)) for k, u in urls], labels, depth=3, least_rows=8)
+    assert {k: found[k].template for k, _ in urls} == {k: w[0] for (k, _), w in zip(urls, want)}
+    assert [found[k].purity == pytest.approx(w[1]) for (k, _), w in zip(urls, want)] == [True] * len(urls)
+    assert len({w[0] for w in want}) > 10
+
+
 def test_odd_urls(spark):
     urls = [None, "", "no scheme", "://", "http://", "http://ORG", "https://A.Example.ORG/en/12?x#y", "http://xorg/", "x://h?q/://", "http://a.org",
             "http://a.org/", "ftp://é.com/fr/", "http://h.com/de/x#f", "http://u@h:80/p", "http://a\nb/c\nd?e"] + ["http://h/" + "s/" * 30] * 2
