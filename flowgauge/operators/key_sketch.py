@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 #: Bits per key, rounded up to a power of two, and hashes per key: about one foreign key in 400 passes.
 BITS_PER_KEY = 16
 HASHES = 4
-#: The largest sketch has so many bits, 128 KB. Beyond half of it in keys, a sketch would pass most rows.
+#: The largest sketch has so many bits, 128 KB. With more keys than these, it would pass over 2 % of the foreign ones.
 MOST_BITS = 1 << 20
-MOST_KEYS = MOST_BITS // 2
+MOST_KEYS = MOST_BITS // 9
 
 
 @dataclass(frozen=True)

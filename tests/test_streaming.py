@@ -286,6 +286,12 @@ def test_a_sketch_passes_its_keys_and_few_others(spark, wanted):
     assert twice.filter(sketch.may_hold(F.col(KEY))).count() == 2 * len(own)
 
 
+def test_the_fullest_sketch_still_holds_back_others(spark):
+    sketch = key_sketch(spark.range(MOST_KEYS).toDF(KEY), KEY, MOST_KEYS)
+    assert spark.range(MOST_KEYS).filter(sketch.may_hold(F.col("id"))).count() == MOST_KEYS
+    assert spark.range(10**9, 10**9 + 100_000).filter(sketch.may_hold(F.col("id"))).count() <= 2_000
+
+
 def test_a_sketch_is_bounded(spark):
     none = spark.createDataFrame([], f"{KEY} bigint")
     assert key_sketch(none, KEY, 0).words == (0,)
