@@ -24,7 +24,7 @@ _WAITING = f"{TRIGGER} bigint, {KEY} bigint, {MOMENT} timestamp_ntz"
 
 #: From so many triggers of one instance on, measures are swept along time instead of joined with each trigger.
 SWEEP_FROM = 16
-#: So many instances of a batch are named one by one to the scans of the logs; more are sketched.
+#: So many instances of a batch are named one by one to the scans of the logs.
 LISTED = 1000
 
 
@@ -106,17 +106,17 @@ def trigger_counts(triggers: DataFrame) -> Row:
     ).first()
 
 
-def _instances(batch: DataFrame) -> tuple[list[int] | KeySketch | None, Row]:
-    """The instances of a batch, listed if they are few, or a sketch of them, and ``trigger_counts``."""
+def _instances(batch: DataFrame, sketch: bool = False) -> tuple[list[int] | KeySketch | None, Row]:
+    """The instances of a batch, listed if they are few, or a sketch of them if wanted, and ``trigger_counts``."""
     counted = trigger_counts(batch)
     if counted["instances"] > LISTED:
-        return key_sketch(batch, KEY, counted["instances"]), counted
+        return (key_sketch(batch, KEY, counted["instances"]) if sketch else None), counted
     return sorted(row[KEY] for row in batch.filter(F.col(KEY).isNotNull()).select(KEY).distinct().collect()), counted
 
 
 def kpi_on_trigger(
     triggers: DataFrame, open_logs: Callable[[], ProcessLogs], pilot: Pilot, path: str, mode: str = "PERMISSIVE",
-    progress: DataFrame | None = None, wait: int | str = 0,
+    progress: DataFrame | None = None, wait: int | str = 0, sketch: bool = False,
 ) -> DataStreamWriter:
     """Writer of a stream of triggers; start it with a checkpoint location of your choice.
 
@@ -128,6 +128,10 @@ def kpi_on_trigger(
     ``batch_id=<n>`` under ``path``, so a batch that is replayed after a failure leaves
     no duplicates.
 
+    ``sketch`` gives the log scans a sketch of the instances of a batch that has too many to
+    list. It pays where they are a small part of a long log; where a batch touches most
+    instances it only costs.
+
     **Waiting.** Logs are exported with a delay, and a record is not to miss what came before
     its trigger. With ``wait`` (milliseconds or an interval; or the longest ``wait_ms`` of the
     pilot's KPIs, if that is longer), a trigger waits until the log has been seen beyond its
@@ -165,7 +169,7 @@ def kpi_on_trigger(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = due(batch, batch_id) if waits else batch.persist()
         try:
-            keys, counted = _instances(batch)
+            keys, counted = _instances(batch, sketch)
             if counted["most"]:
                 # Keys grow with time, so old files need not be opened.
                 key_range = None if counted["low"] is None else (counted["low"], counted["high"])

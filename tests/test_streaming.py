@@ -269,7 +269,8 @@ def test_instances_of_a_batch(spark, monkeypatch):
     made = spark.createDataFrame([(1, 3, None), (2, 3, None), (3, 9, None), (4, None, None)], TRIGGERS)
     assert triggers._instances(made)[0] == [3, 9] and triggers._instances(made)[1]["most"] == 2
     monkeypatch.setattr(triggers, "LISTED", 1)
-    sketch, counted = triggers._instances(made)
+    assert triggers._instances(made)[0] is None
+    sketch, counted = triggers._instances(made, sketch=True)
     assert isinstance(sketch, KeySketch) and counted.asDict() == {"low": 3, "high": 9, "instances": 2, "most": 2}
     none = made.filter("false")
     assert triggers._instances(none) == ([], triggers._instances(none)[1]) and triggers._instances(none)[1]["most"] == 0
