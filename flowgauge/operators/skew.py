@@ -6,6 +6,10 @@ join is made on (key, salt): the many rows take one salt each and the few rows o
 the other side are repeated once per salt. The aggregate that follows is on
 the key alone, so it needs a shuffle of its own, which leaves adaptive execution
 free to split a partition that is still too large.
+
+Partitions that adaptive execution puts together follow the compressed size. Where rows
+are much larger than that, or a task holds them several times over, their number is
+given instead, and follows the number of rows.
 """
 
 from __future__ import annotations
@@ -25,3 +29,8 @@ def salted(rows: DataFrame, unique: str, salts: int = SALTS) -> DataFrame:
 def repeated(rows: DataFrame, salts: int = SALTS) -> DataFrame:
     """Repeat each row of the small side once per salt."""
     return rows.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+
+
+def partitions_for(rows: int, rows_each: int) -> int:
+    """In how many partitions ``rows`` lie if each has about ``rows_each``."""
+    return max(1, -(-rows // rows_each))

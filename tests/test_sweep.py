@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import timedelta
 
 import pytest
@@ -149,3 +150,21 @@ def test_no_triggers(spark, demo):
     assert record_at_triggers(none, demo, pilot()).count() == 0
     assert record_at_triggers(none, demo, pilot(), sweep=True).count() == 0
     assert trigger_counts(none).asDict() == {"low": None, "high": None, "instances": 0, "most": 0}
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    """Twice the rows are dealt to twice the partitions, with the same record as before."""
+    logs, triggers = random_logs(spark, 3)
+    once = plain(record_at_triggers(triggers, logs, pilot(), sweep=True))
+    monkeypatch.setattr(sweep, "ROWS_A_TASK", 10)
+    measures = {f"n_{name}": measure for name, measure in counts.execution_count("a").measures.items()}
+    measures["wait"] = timing.latency().swept
+    own = triggers.select("process_instance_key").distinct()
+    seen = logs.element_instances.join(own, "process_instance_key", "left_semi").count() + triggers.count()
+    for more, n in ((triggers, seen), (triggers.union(triggers), seen + triggers.count())):
+        # As many tasks order the united rows, the minutes of instances, and the elements the gaps are made of.
+        plan = sweep.swept_measures(logs, measures, more)[0]._jdf.queryExecution().executedPlan().toString()
+        parts = f"{-(-n // 10)}), REPARTITION_BY_NUM"
+        for keys in (r"process_instance_key#\d+L", r"process_instance_key#\d+L, _slot#\d+L"):
+            assert re.search(rf"hashpartitioning\({keys}, {re.escape(parts)}", plan)
+    assert plain(record_at_triggers(triggers, logs, pilot(), sweep=True)) == once
