@@ -2,9 +2,12 @@ import pytest
 
 from flowgauge.errors import KpiError
 from flowgauge.plans.record import kpi_record, observed_errors
-from flowgauge.sources.clustered import read_clustered, write_clustered
+from flowgauge.sources import clustered as clustered_logs
+from flowgauge.sources.clustered import buckets_for, read_clustered, write_clustered
 from flowgauge.sources.event_log import logs_from_events
-from tests.conftest import DATA
+from flowgauge.sources.logs import ProcessLogs
+from tests.conftest import DATA, element, rows
+from workload import table_queries
 from workload.table_queries import CLUSTERED, bad_pilot, fused_pilot, full_pilot
 
 
@@ -46,6 +49,18 @@ def test_a_bucket_is_a_file(spark, clustered):
         write_clustered(clustered, [], "x", "y", 0)
 
 
+def test_buckets_follow_the_log(spark, monkeypatch):
+    """Twice the elements lie in twice the buckets, in the query as well."""
+    monkeypatch.setattr(clustered_logs, "ROWS_A_BUCKET", 10)
+    for n, want in ((0, 2), (20, 2), (21, 3), (200, 20)):
+        elements = rows(spark, "element_instances", *(element(k, k % 50, "a") for k in range(n)))
+        assert buckets_for(ProcessLogs.of(element_instances=elements), ["element_instances"], least=2) == want
+    logs, written = logs_from_events(spark, DATA), []
+    monkeypatch.setattr(table_queries, "write_clustered", lambda *given: written.append(given[-1]) or write_clustered(*given))
+    table_queries.record_clustered(logs)
+    assert written == [-(-logs.element_instances.count() // 10)]
+
+
 def test_errors_are_counted_as_the_record_is_written(spark, tmp_path):
     logs = logs_from_events(spark, DATA)
     record, observation = observed_errors(kpi_record(logs, bad_pilot()), bad_pilot())

@@ -20,7 +20,7 @@ from flowgauge.plans.record import ERRORS, kpi_record, observed_errors
 from flowgauge.schemas import KEY, SCHEMAS
 from flowgauge.sinks.matched import append_matched
 from flowgauge.sources import event_log
-from flowgauge.sources.clustered import read_clustered, write_clustered
+from flowgauge.sources.clustered import buckets_for, read_clustered, write_clustered
 from flowgauge.sources.event_log import logs_from_events
 from flowgauge.sources.logs import ProcessLogs, read_logs
 from flowgauge.streaming.closing import kpi_on_close
@@ -246,7 +246,8 @@ def record_clustered(logs: ProcessLogs) -> DataFrame:
     """The record over logs clustered by instance."""
     spark = logs.process_instances.sparkSession
     prefix = f"clustered_{uuid.uuid4().hex}_"
-    write_clustered(logs, CLUSTERED, prefix, scratch(spark), 8)
+    # Every other log derived from events has a row for an element at most.
+    write_clustered(logs, CLUSTERED, prefix, scratch(spark), buckets_for(logs, ["element_instances"]))
     return kpi_record(read_clustered(spark, prefix), full_pilot()).drop(ERRORS)
 
 
